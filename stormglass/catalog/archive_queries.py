@@ -226,8 +226,7 @@ def _(d):
         FROM events GROUP BY event_type) USING (etf)""")
 def _(d):
     names = ["click", "view", "purchase", "signup", "error", "none"]
-    pairs = list(zip(V.SECTOR_FUNDS, names, strict=True))
-    funds = d.spark.createDataFrame(pairs, "sector string, etf string")
+    funds = tables.sector_funds(d.spark, dict(zip(V.SECTOR_FUNDS, names, strict=True)))
     prices = d.table("events").withColumnRenamed("event_type", "etf")
     returns = archive.intraday_return(prices, "etf", "ts", "value", tie="event_id")
     return archive.sector_fund_returns(funds, returns)

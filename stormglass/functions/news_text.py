@@ -45,13 +45,22 @@ def url_slug(url: Column) -> Column:
     return F.substring_index(last, ".", 1)
 
 
-def url_to_title(url: Column) -> Column:
-    """Readable title from a URL: no digits, no words below three letters, else NULL."""
+def slug_words(url: Column) -> Column:
+    """Capitalised words of a URL, without digits and words below three letters."""
     slug = F.substring_index(url_slug(url), "?", 1)
     spaced = F.regexp_replace(F.translate(slug, "-_", "  "), r"\p{Nd}+", "")
     long_words = F.regexp_replace(spaced, r"(?<![^\s\p{Z}])[^\s\p{Z}]{1,2}(?![^\s\p{Z}])", " ")
-    title = F.initcap(F.trim(F.regexp_replace(long_words, r"[\s\p{Z}]+", " ")))
-    return F.when(F.length(title) > 15, title)
+    return F.initcap(F.trim(F.regexp_replace(long_words, r"[\s\p{Z}]+", " ")))
+
+
+def long_enough(title: Column) -> Column:
+    return F.length(title) > 15
+
+
+def url_to_title(url: Column) -> Column:
+    """Readable title from a URL; NULL when it would be short."""
+    # A CASE would make the title twice, for the test and for the value.
+    return F.get(F.filter(F.array(slug_words(url)), long_enough), F.lit(0))
 
 
 def capitalise_after_non_letters(text: Column) -> Column:

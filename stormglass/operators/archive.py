@@ -30,20 +30,24 @@ def news_window_join(
 
 
 def add_titles(windowed: DataFrame) -> DataFrame:
-    return windowed.withColumn("title", news_text.url_to_title(F.col("url"))).filter(
-        "title IS NOT NULL"
-    )
+    """Adds the title; rows without one are dropped.
+
+    A filter would be moved below the window join and so run on all articles. As a generated
+    column the title is made once, for articles inside a window only.
+    """
+    titles = F.filter(F.array(news_text.slug_words(F.col("url"))), news_text.long_enough)
+    return windowed.withColumn("title", F.explode(titles))
 
 
 def top_news_per_spike(
     titled: DataFrame, n: int = V.NEWS_PER_SPIKE, closest_first: bool = False
 ) -> DataFrame:
     """First n articles per spike by day offset, from the earliest day of the window on."""
-    offset = F.abs("days_from_spike") if closest_first else F.col("days_from_spike")
-    rest = ["days_from_spike", "url", "domain", "themes"]
+    order = [F.col(c).asc() for c in ("days_from_spike", "url", "domain", "themes")]
+    if closest_first:
+        order = [F.abs("days_from_spike").asc(), *order]
     return top_per_group(
-        titled, ["spike_date"], [offset.asc(), *[F.col(c).asc() for c in rest]], n,
-        spread=["url", "domain", "themes"],
+        titled, ["spike_date"], order, n, spread=["url", "domain", "themes"]
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,12 +15,21 @@ BROADCAST_BYTES = 64 << 20
 _FIXED_BYTES_PER_VALUE = 16
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the in-memory size, from one aggregate over the rows."""
-    texts = [name for name, kind in df.dtypes if kind == "string"]
+@dataclass(frozen=True)
+class Extent:
+    """In-memory size of an event table, estimated from above, and its first and last date."""
+
+    size: int
+    first: datetime.date | None
+    last: datetime.date | None
+
+
+def measure(events: DataFrame, date: str) -> Extent:
+    texts = [name for name, kind in events.dtypes if kind == "string"]
     text_bytes = sum((F.coalesce(F.octet_length(F.col(t)), F.lit(0)) for t in texts), F.lit(0))
-    row_bytes = text_bytes + _FIXED_BYTES_PER_VALUE * (len(df.columns) + 1)
-    return df.agg(F.sum(row_bytes)).first()[0] or 0
+    row_bytes = text_bytes + _FIXED_BYTES_PER_VALUE * (len(events.columns) + 1)
+    size, first, last = events.agg(F.sum(row_bytes), F.min(date), F.max(date)).first()
+    return Extent(size or 0, first, last)
 
 
 def event_window_join(
@@ -35,12 +47,14 @@ def event_window_join(
 
     A condition on a day distance has no equality, so Spark could only compare every pair. Each
     event is therefore listed once per day of its window, which makes it an equality join.
-    Events must be a staged or otherwise cheap table: its size is measured here. A small one is
-    broadcast, so facts are not shuffled at all and a date holding much of them does no harm. A
-    larger one takes a shuffled join, where adaptive execution splits a hot date. Facts stored by
-    day are pruned to the windows; for facts stored by month, name the month column.
+
+    Events must be a staged or otherwise cheap table: its size and date range are measured here.
+    The range is a plain filter on the facts, which reaches the file scan. A small event table is
+    broadcast, so facts are not shuffled at all and a date holding much of them does no harm; facts
+    stored by day are also pruned to the windows (facts stored by month: name the month column).
+    A larger one takes a shuffled join, where adaptive execution splits a hot date.
     """
-    days = high - low + 1
+    extent = measure(events, event_date)
     listed = events.withColumn(offset, F.explode(F.sequence(F.lit(low), F.lit(high)))).withColumn(
         "_window_date", F.date_add(F.col(event_date), F.col(offset))
     )
@@ -48,10 +62,14 @@ def event_window_join(
     if fact_month:
         listed = listed.withColumn("_window_month", month(F.col("_window_date")))
         same_day = same_day & (F.col(fact_month) == F.col("_window_month"))
-    if measured_bytes(events) * days <= broadcast_bytes:
-        listed = F.broadcast(listed)
-    else:
-        listed = listed.hint("merge")
+    if extent.first is not None:
+        facts = facts.filter(
+            F.col(fact_date).between(
+                F.date_add(F.lit(extent.first), low), F.date_add(F.lit(extent.last), high)
+            )
+        )
+    fits = extent.size * (high - low + 1) <= broadcast_bytes
+    listed = F.broadcast(listed) if fits else listed.hint("merge")
     return facts.join(listed, same_day).drop("_window_date", "_window_month")
 
 

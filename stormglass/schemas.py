@@ -33,6 +33,8 @@ SECTORS = T.StructType([
     T.StructField("ticker", T.StringType()),
 ])
 
+FUNDS = _strings("sector", "etf")
+
 LABELS = T.StructType([
     T.StructField("date", T.DateType()),
     T.StructField("label", T.StringType()),

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from stormglass import fixed_values as V
 from stormglass import schemas
 from stormglass.functions import news_text
-from stormglass.session import scratch_path, use_utc
+from stormglass.session import scratch_path, stage, use_utc
 from stormglass.sources import news as news_source
+from stormglass.sources import tables
 
 FIRST_DAY = "1995-01-01"
 SLUGS = [
@@ -53,16 +54,25 @@ class Derived:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table with its rows on all cores: a sample table is one file, so one task."""
+        rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
     @cached_property
     def news_rows(self) -> DataFrame:
-        """Articles from orders, some with a bad date, tone, country or no category."""
+        """Articles from orders, some with a bad date, tone, country or no category.
+
+        Stored, like the news file of the jobs: read inline, each filter on a derived text would
+        build that text again.
+        """
         key = F.col("o_orderkey")
         day = F.col("o_orderdate").cast("date")
         passed = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
         shock = F.when(passed % 61 == 0, 3500).otherwise(0)
         tone = F.lit(500) + cents("o_totalprice") % 500 + shock
-        return (
-            self.table("orders").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        rows = (
+            self.spread("orders").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 key.cast("string").alias("record_id"),
                 F.when(key % 107 == 0, "2022")
@@ -77,6 +87,7 @@ class Derived:
             )
             .withColumn("category", news_text.batch_category(F.col("themes")))
         )
+        return stage(rows, "news_rows")
 
     @property
     def news(self) -> DataFrame:
@@ -102,7 +113,7 @@ class Derived:
     def prices(self) -> DataFrame:
         """Mean price per day and brand, to four places; days without a sale are missing."""
         sums = (
-            self.table("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            self.spread("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
             .groupBy(F.col("l_shipdate").cast("date").alias("date"), F.col("p_brand").alias("ticker"))
             .agg(F.sum(cents("l_extendedprice")).alias("c"),
                  F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
@@ -130,7 +141,7 @@ class Derived:
         return placed.select(pick(F.col("pos"), list(V.SECTOR_TICKERS)).alias("sector"), "ticker")
 
     def portfolio(self, holdings=tuple(HOLDINGS)) -> DataFrame:
-        return self.spark.createDataFrame(list(holdings), schemas.PORTFOLIO)
+        return tables.literal_portfolio(self.spark, holdings)
 
     def labels(self, dates: DataFrame) -> DataFrame:
         """Known labels for about a third of the days."""
@@ -150,13 +161,13 @@ class Derived:
 
     @cached_property
     def live(self) -> DataFrame:
-        """Live articles from events, in the used fields of a live file."""
+        """Live articles from events, in the used fields of a live file; stored like the news."""
         key = F.col("event_id")
         theme = F.lit("SPORTS")
         for event_type, word in LIVE_WORDS.items():
             theme = F.when(F.col("event_type") == event_type, word).otherwise(theme)
         tone = F.abs(F.round(F.col("value") * 100).cast("bigint")) % 5000
-        return self.table("events").select(
+        rows = self.spread("events").select(
             F.when(key % 97 == 0, "soon").otherwise(F.date_format("ts", "yyyyMMddHHmmss")).alias("date"),
             F.concat(F.lit("src"), F.col("user_id") % 20).alias("source"),
             F.concat(F.lit("https://live.example/"), pick(key, SLUGS), F.lit("-"), key,
@@ -164,6 +175,7 @@ class Derived:
             theme.alias("themes"),
             F.concat(F.lit("0,1,"), hundredths(tone), F.lit(",0")).alias("tone"),
         )
+        return stage(rows, "live")
 
     def live_folder(self) -> str:
         """Live files, the first day twice, and lines with too many fields."""

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from stormglass import fixed_values as V
 from stormglass import schemas
@@ -36,19 +41,29 @@ def scan_long_prices(spark: SparkSession, *paths: str) -> DataFrame:
     return prices_wide_to_long(scan_prices(spark, *paths))
 
 
+def literal(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """Rows as a local relation: unlike an RDD its size is known, so joins can broadcast it."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    table = pa.table(
+        [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema, strict=True)],
+        names=schema.names,
+    )
+    return spark.createDataFrame(table, schema)
+
+
 def literal_portfolio(spark: SparkSession, holdings=V.SAMPLE_PORTFOLIO) -> DataFrame:
-    return spark.createDataFrame(holdings, schemas.PORTFOLIO)
+    return literal(spark, list(holdings), schemas.PORTFOLIO)
 
 
 def sector_tickers(spark: SparkSession, mapping=V.SECTOR_TICKERS) -> DataFrame:
     rows = [(sector, ticker) for sector, tickers in mapping.items() for ticker in tickers]
-    return spark.createDataFrame(rows, schemas.SECTORS)
+    return literal(spark, rows, schemas.SECTORS)
 
 
-def sector_funds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(V.SECTOR_FUNDS.items()), "sector string, etf string")
+def sector_funds(spark: SparkSession, funds=V.SECTOR_FUNDS) -> DataFrame:
+    return literal(spark, list(funds.items()), schemas.FUNDS)
 
 
 def known_events(spark: SparkSession, labels=V.KNOWN_EVENTS) -> DataFrame:
-    rows = spark.createDataFrame(list(labels.items()), "date string, label string")
-    return rows.select(F.col("date").cast("date").alias("date"), "label")
+    rows = [(date.fromisoformat(day), label) for day, label in labels.items()]
+    return literal(spark, rows, schemas.LABELS)
