@@ -284,7 +284,7 @@ def _stream_run(d: Derived):
 @query("stream_live_news", f"SELECT {_LIVE} FROM live_articles")
 def _(d):
     raw, table, checkpoint = _stream_run(d)
-    articles = live.drop_repeated(live.live_articles(raw))
+    articles = live.drop_repeated(archive.live_articles(raw))
     live.append_to_table(articles, table, checkpoint, once=True).awaitTermination()
     return d.spark.read.parquet(table).select(_minute("time"), "title", "source", "category")
 
@@ -303,7 +303,7 @@ def _(d):
     LIMIT 10""")
 def _(d):
     raw, table, checkpoint = _stream_run(d)
-    articles = live.drop_repeated(live.live_articles(raw))
+    articles = live.drop_repeated(archive.live_articles(raw))
     live.keep_latest(articles, table, checkpoint, once=True).awaitTermination()
     newest = live.current_latest(d.spark, table)
     return newest.select(_minute("time"), "title", "source", "category")

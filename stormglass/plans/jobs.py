@@ -67,22 +67,28 @@ def spike_news(
 # --- Jobs on paths
 
 
-def run_ingest(spark: SparkSession, raw_folder: str, out: str, first_year: int, last_year: int) -> None:
-    """Raw archive to the classified news store, partitioned by day."""
+def run_ingest(
+    spark: SparkSession, raw_folder: str, out: str, first_year: int = V.FIRST_YEAR,
+    last_year: int = V.LAST_YEAR, by: str = "article_date",
+) -> None:
+    """Raw archive to the classified news store, partitioned by day or month."""
     raw = news_source.scan_raw_news(
-        spark, *news_source.raw_news_globs(raw_folder, first_year, last_year)
+        spark, news_source.raw_news_glob(raw_folder, first_year, last_year)
     )
-    news_source.write_news_store(news_source.ingest_raw_news(raw), out)
+    news_source.write_news_store(news_source.ingest_raw_news(raw), out, by)
+
+
+_TEXT_SUFFIXES = (".tsv", ".tsv.gz", ".txt", ".csv")
 
 
 def _clean_input(spark: SparkSession, path: str) -> DataFrame:
-    if path.endswith((".tsv", ".tsv.gz", ".txt", ".csv")):
+    if path.endswith(_TEXT_SUFFIXES):
         return cleaning.clean_news(news_source.scan_news_tsv(spark, path))
     return news_source.store_as_clean(news_source.scan_news_store(spark, path))
 
 
 def _article_input(spark: SparkSession, path: str) -> DataFrame:
-    if path.endswith((".tsv", ".tsv.gz", ".txt", ".csv")):
+    if path.endswith(_TEXT_SUFFIXES):
         return news_source.scan_news_positional(spark, path)
     return news_source.store_as_articles(news_source.scan_news_store(spark, path))
 

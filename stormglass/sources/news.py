@@ -43,9 +43,10 @@ def scan_raw_news(spark: SparkSession, *paths: str) -> DataFrame:
     return raw.select(*schemas.RAW_NEWS_FIELDS.values())
 
 
-def raw_news_globs(folder: str, first_year: int, last_year: int) -> list[str]:
-    """Paths of raw files by year, so that other years are not even listed as input."""
-    return [f"{folder}/{year}*.csv*" for year in range(first_year, last_year + 1)]
+def raw_news_glob(folder: str, first_year: int, last_year: int) -> str:
+    """Path of the raw files of some years, so that other years are no input at all."""
+    years = ",".join(str(y) for y in range(first_year, last_year + 1))
+    return f"{folder}/{{{years}}}*.csv*"
 
 
 def prune_files_by_year(listing: DataFrame, first_year: int, last_year: int) -> DataFrame:

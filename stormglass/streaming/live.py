@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stormglass import fixed_values as V
 from stormglass import schemas
-from stormglass.functions import measures, news_text
+from stormglass.functions import measures
 from stormglass.operators import archive, cleaning
 from stormglass.sources.news import live_fields
 
@@ -30,10 +29,6 @@ def drop_repeated(articles: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return articles.withWatermark("time", lateness).dropDuplicatesWithinWatermark(["url"])
 
 
-def live_articles(raw: DataFrame) -> DataFrame:
-    return archive.live_articles(raw)
-
-
 def tension_readings(raw: DataFrame, low: Column, high: Column, reading: str = READING) -> DataFrame:
     """Tension score per reading interval, scaled with the percentiles of the history.
 
@@ -107,3 +102,18 @@ def current_latest(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter(F.col("version") == version).drop("version")
 
 
+
+
+def start_all(
+    spark: SparkSession, folder: str, percentiles: str, out: str, checkpoint: str, once: bool = False
+) -> list[StreamingQuery]:
+    """The live streams: articles, newest articles, and tension readings."""
+    low, high = spark.read.parquet(percentiles).select("p1", "p99").first()
+    raw = read_live_files(spark, folder)
+    articles = drop_repeated(archive.live_articles(raw))
+    readings = tension_readings(raw, F.lit(low), F.lit(high))
+    return [
+        append_to_table(articles, f"{out}/articles", f"{checkpoint}/articles", once),
+        keep_latest(articles, f"{out}/latest", f"{checkpoint}/latest", once=once),
+        upsert_readings(readings, f"{out}/readings", f"{checkpoint}/readings", once),
+    ]
