@@ -365,3 +365,34 @@ def _(d):
     spikes = spikes_of(d)
     known = tables.known_events(d.spark).unionByName(d.labels(spikes))
     return spikes.join(known, "date").agg(F.count("*").alias("labelled_days"))
+
+
+_CHART_TIME = "strftime(CAST({} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS time"
+
+
+def _live_chart(d: Derived, now: str):
+    index = index_of(d)
+    low, high = index.percentiles.first()
+    readings = live.tension_readings(d.live, F.lit(low), F.lit(high))
+    views = d.table("events").filter("event_type = 'view'")
+    vix_minutes = views.select(F.col("ts").cast("timestamp").alias("timestamp"), F.col("value").alias("vix"))
+    chart = archive.live_chart(F.lit(now).cast("timestamp"), readings, vix_minutes, index.daily, d.vix)
+    return rounded(chart.select("series", _minute("time"), "value"), "value")
+
+
+@query("live_chart_market_open", f"""
+    SELECT 'tension' AS series, {_CHART_TIME.format('timestamp')}, round(tension_score, 6) AS value
+    FROM readings WHERE timestamp >= DATE '2024-01-30'
+    UNION ALL SELECT 'vix', {_CHART_TIME.format('ts')}, round(value, 6) FROM events
+    WHERE event_type = 'view' AND ts >= DATE '2024-01-30'""")
+def _(d):
+    return _live_chart(d, "2024-01-30 15:00:00")
+
+
+@query("live_chart_market_closed", f"""
+    SELECT 'tension' AS series, {_CHART_TIME.format('date')}, round(geo_tension_index, 6) AS value
+    FROM idx WHERE date >= TIMESTAMP '2001-07-25 23:00:00'
+    UNION ALL SELECT 'vix', {_CHART_TIME.format('date')}, round(vix, 6) FROM vix
+    WHERE date >= TIMESTAMP '2001-07-25 23:00:00'""")
+def _(d):
+    return _live_chart(d, "2001-07-30 23:00:00")

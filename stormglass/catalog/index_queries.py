@@ -246,20 +246,23 @@ def _(d):
 # --- Index
 
 
+# A mean of 32 two-place numbers can end in a 5 at the seventh place, hence eight places for it.
+
+
 @query("daily_tension", """
-    SELECT date, total_events, round(avg_negative_tone, 6) AS avg_negative_tone,
+    SELECT date, total_events, round(avg_negative_tone, 8) AS avg_negative_tone,
       round(geo_tension_raw, 6) AS geo_tension_raw FROM daily""")
 def _(d):
     daily = tension.daily_tension(cleaning.clean_news(d.news))
-    return rounded(daily, "avg_negative_tone", "geo_tension_raw")
+    return rounded(rounded(daily, "geo_tension_raw"), "avg_negative_tone", places=8)
 
 
 @query("daily_profile", """
-    SELECT date, total_events, round(avg_negative_tone, 6) AS avg_negative_tone, dominant_category,
+    SELECT date, total_events, round(avg_negative_tone, 8) AS avg_negative_tone, dominant_category,
       round(geo_tension_raw, 6) AS geo_tension_raw FROM idx_full""")
 def _(d):
     profile = tension.daily_profile(cleaning.clean_news(d.news))
-    return rounded(profile, "avg_negative_tone", "geo_tension_raw")
+    return rounded(rounded(profile, "geo_tension_raw"), "avg_negative_tone", places=8)
 
 
 @query("index_percentiles", "SELECT round(p1, 6) AS p1, round(p99, 6) AS p99 FROM percentiles")

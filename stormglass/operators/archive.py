@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormglass import fixed_values as V
@@ -224,3 +226,31 @@ def feed_items(newest: DataFrame, n: int = 6) -> DataFrame:
 
 def with_market_state(rows: DataFrame, time: str) -> DataFrame:
     return rows.withColumn("market_open", calendar.market_open(F.col(time)))
+
+
+def live_chart(
+    now: Column, readings: DataFrame, vix_minutes: DataFrame, index: DataFrame, vix_daily: DataFrame,
+    days: int = V.CHART_WINDOW[1],
+) -> DataFrame:
+    """Points of the live chart: today's readings in market hours, else the last days.
+
+    With a literal now the market state is folded and only the branches needed are planned.
+    """
+    is_open = calendar.market_open(now)
+
+    def points(rows: DataFrame, name: str, time: str, value: str) -> DataFrame:
+        return rows.select(
+            F.lit(name).alias("series"), F.col(time).cast("timestamp").alias("time"),
+            F.col(value).cast("double").alias("value"),
+        )
+
+    today = [
+        points(cleaning.same_day(readings, now), "tension", "timestamp", "tension_score"),
+        points(cleaning.same_day(vix_minutes, now), "vix", "timestamp", "vix"),
+    ]
+    recent = [
+        points(cleaning.recent_slice(index, now, days), "tension", "date", "geo_tension_index"),
+        points(cleaning.recent_slice(vix_daily, now, days), "vix", "date", "vix"),
+    ]
+    branches = [p.filter(is_open) for p in today] + [p.filter(~is_open) for p in recent]
+    return reduce(DataFrame.unionByName, branches)
