@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from stormglass import fixed_values as V
 
+NANOSECONDS_PER_DAY = 86_400_000_000_000
+
 
 def news_date(text: Column) -> Column:
     """Day of a yyyyMMddHHmmss text; NULL when it is shorter than a day or no date."""
@@ -24,8 +26,11 @@ def month(day: Column) -> Column:
 
 
 def epoch_ns_to_date(nanoseconds: Column) -> Column:
-    micros = F.call_function("div", nanoseconds.cast("bigint"), F.lit(1000).cast("bigint"))
-    return F.timestamp_micros(micros).cast("date")
+    """UTC day of an epoch value, whatever the zone of the session."""
+    whole = nanoseconds.cast("bigint")
+    midnight = whole - F.pmod(whole, F.lit(NANOSECONDS_PER_DAY))
+    days = F.call_function("div", midnight, F.lit(NANOSECONDS_PER_DAY))
+    return F.date_from_unix_date(days.cast("int"))
 
 
 def market_open(utc_time: Column) -> Column:

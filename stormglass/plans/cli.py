@@ -33,7 +33,8 @@ def parser() -> argparse.ArgumentParser:
             kind = type(default) if default is not None else str
             command.add_argument(f"--{option.replace('_', '-')}", type=kind, default=default)
 
-    job("ingest", "raw", "out", first_year=V.FIRST_YEAR, last_year=V.LAST_YEAR, by="article_date")
+    job("ingest", "raw", "out", first_year=V.FIRST_YEAR, last_year=V.LAST_YEAR, by="article_date",
+        update=0)
     job("tension", "news", "index-out", "spikes-out", percentiles_out=None, sigmas=V.SPIKE_SIGMAS)
     job("event-window", "prices", "spikes", "by-spike-out", "curve-out", "summary-out")
     job("portfolio", "summary", "risk-out", "exposure-out", holdings=None)
@@ -47,7 +48,9 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"stormglass-{args.job}")
     if args.job == "ingest":
-        jobs.run_ingest(spark, args.raw, args.out, args.first_year, args.last_year, args.by)
+        jobs.run_ingest(
+            spark, args.raw, args.out, args.first_year, args.last_year, args.by, bool(args.update)
+        )
     elif args.job == "tension":
         jobs.run_tension(
             spark, args.news, args.index_out, args.spikes_out, args.percentiles_out, args.sigmas

@@ -69,13 +69,13 @@ def spike_news(
 
 def run_ingest(
     spark: SparkSession, raw_folder: str, out: str, first_year: int = V.FIRST_YEAR,
-    last_year: int = V.LAST_YEAR, by: str = "article_date",
+    last_year: int = V.LAST_YEAR, by: str = "article_date", update: bool = False,
 ) -> None:
     """Raw archive to the classified news store, partitioned by day or month."""
     raw = news_source.scan_raw_news(
         spark, news_source.raw_news_glob(raw_folder, first_year, last_year)
     )
-    news_source.write_news_store(news_source.ingest_raw_news(raw), out, by)
+    news_source.write_news_store(news_source.ingest_raw_news(raw), out, by, update)
 
 
 _TEXT_SUFFIXES = (".tsv", ".tsv.gz", ".txt", ".csv")

@@ -14,7 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -48,11 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; it is dropped when the driver ends."""
-    path = f"{shared_dir(spark)}/stormglass/{uuid.uuid4().hex}/{label}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = f"{shared_dir(spark)}/stormglass/{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    file_system.deleteOnExit(hadoop_path.getParent())
-    return path
+    # Only an existing folder can be marked for deletion.
+    file_system.mkdirs(hadoop_path)
+    file_system.deleteOnExit(hadoop_path)
+    return f"{folder}/{label}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -75,14 +75,20 @@ def as_store_rows(news: DataFrame) -> DataFrame:
     ).withColumn("article_month", calendar.month(F.col("article_date")))
 
 
-def write_news_store(news: DataFrame, path: str, by: str = "article_date") -> None:
+def write_news_store(
+    news: DataFrame, path: str, by: str = "article_date", update: bool = False
+) -> None:
     """News table partitioned by day, or by "article_month" where days are small.
 
+    Replaces the whole table, or with update only the partitions that occur in the news.
+
     The rebalance before the write gives each partition few files, and splits one that holds a
     large share of all rows over several tasks. Rows without a valid day go to a NULL partition.
     """
     rows = as_store_rows(news).hint("rebalance", by)
-    rows.write.mode("overwrite").partitionBy(by).parquet(path)
+    overwrite = "dynamic" if update else "static"
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    writer.partitionBy(by).parquet(path)
 
 
 def scan_news_store(spark: SparkSession, path: str) -> DataFrame:

@@ -64,6 +64,19 @@ def test_store(spark, tmp_path, by):
     assert len(folders) == (4 if by == "article_date" else 3)
 
 
+def test_store_is_replaced_or_updated(spark, tmp_path):
+    def news(*days):
+        rows = [(d, d, "s", "u", "WAR#RS#", "0,1,2.5,0", "CONFLICT") for d in days]
+        return spark.createDataFrame(rows, schemas.FILTERED_NEWS)
+
+    path = str(tmp_path / "store")
+    news_source.write_news_store(news("20200101", "20200102"), path)
+    news_source.write_news_store(news("20200102", "20200103"), path, update=True)
+    assert news_source.scan_news_store(spark, path).count() == 3
+    news_source.write_news_store(news("20200104"), path)
+    assert news_source.scan_news_store(spark, path).count() == 1
+
+
 def test_write_table_counts_and_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.write_table(spark.range(7), path) == 7

@@ -35,6 +35,38 @@ def test_window_join_is_the_range_join(spark, broadcast_bytes):
     assert ("BroadcastHashJoin" in text) == (broadcast_bytes > 0)
 
 
+def test_hot_date_is_split_in_the_shuffled_join(spark, tmp_path):
+    facts = spark.range(60_000).selectExpr(
+        "id", "date_add(date'2019-12-20', if(id % 3 = 0, 5, cast(id % 40 as int))) AS day",
+        "sha2(cast(id as string), 256) AS text",
+    )
+    facts.write.parquet(str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    events = spark.createDataFrame([(d,) for d in days(range(0, 40, 2))], "event_day date")
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        joined = windows.event_window_join(
+            stored, "day", events, "event_day", -1, 1, broadcast_bytes=0
+        )
+        grouped = joined.groupBy("event_day").agg(F.count("*").alias("n"), F.sum("id").alias("s"))
+        found = checks.normal(grouped.collect())
+        assert "skew=true" in checks.plan(grouped)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    direct = windows.event_window_join(stored, "day", events, "event_day", -1, 1)
+    wanted = direct.groupBy("event_day").agg(F.count("*").alias("n"), F.sum("id").alias("s"))
+    assert found == checks.normal(wanted.collect())
+
+
 def test_window_join_without_events(spark):
     facts = spark.createDataFrame([(1, DAY0)], "f int, day date")
     none = spark.createDataFrame([], "event_day date")
