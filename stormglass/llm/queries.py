@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat
+from stormglass.llm import chat, mixing
+from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +53,14 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digest(chat.format_chats(turns.unionByName(planted)))
+
+
+@query("op5_pareto_mixing")
+def op5_pareto_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents mixed: 150 % of all words, shared by the weights of the sources."""
+    docs = table(spark, folder, "documents")
+    rows = docs.select(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("size"), F.lit(1.0).alias("weight"),
+        mixing.uniform(5, "doc_id", "text").alias("u"))
+    mixed = mixing.pareto_mix(rows, Scratch(spark))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
