@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, mixing
+from stormglass.llm import chat, mixing, warc
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,28 @@ def op5_pareto_mixing(spark: SparkSession, folder: str) -> DataFrame:
         mixing.uniform(5, "doc_id", "text").alias("u"))
     mixed = mixing.pareto_mix(rows, Scratch(spark))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op1_warc_segments", """
+WITH sized AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+owned AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS owner FROM sized),
+digests AS (
+  SELECT *, string_agg_digest AS payload_digest FROM (
+    SELECT *, array_to_string(list_transform(range(0, 4), lambda part: array_to_string(list_transform(range(0, 8),
+      lambda place: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(hex, 1 + 10 * part::INT, 10))::BIGINT >> (35 - 5 * place::INT)) & 31)::INT, 1)), '')), '')
+      AS string_agg_digest FROM owned))
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN owner IS DISTINCT FROM page_id AND owner IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN owner IS DISTINCT FROM page_id AND owner IS NOT NULL THEN owner END AS refers_to
+FROM digests
+""")
+def op1_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as archives, read back, reassembled and decoded."""
+    scratch = Scratch(spark)
+    archives = scratch.path("archives")
+    warc.write_pages(table(spark, folder, "pages"), archives, scratch)
+    figures = warc.payload_figures(warc.decode(warc.reassemble(warc.read_records(spark, archives))))
+    read = warc.resolve_revisits(figures, scratch)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
