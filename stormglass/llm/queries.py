@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, mixing, warc
+from stormglass.llm import chat, mixing, vp_search, warc
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,24 @@ def op1_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
     figures = warc.payload_figures(warc.decode(warc.reassemble(warc.read_records(spark, archives))))
     read = warc.resolve_revisits(figures, scratch)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_vantage_point_search", """
+WITH valid AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+sized AS (
+  SELECT vec_id, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda x, y: x + y)) AS norm FROM valid),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]), lambda x, y: x + y) / (q.norm * c.norm) AS score
+  FROM sized q JOIN sized c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+""")
+def op10_vantage_point_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest rows of every row whose vec_id is divisible by 50, exact (factor 1)."""
+    rows = table(spark, folder, "embeddings")
+    return vp_search.nearest(rows, F.col("vec_id") % 50 == 0, Scratch(spark), k=5, factor=1.0)
