@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, mixing, vp_search, warc
+from stormglass.llm import chat, mixing, pieces, vp_search, warc
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,11 @@ def op10_vantage_point_search(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest rows of every row whose vec_id is divisible by 50, exact (factor 1)."""
     rows = table(spark, folder, "embeddings")
     return vp_search.nearest(rows, F.col("vec_id") % 50 == 0, Scratch(spark), k=5, factor=1.0)
+
+
+@query("op4_suffix_array_pieces")
+def op4_suffix_array_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded to pieces and decoded again."""
+    vocabulary = pieces.load_vocabulary()
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.decode_digest(pieces.encode(docs, vocabulary), vocabulary)
