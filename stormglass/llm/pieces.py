@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stormglass.llm.chunks import slices, split_chunks
+
 #: Vocabulary file, a parameter of all entry points.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose chunks are told apart at a time, and characters of distinct chunks indexed at a time.
@@ -259,31 +261,11 @@ def _with_bytes(found: np.ndarray, offsets: np.ndarray, chunks: list[str], vocab
     return np.concatenate(parts), np.concatenate([[0], np.cumsum(count)])
 
 
-def _chunk_bounds(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Where chunks begin in a batch of texts: at a space behind another character, at and after control
-    characters (no piece holds them), and at each text."""
-    space, control = data == 0x20, data < 0x20
-    begins = np.zeros(len(data) + 1, bool)
-    begins[1:-1] = (space[1:] & ~space[:-1]) | control[1:] | control[:-1]
-    begins[starts] = True
-    begins[len(data)] = False
-    return np.flatnonzero(begins)
-
-
 def encode_batch(texts: pa.Array, vocabulary: Vocabulary) -> pa.ListArray:
     """Pieces of each text; a null or empty text has none."""
     texts = pc.fill_null(texts.cast(pa.string()), "")
     texts = pc.replace_substring(texts, _SPACE, " ")
-    texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, ""))
-    lengths = pc.binary_length(texts).to_numpy().astype(np.int64)
-    data = np.frombuffer(pc.binary_join(pa.ListArray.from_arrays([0, len(texts)], texts), "")[0].as_buffer(), np.uint8)
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    bounds = _chunk_bounds(data, starts[:-1][lengths > 0])
-    offsets = pa.array(np.append(bounds, len(data)), pa.int64())
-    chunks = pa.Array.from_buffers(
-        pa.large_string(), len(bounds), [None, offsets.buffers()[1], pa.py_buffer(data)]).dictionary_encode()
-    codes = chunks.indices.to_numpy()
-    distinct = chunks.dictionary
+    distinct, codes, rows = split_chunks(texts)
     sizes = np.cumsum(pc.utf8_length(distinct).to_numpy() + 1)
     found, counts, done = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
     while done < len(distinct):
@@ -302,8 +284,7 @@ def encode_batch(texts: pa.Array, vocabulary: Vocabulary) -> pa.ListArray:
         shift = np.repeat(at[code] - (np.cumsum(count) - count), count)
         out.append(found[shift + np.arange(len(shift))])
     total = np.concatenate([[0], np.cumsum(counts[codes])])
-    row_offsets = total[np.searchsorted(bounds, starts)]
-    return pa.ListArray.from_arrays(pa.array(row_offsets, pa.int32()), pa.array(np.concatenate(out or [found])))
+    return pa.ListArray.from_arrays(pa.array(total[rows], pa.int32()), pa.array(np.concatenate(out or [found])))
 
 
 def decode_batch(ids: pa.ListArray, vocabulary: Vocabulary) -> pa.Array:
@@ -324,16 +305,6 @@ def decode_batch(ids: pa.ListArray, vocabulary: Vocabulary) -> pa.Array:
     return pa.array(texts, pa.string(), mask=~ids.is_valid().to_numpy(zero_copy_only=False))
 
 
-def _slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``limit`` bytes in a column; a longer value is a part of its own."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
-    done = 0
-    while done < batch.num_rows:
-        upto = max(done + 1, int(np.searchsorted(sizes, (sizes[done - 1] if done else 0) + limit, side="right")))
-        yield batch.slice(done, upto - done)
-        done = upto
-
-
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "pieces") -> DataFrame:
     """The rows with the pieces of a text column in a new column (array of int; replaced if it exists).
 
@@ -348,7 +319,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(**shared.value)
         for batch in batches:
-            for part in _slices(batch, text, SLICE_BYTES):
+            for part in slices(batch, text, SLICE_BYTES):
                 pieces = encode_batch(part.column(text), vocabulary)
                 yield pa.RecordBatch.from_arrays([*part.columns, pieces], names=[*part.schema.names, out])
 
@@ -363,7 +334,7 @@ def decode_digest(encoded: DataFrame, vocabulary: Vocabulary, text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(**shared.value)
         for batch in batches:
-            for part in _slices(batch, text, SLICE_BYTES):
+            for part in slices(batch, text, SLICE_BYTES):
                 ids = part.column(pieces)
                 decoded = decode_batch(ids, vocabulary)
                 same = pc.equal(decoded, pc.fill_null(part.column(text), ""))

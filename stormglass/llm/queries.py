@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, mixing, pieces, vp_search, warc
+from stormglass.llm import chat, langid, mixing, pieces, vp_search, warc
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,17 @@ def op4_suffix_array_pieces(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = pieces.load_vocabulary()
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pieces.decode_digest(pieces.encode(docs, vocabulary), vocabulary)
+
+
+def _crc(column: str, buckets: int):
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(buckets))
+
+
+@query("op2_segmentation_language")
+def op2_segmentation_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents; a fifth is held out from learning."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(_crc("doc_id", 5) == 0, F.lit(False))
+    labelled = docs.where(~held_out).select("text", "lang")
+    predicted = langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), labelled, Scratch(spark))
+    return predicted.select("doc_id", "held_out", "lang_pred", "score")
