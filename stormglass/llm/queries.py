@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, langid, mixing, pieces, vp_search, warc
+from stormglass.llm import chat, langid, mixing, pieces, sorted_passes, vp_search, warc
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,27 @@ def op2_segmentation_language(spark: SparkSession, folder: str) -> DataFrame:
     labelled = docs.where(~held_out).select("text", "lang")
     predicted = langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), labelled, Scratch(spark))
     return predicted.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op3_sorted_projections", """
+WITH valid AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+sized AS (
+  SELECT vec_id, label, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda x, y: x + y)) AS norm FROM valid),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM sized p JOIN sized q
+    ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.e) = len(q.e)
+    AND list_reduce(list_transform(list_zip(p.e, q.e), lambda x: x[1] * x[2]), lambda x, y: x + y) / (p.norm * q.norm) >= 0.98),
+reach AS (
+  WITH RECURSIVE r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN links l ON l.a = r.b)
+  SELECT a, min(b) AS component_id FROM r GROUP BY a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN reach r ON r.a = vec_id LEFT JOIN degrees d ON d.a = vec_id
+""")
+def op3_sorted_projections(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate vectors of each label at cosine 0.98."""
+    return sorted_passes.near_vectors(table(spark, folder, "embeddings"), Scratch(spark))
