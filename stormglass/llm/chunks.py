@@ -55,3 +55,20 @@ def split_chunks(texts: pa.Array, any_space: bool = False) -> tuple[pa.Array, np
     bounds = np.flatnonzero(cut)
     distinct, codes = distinct_parts(data, bounds)
     return distinct, codes, np.searchsorted(bounds, starts)
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Different words (what ASCII white space parts, as bytes), the number of each word in order, and where the
+    words of each text begin (and the last ones end). Null texts have none."""
+    data, starts = text_bytes(texts)
+    inside = (data != 0x20) & ((data < 9) | (data > 13))
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = starts[:-1][starts[:-1] < starts[1:]]
+    begins[first] = inside[first]
+    at = np.flatnonzero(begins)
+    places = np.cumsum(inside)[at] - 1
+    offsets = pa.array(np.append(places, int(inside.sum())), pa.int64())
+    words = pa.Array.from_buffers(pa.large_binary(), len(at), [None, offsets.buffers()[1], pa.py_buffer(data[inside])])
+    coded = words.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.searchsorted(at, starts)

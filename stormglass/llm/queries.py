@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, langid, mixing, pieces, sorted_passes, vp_search, warc
+from stormglass.llm import chat, langid, mixing, pieces, sorted_passes, vp_search, warc, weighted_minhash
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,10 @@ FROM embeddings JOIN reach r ON r.a = vec_id LEFT JOIN degrees d ON d.a = vec_id
 def op3_sorted_projections(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate vectors of each label at cosine 0.98."""
     return sorted_passes.near_vectors(table(spark, folder, "embeddings"), Scratch(spark))
+
+
+@query("op6_weighted_minhash")
+def op6_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents."""
+    found = weighted_minhash.near_documents(table(spark, folder, "documents"), Scratch(spark))
+    return found.select("doc_id", "class_id", "kept")
