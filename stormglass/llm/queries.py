@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, langid, mixing, pieces, sorted_passes, vp_search, warc, weighted_minhash
+from stormglass.llm import chat, fuzzy_lines, langid, mixing, pieces, sorted_passes, vp_search, warc, weighted_minhash
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,10 @@ def op6_weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     found = weighted_minhash.near_documents(table(spark, folder, "documents"), Scratch(spark))
     return found.select("doc_id", "class_id", "kept")
+
+
+@query("op8_fuzzy_lines")
+def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without lines like an earlier one: lines, lines gone, digest of what stays."""
+    left = fuzzy_lines.drop_repeated_lines(table(spark, folder, "documents"), Scratch(spark))
+    return left.select("doc_id", "n_lines", "n_gone", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
