@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, fuzzy_lines, langid, mixing, pieces, sorted_passes, vp_search, warc, weighted_minhash
+from stormglass.llm import chat, fuzzy_lines, langid, mixing, pieces, sorted_passes, suffix_tree_lm, vp_search, warc, weighted_minhash
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,11 @@ def op8_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without lines like an earlier one: lines, lines gone, digest of what stays."""
     left = fuzzy_lines.drop_repeated_lines(table(spark, folder, "documents"), Scratch(spark))
     return left.select("doc_id", "n_lines", "n_gone", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+@query("op7_suffix_tree_scores")
+def op7_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents; a fifth is held out from learning."""
+    held_out = F.coalesce(_crc("doc_id", 5) == 1, F.lit(False))
+    docs = table(spark, folder, "documents").select("doc_id", held_out.alias("held_out"), "text")
+    return suffix_tree_lm.score_texts(docs, ~F.col("held_out"), Scratch(spark))
