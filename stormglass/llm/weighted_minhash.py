@@ -26,6 +26,8 @@ WORDS, LEAST = 5, 0.8
 BANDS, BAND_SAMPLES = 10, 3
 #: Pairs that share fewer of their samples are not verified; at similarity 0.8 that is 1 in 5,000.
 SHARED_SAMPLES = 16
+#: Texts of a bucket that are compared each with each, where they are not linked yet.
+SMALL_BUCKET = 32
 #: Document frequencies are counted in so many cells, shingles sharing one by hash, in parts of PART cells.
 CELLS, PART = 1 << 20, 1 << 10
 _SLICE_BYTES, _BLOCK_SHINGLES = 6_000_000, 100_000
@@ -230,9 +232,9 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = LEAST) -> D
     text and one without words are like no other document. The kept row is that of the smallest doc_id (null
     last, ties by key); of rows that repeat doc_id and text all bear the mark, and ``keep_one`` leaves one.
 
-    Equal texts are one text until the end. In each round every band bucket compares one of its texts, another
-    in each round, with those that are not yet in its component, so a bucket costs as many
-    comparisons as it has texts. The rounds end when one links nothing new.
+    Equal texts are one text until the end. First every band bucket compares one of its texts with the others. Then
+    buckets of at most SMALL_BUCKET texts compare all that are not yet in one component, while larger ones go on
+    with one text after another, so that a bucket never costs its square. The rounds end when one links nothing new.
     """
     docs = docs.select("doc_id", "text")
     idf = inverse_frequencies(docs)
@@ -242,50 +244,65 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = LEAST) -> D
         .agg(F.any_value("samples").alias("samples"), F.any_value("bands").alias("bands"))
         .withColumn("cls", F.monotonically_increasing_id()), "texts")
     buckets = scratch.stage(_shared_buckets(texts), "buckets")
-    links = _verified_links(docs, texts, buckets, idf, least, scratch)
-    members = scratch.stage(connected(links, scratch), "members")
+    members = _verified_links(docs, texts, buckets, idf, least, scratch)
     return _documents(signed, texts, members, scratch)
 
 
 def _shared_buckets(texts: DataFrame) -> DataFrame:
-    """(bucket, cls) of all band buckets with more than one text."""
+    """(bucket, cls, large) of all band buckets with more than one text."""
     rows = texts.select("cls", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    return rows.join(shared.select((F.col("bucket") + F.lit(0)).alias("b")), F.col("bucket") == F.col("b")).drop("b")
+    shared = shared.select((F.col("bucket") + F.lit(0)).alias("b"), (F.col("n") > SMALL_BUCKET).alias("large"))
+    return rows.join(shared, F.col("bucket") == F.col("b")).drop("b")
+
+
+def _with_centre(placed: DataFrame, turn: int) -> DataFrame:
+    """(a, b): the texts of each bucket with one of them, in each turn another, where components differ."""
+    order = F.struct(F.xxhash64(F.lit(turn), "cls").alias("turn"), "cls", "component")
+    centres = placed.groupBy("bucket").agg(F.min(order).alias("c"))
+    centres = centres.select((F.col("bucket") + F.lit(0)).alias("b"), F.col("c.cls").alias("centre"),
+                             F.col("c.component").alias("of"))
+    pairs = placed.join(centres, F.col("bucket") == F.col("b")).where("component <> of")
+    return pairs.select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
+
+
+def _with_each(placed: DataFrame) -> DataFrame:
+    """(a, b): texts of a small bucket whose components differ."""
+    other = placed.select(F.col("bucket").alias("b"), F.col("cls").alias("with"), F.col("component").alias("of"))
+    pairs = placed.join(other, F.col("bucket") == F.col("b")).where("cls < with AND component <> of")
+    return pairs.select(F.col("cls").alias("a"), F.col("with").alias("b"))
 
 
 def _verified_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, idf: np.ndarray, least: float,
                     scratch: Scratch) -> DataFrame:
-    """(a, b) of texts whose similarity was verified."""
-    links = tested = components = bodies = None
-    number = 0
+    """(vertex, component) of texts linked over verified similarities."""
+    bodies = scratch.stage(_bodies(docs, texts, buckets), "bodies")
+    sides = [bodies.select(F.col("cls").alias(f"of_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab"]
+    links = tested = components = None
+    turn = 0
     while True:
         placed = buckets.withColumn("component", F.col("cls"))
-        if components is not None:
+        if turn:
             placed = (
-                buckets.join(components, F.col("cls") == F.col("vertex"), "left")
-                .select("bucket", "cls", F.coalesce("component", "cls").alias("component")))
-        turn = F.struct(F.xxhash64(F.lit(number), "cls").alias("turn"), "cls", "component")
-        centres = placed.groupBy("bucket").agg(F.min(turn).alias("c"))
-        centres = centres.select((F.col("bucket") + F.lit(0)).alias("b"), F.col("c.cls").alias("centre"),
-                                 F.col("c.component").alias("of"))
-        pairs = (
-            placed.join(centres, F.col("bucket") == F.col("b")).where("component <> of")
-            .select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct())
-        if tested is not None:
+                buckets.where("large" if turn > 1 else "true")
+                .join(components, F.col("cls") == F.col("vertex"), "left")
+                .select("bucket", "cls", "large", F.coalesce("component", "cls").alias("component")))
+        if turn == 1:
+            pairs = _with_centre(placed.where("large"), turn).unionByName(_with_each(placed.where("NOT large")))
+        else:
+            pairs = _with_centre(placed, turn)
+        pairs = pairs.distinct()
+        if turn:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.stage(_alike(pairs, texts), "pairs")
-        if bodies is None:
-            bodies = scratch.stage(_bodies(docs, texts, buckets), "bodies")
-        sides = [bodies.select(F.col("cls").alias(f"of_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab"]
         both = pairs.join(sides[0], F.col("a") == F.col("of_a")).join(sides[1], F.col("b") == F.col("of_b"))
         found = scratch.stage(similarities(both, idf).where(F.col("similarity") >= least).select("a", "b"), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        number += 1
-        if found.isEmpty():
-            return links
+        if turn and found.isEmpty():
+            return components
         components = scratch.stage(connected(links, scratch), "members")
+        turn += 1
 
 
 def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
