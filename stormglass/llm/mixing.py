@@ -123,6 +123,7 @@ def pareto_mix(rows: DataFrame, scratch: Scratch, most: int = MOST_COPIES, share
         .withColumn("m_can", (part > 0) & (F.col("m_size") > 0))
     )
     cuts = _cuts(ranked, scratch)
+    scratch.drop("rows", "rates", "cuts")
     chosen = F.struct("m_rank", "m_tie") <= F.struct("m_cut_rank", "m_cut_tie")
     return (
         ranked.join(cuts, F.col("m_source").eqNullSafe(F.col("m_cut_source")), "left")

@@ -16,11 +16,11 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self._paths: list[str] = []
+        self._made: list[tuple[str, str]] = []
 
     def path(self, label: str) -> str:
         folder = scratch_path(self.spark, label)
-        self._paths.append(folder)
+        self._made.append((label, folder))
         return folder
 
     def stage(self, df: DataFrame, label: str) -> DataFrame:
@@ -28,12 +28,11 @@ class Scratch:
         df.write.parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
-    def drop(self, *kept: DataFrame) -> None:
-        """Delete all tables but those that the given frames still read."""
-        needed = [f for df in kept for f in df.inputFiles()[:1]]
-        for folder in self._paths:
-            if any(folder in f for f in needed):
-                continue
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        self._paths = [p for p in self._paths if any(p in f for f in needed)]
+    def drop(self, *keep: str) -> None:
+        """Delete all tables but the last one of each label to keep, which a result still reads."""
+        last = {label: folder for label, folder in self._made if label in keep}
+        for label, folder in self._made:
+            if last.get(label) != folder:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._made = list(last.items())

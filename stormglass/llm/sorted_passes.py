@@ -186,6 +186,7 @@ def near_vectors(embeddings: DataFrame, scratch: Scratch, least: float = 0.98, p
             F.col("label").alias("c_label"), F.col("h1").alias("c1"), F.col("h2").alias("c2"),
             (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("links"),
             F.coalesce("component_id", "least").alias("component_id")), "figures")
+    scratch.drop("figures")
     same = (F.col("label") == F.col("c_label")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))
     result = rows.select("vec_id", "label", "able", "h1", "h2").join(figures, F.col("able") & same, "left")
     component = F.coalesce("component_id", "vec_id")

@@ -246,6 +246,7 @@ def score_texts(docs: DataFrame, training: Column, scratch: Scratch) -> DataFram
         scored.select("m_row", F.explode("m_tail").alias("word")).join(rare, F.col("word") == F.col("key"), "left")
         .groupBy("m_row").agg(F.sum(F.log10(F.coalesce("times", F.lit(0)) + 0.5)).alias("m_more"),
                               F.count("times").alias("m_known")))
+    scratch.drop("counts", "scored")
     norm = float(np.log10(tokens + 0.5 * (kinds + 1)))
     tail = tail.select((F.col("m_row") + F.lit(0)).alias("m_of"), "m_more", "m_known")
     return scored.join(tail, F.col("m_row") == F.col("m_of"), "left").select(

@@ -149,6 +149,7 @@ def nearest(embeddings: DataFrame, is_query, scratch: Scratch, k: int = 5, facto
                     pa.array(ids[member], mask=ids[member] == np.iinfo(np.int64).max), pa.array(rows[member]),
                     pa.array(hits.score[q, place])], schema=_HITS)
 
+    scratch.drop("index", "valid")
     cells = index.join(asked, (F.col("size") == F.col("query_size")) & (F.col("shard") == F.col("s")))
     hits = cells.select("tree", "queries").mapInArrow(
         search, "query_row bigint, query_id bigint, vec_id bigint, row bigint, score double")

@@ -273,6 +273,7 @@ def resolve_revisits(figures: DataFrame, scratch: Scratch) -> DataFrame:
         figures.where("type = 'response' AND complete").groupBy(F.col("record_id").alias("target"))
         .agg(F.max("page_id").alias("target_page"), F.max("payload_bytes").alias("target_bytes"),
              F.max("payload_digest").alias("target_digest")), "targets")
+    scratch.drop("figures", "targets")
     revisits = (
         figures.where("type = 'revisit'")
         .join(targets, (F.col("refers_to") == F.col("target")) & (F.col("stated_digest") == F.col("target_digest")), "left")

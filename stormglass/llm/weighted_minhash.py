@@ -336,6 +336,7 @@ def _documents(signed: DataFrame, texts: DataFrame, members: DataFrame, scratch:
         rows.where("component IS NOT NULL").groupBy("component").agg(first)
         .select(F.col("component").alias("c"), "first.*").select(
             "c", F.col("doc_id").alias("class_id"), F.col("key1").alias("k1"), F.col("key2").alias("k2")), "chosen")
+    scratch.drop("rows", "chosen")
     alone = F.col("component").isNull()
     return rows.join(chosen, F.col("component") == F.col("c"), "left").select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -349,6 +350,7 @@ def keep_one(docs: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFra
     """
     kept = scratch.stage(near_documents(docs, scratch, least).where("kept")
                          .select(F.col("key1").alias("k1"), F.col("key2").alias("k2")).distinct(), "kept")
+    scratch.drop("kept")
     keyed = docs.withColumns({"m_key1": row_keys()[0], "m_key2": row_keys()[1]})
     left = keyed.join(kept, (F.col("m_key1") == F.col("k1")) & (F.col("m_key2") == F.col("k2")), "left_semi")
     return left.dropDuplicates(["m_key1", "m_key2"]).select(*docs.columns)
