@@ -32,21 +32,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.where("u <> v").unionByName(own).distinct()
 
 
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every vertex has one parent and no child, or children and no parent."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    counted = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counted.where("up + down > 1").isEmpty()
+
+
 def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Component of every vertex that has an edge to another: (vertex, component), its smallest member.
 
     edges: columns a and b of type long. Self loops, repeats and null ends count for nothing; an empty
     table gives an empty table. Each round writes its edges to the shared folder, and the rounds end
-    when one changes nothing, so no component or link list comes to the driver.
+    when every component is a star around its smallest member, so no component or link list comes to the driver.
     """
     current = (
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    current, before = scratch.stage(current, "edges"), None
-    while True:
-        mark = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark[0] == 0 or mark == before:
-            return current.select(F.col("u").alias("vertex"), F.col("v").alias("component")).unionByName(
-                current.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct())
-        before = mark
+    current = scratch.stage(current, "edges")
+    while not _is_forest_of_stars(current):
         current = scratch.stage(_small_star(_large_star(current)), "edges")
+    return current.select(F.col("u").alias("vertex"), F.col("v").alias("component")).unionByName(
+        current.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct())

@@ -95,12 +95,12 @@ def pareto_mix(rows: DataFrame, scratch: Scratch, most: int = MOST_COPIES, share
     """The rows with source_size, target and copies (0 to ``most``), mixed to the targets of their sources.
 
     rows: source, size (words), weight (inclusion weight within the source, above 0), u (random, between
-    0 and 1; a function of the document, so that reruns agree) and whatever else is to be kept; columns whose
-    names begin with m_ are reserved. A null source is a source of its own; null sizes count 0; rows of equal
+    0 and 1; a function of the document, so that reruns agree) and whatever else is to be kept; columns named
+    source_size, target or copies are replaced, names that begin with m_ are reserved. A null source is a source of its own; null sizes count 0; rows of equal
     rank are taken in any order, so repeated rows may get different copies. Documents
     without words get their certain copies only. An empty table gives an empty table.
     """
-    kept = [c for c in rows.columns]
+    kept = [c for c in rows.columns if c not in ("source_size", "target", "copies")]
     rows = rows.withColumns({
         "m_source": F.col("source"), "m_size": F.coalesce(F.col("size"), F.lit(0)).cast("long"),
         "m_weight": F.col("weight").cast("double"), "m_u": F.col("u"),

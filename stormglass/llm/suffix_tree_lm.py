@@ -226,11 +226,11 @@ def _step(above: SuffixTree, key: np.ndarray) -> np.ndarray:
 def score_texts(docs: DataFrame, training: Column, scratch: Scratch) -> DataFrame:
     """The rows without text, with n_tokens, n_known, train_tokens, base_score and score.
 
-    docs: text and other columns, kept as they are; training: condition on them that marks the texts to learn
+    docs: text and other columns, kept unless the result has such a name; training: condition on them that marks the texts to learn
     from (null: not). A null text is empty and has the end token alone; repeated rows count as often as they occur. Without
     training texts every token has the base probability 1 and every byte the same one.
     """
-    kept = [c for c in docs.columns if c != "text"]
+    kept = [c for c in docs.columns if c not in ("text", "n_tokens", "n_known", "train_tokens", "base_score", "score")]
     counts = scratch.stage(count_symbols(docs.where(training)), "counts")
     words = counts.where("kind = 0")
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()

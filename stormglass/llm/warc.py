@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from stormglass.llm.scratch import Scratch
 
@@ -225,7 +226,7 @@ def reassemble(records: DataFrame) -> DataFrame:
     return whole.unionByName(parts)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _joined(blocks):
     return blocks.map(lambda parts: b"".join(parts))
 

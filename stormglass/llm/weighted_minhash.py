@@ -28,6 +28,8 @@ BANDS, BAND_SAMPLES = 10, 3
 SHARED_SAMPLES = 16
 #: Texts of a bucket that are compared each with each, where they are not linked yet.
 SMALL_BUCKET = 32
+#: Texts of a larger bucket that the others are compared with, in each round after the first.
+CENTRES = 6
 #: Document frequencies are counted in so many cells, shingles sharing one by hash, in parts of PART cells.
 CELLS, PART = 1 << 20, 1 << 10
 _SLICE_BYTES, _BLOCK_SHINGLES = 6_000_000, 100_000
@@ -234,7 +236,7 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = LEAST) -> D
 
     Equal texts are one text until the end. First every band bucket compares one of its texts with the others. Then
     buckets of at most SMALL_BUCKET texts compare all that are not yet in one component, while larger ones go on
-    with one text after another, so that a bucket never costs its square. The rounds end when one links nothing new.
+    with a few texts after the others, so that a bucket never costs its square. The rounds end when one links nothing new.
     """
     docs = docs.select("doc_id", "text")
     idf = inverse_frequencies(docs)
@@ -256,12 +258,13 @@ def _shared_buckets(texts: DataFrame) -> DataFrame:
     return rows.join(shared, F.col("bucket") == F.col("b")).drop("b")
 
 
-def _with_centre(placed: DataFrame, turn: int) -> DataFrame:
-    """(a, b): the texts of each bucket with one of them, in each turn another, where components differ."""
-    order = F.struct(F.xxhash64(F.lit(turn), "cls").alias("turn"), "cls", "component")
-    centres = placed.groupBy("bucket").agg(F.min(order).alias("c"))
-    centres = centres.select((F.col("bucket") + F.lit(0)).alias("b"), F.col("c.cls").alias("centre"),
-                             F.col("c.component").alias("of"))
+def _with_centres(placed: DataFrame, turns: range) -> DataFrame:
+    """(a, b): the texts of each bucket with some of them, in each turn another one, where components differ."""
+    orders = [F.struct(F.xxhash64(F.lit(t), "cls").alias("turn"), "cls", "component") for t in turns]
+    centres = placed.groupBy("bucket").agg(*(F.min(x).alias(f"c{t}") for t, x in zip(turns, orders, strict=True)))
+    centres = centres.select((F.col("bucket") + F.lit(0)).alias("b"),
+                             F.explode(F.array_distinct(F.array(*(f"c{t}" for t in turns)))).alias("c"))
+    centres = centres.select("b", F.col("c.cls").alias("centre"), F.col("c.component").alias("of"))
     pairs = placed.join(centres, F.col("bucket") == F.col("b")).where("component <> of")
     return pairs.select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
 
@@ -281,6 +284,7 @@ def _verified_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, idf:
     links = tested = components = None
     turn = 0
     while True:
+        turns = range(1) if not turn else range(1 + (turn - 1) * CENTRES, 1 + turn * CENTRES)
         placed = buckets.withColumn("component", F.col("cls"))
         if turn:
             placed = (
@@ -288,9 +292,9 @@ def _verified_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, idf:
                 .join(components, F.col("cls") == F.col("vertex"), "left")
                 .select("bucket", "cls", "large", F.coalesce("component", "cls").alias("component")))
         if turn == 1:
-            pairs = _with_centre(placed.where("large"), turn).unionByName(_with_each(placed.where("NOT large")))
+            pairs = _with_centres(placed.where("large"), turns).unionByName(_with_each(placed.where("NOT large")))
         else:
-            pairs = _with_centre(placed, turn)
+            pairs = _with_centres(placed, turns)
         pairs = pairs.distinct()
         if turn:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -349,8 +353,8 @@ def keep_one(docs: DataFrame, scratch: Scratch, least: float = LEAST) -> DataFra
     Rows without words stay, one of those that repeat doc_id and text.
     """
     kept = scratch.stage(near_documents(docs, scratch, least).where("kept")
-                         .select(F.col("key1").alias("k1"), F.col("key2").alias("k2")).distinct(), "kept")
+                         .select(F.col("key1").alias("m_k1"), F.col("key2").alias("m_k2")).distinct(), "kept")
     scratch.drop("kept")
     keyed = docs.withColumns({"m_key1": row_keys()[0], "m_key2": row_keys()[1]})
-    left = keyed.join(kept, (F.col("m_key1") == F.col("k1")) & (F.col("m_key2") == F.col("k2")), "left_semi")
+    left = keyed.join(kept, (F.col("m_key1") == F.col("m_k1")) & (F.col("m_key2") == F.col("m_k2")), "left_semi")
     return left.dropDuplicates(["m_key1", "m_key2"]).select(*docs.columns)
