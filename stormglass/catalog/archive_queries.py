@@ -10,7 +10,7 @@ from stormglass.catalog.index_queries import index_of, spikes_of
 from stormglass.catalog.reaction_queries import cells_of
 from stormglass.catalog.registry import query, rounded
 from stormglass.operators import archive, reactions
-from stormglass.operators.cleaning import drop_bad_time, same_day
+from stormglass.operators.cleaning import same_day
 from stormglass.operators.windows import nearest_date
 from stormglass.plans import jobs
 from stormglass.session import scratch_path, stage
@@ -254,14 +254,14 @@ _LIVE = "strftime(time, '%Y-%m-%d %H:%M:%S') AS time, title, source, category"
 
 @query("live_articles", f"SELECT {_LIVE} FROM live_articles")
 def _(d):
-    return archive.live_articles(d.live).select(_minute("time"), "title", "source", "category")
+    return archive.live_articles(live.drop_repeated(d.live)).select(_minute("time"), "title", "source", "category")
 
 
 @query("latest_news", f"""
     SELECT {_LIVE} FROM live_articles ORDER BY live_articles.time DESC, title, source, category
     LIMIT 10""")
 def _(d):
-    newest = archive.latest_news(archive.live_articles(d.live))
+    newest = archive.latest_news(archive.live_articles(live.drop_repeated(d.live)))
     return newest.select(_minute("time"), "title", "source", "category")
 
 
@@ -270,41 +270,35 @@ def _(d):
       SELECT * FROM live_articles ORDER BY time DESC, title, source, category LIMIT 10)
     WHERE {R.FEED_TITLE_OK} ORDER BY time DESC, title, source LIMIT 6""")
 def _(d):
-    shown = archive.feed_items(archive.latest_news(archive.live_articles(d.live)))
+    shown = archive.feed_items(archive.latest_news(archive.live_articles(live.drop_repeated(d.live))))
     return shown.select("title", "source", "category", "clock")
 
 
-def _stream_run(d: Derived):
+def _stream_run(d: Derived) -> str:
+    """All live files through the stream, few in a batch; where its tables are."""
     folder = scratch_path(d.spark, "stream")
-    raw = live.read_live_files(d.spark, d.live_folder())
-    return raw, f"{folder}/table", f"{folder}/checkpoint"
+    tables.write_table(index_of(d).percentiles, f"{folder}/percentiles")
+    live.start(d.spark, d.live_folder(), f"{folder}/percentiles", f"{folder}/tables", f"{folder}/checkpoint",
+               once=True, files_per_batch=3).awaitTermination()
+    return f"{folder}/tables"
 
 
 @query("stream_live_news", f"SELECT {_LIVE} FROM live_articles")
 def _(d):
-    raw, table, checkpoint = _stream_run(d)
-    articles = live.drop_repeated(archive.live_articles(raw))
-    live.append_to_table(articles, table, checkpoint, once=True).awaitTermination()
-    return d.spark.read.parquet(table).select(_minute("time"), "title", "source", "category")
+    return live.current_articles(d.spark, _stream_run(d)).select(_minute("time"), "title", "source", "category")
 
 
-@query("stream_dedup", f"SELECT url, count(*) AS n FROM live_raw "
-       "WHERE try_strptime(date, '%Y%m%d%H%M%S') IS NOT NULL GROUP BY url")
+@query("stream_dedup", "SELECT url, tone, count(*) AS n FROM live_once "
+       "WHERE try_strptime(date, '%Y%m%d%H%M%S') IS NOT NULL GROUP BY url, tone")
 def _(d):
-    raw, table, checkpoint = _stream_run(d)
-    seen = live.drop_repeated(drop_bad_time(raw)).select("url")
-    live.append_to_table(seen, table, checkpoint, once=True).awaitTermination()
-    return d.spark.read.parquet(table).groupBy("url").agg(F.count("*").alias("n"))
+    return live.current_rows(d.spark, _stream_run(d)).groupBy("url", "tone").agg(F.count("*").alias("n"))
 
 
 @query("stream_latest_news", f"""
     SELECT {_LIVE} FROM live_articles ORDER BY live_articles.time DESC, title, source, category
     LIMIT 10""")
 def _(d):
-    raw, table, checkpoint = _stream_run(d)
-    articles = live.drop_repeated(archive.live_articles(raw))
-    live.keep_latest(articles, table, checkpoint, once=True).awaitTermination()
-    newest = live.current_latest(d.spark, table)
+    newest = live.current_latest(d.spark, _stream_run(d))
     return newest.select(_minute("time"), "title", "source", "category")
 
 
@@ -326,10 +320,7 @@ def _(d):
 
 @query("stream_tension_readings", _READINGS)
 def _(d):
-    raw, table, checkpoint = _stream_run(d)
-    readings = live.tension_readings(raw, *_percentiles(d))
-    live.upsert_readings(readings, table, checkpoint, once=True).awaitTermination()
-    now = live.current_readings(d.spark, table)
+    now = live.current_readings(d.spark, _stream_run(d))
     return rounded(now.select(_minute("timestamp"), "total_events", "tension_score"), "tension_score")
 
 
@@ -350,7 +341,7 @@ def _(d):
     LEFT JOIN (SELECT timestamp AS slot, round(tension_score, 6) AS tension_score FROM readings)
       USING (slot)""")
 def _(d):
-    newest = archive.latest_news(archive.live_articles(d.live))
+    newest = archive.latest_news(archive.live_articles(live.drop_repeated(d.live)))
     slotted = newest.withColumn("timestamp", F.window("time", live.READING)["start"])
     readings = live.tension_readings(d.live, *_percentiles(d)).select("timestamp", "tension_score")
     joined = slotted.join(readings, "timestamp", "left")

@@ -244,8 +244,13 @@ RELATIONS: dict[str, str] = {
         CASE event_type WHEN 'click' THEN 'MILITARY' WHEN 'view' THEN 'SANCTION'
           WHEN 'purchase' THEN 'diplomatic' WHEN 'signup' THEN 'PROTEST' ELSE 'SPORTS' END AS themes,
         '0,1,' || (t // 100) || '.' || lpad(CAST(t % 100 AS VARCHAR), 2, '0') || ',0' AS tone
-      FROM (SELECT *, abs(CAST(round(value * 100) AS BIGINT)) % 5000 AS t FROM events)""",
-    "live_titled": f"SELECT *, {live_title('url')} AS title FROM live_raw",
+      FROM (SELECT *, abs(CAST(round(value * 100) AS BIGINT)) % 5000 AS t FROM events
+        UNION ALL SELECT *, (abs(CAST(round(value * 100) AS BIGINT)) + 700) % 5000 AS t FROM events
+          WHERE event_id % 41 = 0)""",
+    "live_once": """
+      SELECT * FROM live_raw
+      QUALIFY row_number() OVER (PARTITION BY url, date ORDER BY source, themes, tone) = 1""",
+    "live_titled": f"SELECT *, {live_title('url')} AS title FROM live_once",
     "live_articles": f"""
       SELECT *, {LIVE_CATEGORY} AS category, try_strptime(date, '%Y%m%d%H%M%S') AS time
       FROM live_titled
@@ -258,7 +263,7 @@ RELATIONS: dict[str, str] = {
       FROM (SELECT time_bucket(INTERVAL 15 MINUTE, t) AS timestamp, count(*) AS total_events,
               avg(neg) * ln(count(*) + 1) AS raw
             FROM (SELECT try_strptime(date, '%Y%m%d%H%M%S') AS t,
-                    TRY_CAST(str_split(tone, ',')[3] AS DOUBLE) AS neg, themes FROM live_raw)
+                    TRY_CAST(str_split(tone, ',')[3] AS DOUBLE) AS neg, themes FROM live_once)
             WHERE t IS NOT NULL AND neg BETWEEN 0 AND 50 AND {LIVE_THEMES} GROUP BY 1)
         CROSS JOIN percentiles""",
 }

@@ -12,6 +12,9 @@ from stormglass.functions import calendar, measures, news_text
 from stormglass.operators import cleaning
 from stormglass.operators.windows import event_window_join, nearest_date, top_per_group
 
+#: Map tasks of one group that are ranked together before its last ranking.
+TOP_BUCKETS = 32
+
 NEWS_COLUMNS = [
     "spike_date", "dominant_category", "article_date", "domain", "url", "themes",
     "days_from_spike", "title",
@@ -49,7 +52,7 @@ def top_news_per_spike(
     if closest_first:
         order = [F.abs("days_from_spike").asc(), *order]
     return top_per_group(
-        titled, ["spike_date"], order, n, spread=["url", "domain", "themes"]
+        titled, ["spike_date"], order, n, buckets=TOP_BUCKETS
     )
 
 
@@ -113,7 +116,7 @@ def supporting_news(archive: DataFrame, labelled: DataFrame, n: int = 6) -> Data
     order = ["article_date", "spike_date", "url", "domain"]
     return top_per_group(
         fitting.select("event_date", "label", "article_date", "spike_date", "domain", "url", "title"),
-        ["event_date"], [F.col(c).asc() for c in order], n, spread=["url", "spike_date"],
+        ["event_date"], [F.col(c).asc() for c in order], n, buckets=TOP_BUCKETS,
     )
 
 

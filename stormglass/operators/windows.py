@@ -69,22 +69,21 @@ def event_window_join(
             )
         )
     fits = extent.size * (high - low + 1) <= broadcast_bytes
-    listed = F.broadcast(listed) if fits else listed.hint("merge")
+    listed = F.broadcast(listed) if fits else listed
     return facts.join(listed, same_day).drop("_window_date", "_window_month")
 
 
 def top_per_group(
-    df: DataFrame, group: list[str], order: list[Column], n: int, spread: list[str] | None = None,
-    buckets: int = 32,
+    df: DataFrame, group: list[str], order: list[Column], n: int, buckets: int | None = None,
 ) -> DataFrame:
     """First n rows of every group.
 
-    With spread columns the group is first cut into hash buckets, each reduced to n rows, so that
-    one group holding much of the data is ranked by many tasks. Spark also limits each map task
-    to n rows per group before the shuffle.
+    Spark limits each task to n rows per group before it shuffles them. With buckets, for a group spread over
+    very many tasks, the tasks are dealt to so many buckets, each reduced to n rows before they meet: no row more is
+    shuffled first, and a task of that stage gets one bucket's share of a group.
     """
-    if spread:
-        bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*spread), F.lit(buckets)))
+    if buckets:
+        bucketed = df.withColumn("_bucket", F.pmod(F.spark_partition_id(), F.lit(buckets)))
         per_bucket = Window.partitionBy(*group, "_bucket").orderBy(*order)
         ranked = bucketed.withColumn("_rank", F.row_number().over(per_bucket))
         df = ranked.filter(F.col("_rank") <= n).drop("_rank", "_bucket")

@@ -40,7 +40,7 @@ def parser() -> argparse.ArgumentParser:
     job("portfolio", "summary", "risk-out", "exposure-out", holdings=None)
     job("spike-news", "news", "spikes", "out", per_spike=V.NEWS_PER_SPIKE)
     job("labels", "spikes", "spike-news", "out")
-    job("live", "folder", "percentiles", "out", "checkpoint", once=0)
+    job("live", "folder", "percentiles", "out", "checkpoint", once=0, files_per_batch=1000)
     return top
 
 
@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         tables.write_table(labelled, args.out)
     elif args.job == "live":
-        for query in live.start_all(
-            spark, args.folder, args.percentiles, args.out, args.checkpoint, bool(args.once)
-        ):
-            query.awaitTermination()
+        # One stream feeds all live tables; if it fails, the job ends with its error.
+        live.start(
+            spark, args.folder, args.percentiles, args.out, args.checkpoint, bool(args.once), args.files_per_batch
+        ).awaitTermination()

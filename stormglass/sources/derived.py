@@ -27,6 +27,7 @@ WORDS = ["MILITARY", "SANCTION", "PROTEST", "DIPLOMATIC", "CEASEFIRE", "CYBERATT
 COUNTRIES = ["US", "RS", "UP", "IR", "IS"]
 LIVE_WORDS = {"click": "MILITARY", "view": "SANCTION", "purchase": "diplomatic", "signup": "PROTEST"}
 LABELS = ["Iran War", "Hong Kong Protests Peak", "Geopolitical Event"]
+LIVE_FILES = 12
 HOLDINGS = [("Brand#1", 30.0), ("Brand#10", 50.0), ("Brand#11", 20.0)]
 HOLDINGS_UNKNOWN = [*HOLDINGS[:2], ("Brand#X", 20.0)]
 
@@ -54,11 +55,6 @@ class Derived:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table with its rows on all cores: a sample table is one file, so one task."""
-        rows, cores = self.table(name), self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
-
     @cached_property
     def news_rows(self) -> DataFrame:
         """Articles from orders, some with a bad date, tone, country or no category.
@@ -72,7 +68,7 @@ class Derived:
         shock = F.when(passed % 61 == 0, 3500).otherwise(0)
         tone = F.lit(500) + cents("o_totalprice") % 500 + shock
         rows = (
-            self.spread("orders").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+            self.table("orders").join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .select(
                 key.cast("string").alias("record_id"),
                 F.when(key % 107 == 0, "2022")
@@ -113,7 +109,7 @@ class Derived:
     def prices(self) -> DataFrame:
         """Mean price per day and brand, to four places; days without a sale are missing."""
         sums = (
-            self.spread("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            self.table("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
             .groupBy(F.col("l_shipdate").cast("date").alias("date"), F.col("p_brand").alias("ticker"))
             .agg(F.sum(cents("l_extendedprice")).alias("c"),
                  F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
@@ -161,13 +157,18 @@ class Derived:
 
     @cached_property
     def live(self) -> DataFrame:
-        """Live articles from events, in the used fields of a live file; stored like the news."""
+        """Live articles from events, in the used fields of a live file; stored like the news.
+
+        Some come twice with another tone, as when an article is read again.
+        """
         key = F.col("event_id")
         theme = F.lit("SPORTS")
         for event_type, word in LIVE_WORDS.items():
             theme = F.when(F.col("event_type") == event_type, word).otherwise(theme)
-        tone = F.abs(F.round(F.col("value") * 100).cast("bigint")) % 5000
-        rows = self.spread("events").select(
+        hundred = F.abs(F.round(F.col("value") * 100).cast("bigint"))
+        tones = F.when(key % 41 == 0, F.array(hundred % 5000, (hundred + 700) % 5000)).otherwise(F.array(hundred % 5000))
+        tone = F.col("tone_hundredths")
+        rows = self.table("events").withColumn("tone_hundredths", F.explode(tones)).select(
             F.when(key % 97 == 0, "soon").otherwise(F.date_format("ts", "yyyyMMddHHmmss")).alias("date"),
             F.concat(F.lit("src"), F.col("user_id") % 20).alias("source"),
             F.concat(F.lit("https://live.example/"), pick(key, SLUGS), F.lit("-"), key,
@@ -178,20 +179,20 @@ class Derived:
         return stage(rows, "live")
 
     def live_folder(self) -> str:
-        """Live files, the first day twice, and lines with too many fields."""
+        """Live files in the order of time, one of late rows, one that comes again, and lines with too many fields."""
         path = scratch_path(self.spark, "live_news")
         used = schemas.LIVE_NEWS_FIELDS
         fields = [
             F.coalesce(F.col(used[i]), F.lit("")) if i in used else F.lit(f"f{i}")
             for i in range(schemas.RAW_NEWS_WIDTH)
         ]
-        line = F.concat_ws("\t", *fields)
-        lines = self.live.select("date", line.alias("value"))
-        lines.select("value").write.text(path)
-        again = lines.filter(F.col("date").startswith("20240101"))
-        again.select("value").write.mode("append").text(path)
-        too_long = lines.filter(F.col("date").startswith("20240102"))
-        too_long.select(F.concat("value", F.lit("\tmore"))).write.mode("append").text(path)
+        is_late = F.crc32("url") % 53 == 0
+        lines = self.live.select("date", is_late.alias("late"), F.concat_ws("\t", *fields).alias("value"))
+        in_time = lines.filter("NOT late").repartitionByRange(LIVE_FILES, "date")
+        again, too_long = (lines.filter(F.col("date").startswith(d)) for d in ("20240101", "20240102"))
+        for part in (in_time, lines.filter("late").coalesce(1), again.coalesce(1),
+                     too_long.withColumn("value", F.concat("value", F.lit("\tmore"))).coalesce(1)):
+            part.select("value").write.mode("append").text(path)
         return path
 
     def file_listing(self) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Live news as a stream: the same filters as in batch, on files as they arrive."""
+"""Live news as one stream: rows as they arrive are stored once, and all live tables follow from the stored rows.
+
+No state is kept in the stream and nothing is dropped for being late: a row counts whenever it comes, in whatever
+batch. What a batch changes is rewritten for the days it touches.
+"""
 
 from __future__ import annotations
 
@@ -7,26 +11,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stormglass import schemas
-from stormglass.functions import measures
+from stormglass.functions import calendar, measures
 from stormglass.operators import archive, cleaning
 from stormglass.sources.news import live_fields
 
-LATENESS = "30 minutes"
 READING = "15 minutes"
+NEWEST = 10
+_FIELDS = list(schemas.LIVE_NEWS_FIELDS.values())
 
 
 def read_live_files(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     lines = (
         spark.readStream.schema(schemas.LIVE_TEXT)
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true")
         .format("text").load(folder)
     )
     return live_fields(lines)
 
 
-def drop_repeated(articles: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Articles seen before, as when the same file arrives again. State ends with lateness."""
-    return articles.withWatermark("time", lateness).dropDuplicatesWithinWatermark(["url"])
+def drop_repeated(raw: DataFrame) -> DataFrame:
+    """One row per article, told apart by url and time: the smallest of those that differ in other fields.
+
+    Rows without a valid time go. Batch and stream use the same rule, so neither the order of rows nor that of
+    files matters.
+    """
+    timed = cleaning.drop_bad_time(raw)
+    rest = [c for c in timed.columns if c not in ("url", "time")]
+    first = timed.groupBy("url", "time").agg(F.min(F.struct(*rest)).alias("first"))
+    return first.select(*(F.col(c) if c in ("url", "time") else F.col(f"first.{c}") for c in timed.columns))
 
 
 def tension_readings(raw: DataFrame, low: Column, high: Column, reading: str = READING) -> DataFrame:
@@ -35,12 +47,8 @@ def tension_readings(raw: DataFrame, low: Column, high: Column, reading: str = R
     Filters are those of the daily index except the country pattern, which belongs to another
     themes column than the one in live files.
     """
-    timed = cleaning.parse_negative_tone(cleaning.drop_bad_time(raw))
+    timed = cleaning.parse_negative_tone(drop_repeated(raw))
     wanted = cleaning.filter_theme_keywords(timed)
-    if wanted.isStreaming:
-        wanted = drop_repeated(wanted)
-    else:
-        wanted = wanted.dropDuplicates(["url"])
     per_reading = wanted.groupBy(F.window("time", reading).alias("w")).agg(
         F.count("*").alias("total_events"), F.avg("neg_score").alias("avg_negative_tone")
     )
@@ -52,68 +60,126 @@ def tension_readings(raw: DataFrame, low: Column, high: Column, reading: str = R
     )
 
 
-def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if once else {"processingTime": READING}
-    return writer.trigger(**trigger).start()
+def _rows_path(out: str) -> str:
+    return f"{out}/rows"
 
 
-def append_to_table(stream: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Exactly-once append of finished rows to a Parquet table."""
-    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
-    return _start(writer, checkpoint, once)
+def _days(rows: DataFrame) -> list:
+    """Days that a batch touches."""
+    return [r["day"] for r in rows.select("day").distinct().collect()]
 
 
-def upsert_readings(stream: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Readings as they change, one folder per batch; a batch that is run again replaces itself."""
+def _children(spark: SparkSession, path: str) -> list:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath() for s in system.listStatus(folder)] if system.exists(folder) else []
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _start(stream.writeStream.outputMode("update").foreachBatch(write), checkpoint, once)
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    if not _children(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
-def current_readings(spark: SparkSession, path: str) -> DataFrame:
-    """Last state of every reading written by upsert_readings."""
-    rows = spark.read.parquet(path)
-    last = rows.groupBy("timestamp").agg(
-        F.max_by(F.struct("total_events", "tension_score"), "batch_id").alias("r")
-    )
-    return last.select("timestamp", "r.total_events", "r.tension_score")
+_ROW_SCHEMA = ", ".join(f"{c} string" for c in _FIELDS) + ", day date, batch_id bigint"
+_READING_SCHEMA = "timestamp timestamp, total_events bigint, tension_score double, day date"
 
 
-def keep_latest(stream: DataFrame, path: str, checkpoint: str, n: int = 10, once: bool = False) -> StreamingQuery:
-    """Table of the newest n articles. Each batch writes a new version from the one before."""
+def stored_rows(spark: SparkSession, out: str) -> DataFrame:
+    """All different live rows with a valid time that have arrived."""
+    return _stored(spark, _rows_path(out), _ROW_SCHEMA)
+
+
+def _store_new(batch: DataFrame, batch_id: int, out: str) -> DataFrame:
+    """Append the rows of a batch that are not stored yet. A batch that is run again replaces its own rows."""
+    spark = batch.sparkSession
+    arrived = (
+        batch.select(*_FIELDS).distinct()
+        .withColumn("day", F.to_date(calendar.news_time(F.col("date"))))
+        .where("day IS NOT NULL").persist())
+    days = _days(arrived)
+    known = stored_rows(spark, out).where(F.col("day").isin(days) & (F.col("batch_id") < batch_id))
+    same = F.lit(True)
+    for name in _FIELDS:
+        same = same & F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}"))
+    fresh = arrived.alias("new").join(known.alias("old"), same & (F.col("new.day") == F.col("old.day")), "left_anti")
+    (fresh.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(_rows_path(out)))
+    arrived.unpersist()
+    return stored_rows(spark, out).where(F.col("day").isin(days)).drop("batch_id")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        newest = archive.latest_news(batch, n)
-        if batch_id > 0:
-            kept = spark.read.parquet(f"{path}/version={batch_id - 1}")
-            newest = archive.latest_news(newest.unionByName(kept), n)
-        newest.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
-    return _start(stream.writeStream.foreachBatch(write), checkpoint, once)
+def _write_version(rows: DataFrame, path: str, batch_id: int) -> None:
+    """A new version of a small table; versions before the last one go."""
+    rows.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    spark = rows.sparkSession
+    for child in _children(spark, path):
+        name = child.getName()
+        if name.startswith("version=") and int(name.removeprefix("version=")) < batch_id - 1:
+            child.getFileSystem(spark._jsc.hadoopConfiguration()).delete(child, True)
 
 
-def current_latest(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path)
-    version = rows.agg(F.max("version").alias("v")).scalar()
-    return rows.filter(F.col("version") == version).drop("version")
+def _version(spark: SparkSession, path: str, before: int | None = None) -> str | None:
+    found = [int(n.removeprefix("version=")) for n in (c.getName() for c in _children(spark, path))
+             if n.startswith("version=")]
+    found = [n for n in found if before is None or n < before]
+    return f"{path}/version={max(found)}" if found else None
 
 
+_LATEST_SCHEMA = "time timestamp, title string, source string, category string, day date"
 
 
-def start_all(
-    spark: SparkSession, folder: str, percentiles: str, out: str, checkpoint: str, once: bool = False
-) -> list[StreamingQuery]:
-    """The live streams: articles, newest articles, and tension readings."""
+def update_tables(batch: DataFrame, batch_id: int, out: str, percentiles: str, n: int = NEWEST) -> None:
+    """One batch: store its new rows, then rewrite the readings of its days and the newest articles."""
+    spark = batch.sparkSession
+    touched = _store_new(batch, batch_id, out)
     low, high = spark.read.parquet(percentiles).select("p1", "p99").first()
-    raw = read_live_files(spark, folder)
-    articles = drop_repeated(archive.live_articles(raw))
-    readings = tension_readings(raw, F.lit(low), F.lit(high))
-    return [
-        append_to_table(articles, f"{out}/articles", f"{checkpoint}/articles", once),
-        keep_latest(articles, f"{out}/latest", f"{checkpoint}/latest", once=once),
-        upsert_readings(readings, f"{out}/readings", f"{checkpoint}/readings", once),
-    ]
+    readings = tension_readings(touched.drop("day"), F.lit(low), F.lit(high))
+    (readings.withColumn("day", F.to_date("timestamp")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{out}/readings"))
+    articles = archive.live_articles(drop_repeated(touched.drop("day")))
+    newest = articles.select("time", "title", "source", "category", F.to_date("time").alias("day"))
+    before = _version(spark, f"{out}/latest", batch_id)
+    if before:
+        days = _days(touched)
+        newest = newest.unionByName(spark.read.schema(_LATEST_SCHEMA).parquet(before).where(~F.col("day").isin(days)))
+    order = [F.col("time").desc(), F.col("title").asc(), F.col("source").asc(), F.col("category").asc()]
+    _write_version(newest.orderBy(*order).limit(n), f"{out}/latest", batch_id)
+
+
+def start(
+    spark: SparkSession, folder: str, percentiles: str, out: str, checkpoint: str, once: bool = False,
+    files_per_batch: int = 1000, n: int = NEWEST,
+) -> StreamingQuery:
+    """The live stream: articles, newest articles and tension readings from one pass over the files.
+
+    percentiles is read again in every batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        update_tables(batch, batch_id, out, percentiles, n)
+
+    writer = read_live_files(spark, folder, files_per_batch).writeStream.foreachBatch(write)
+    trigger = {"availableNow": True} if once else {"processingTime": READING}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def current_rows(spark: SparkSession, out: str) -> DataFrame:
+    """Stored rows, one per article."""
+    return drop_repeated(stored_rows(spark, out).select(*_FIELDS))
+
+
+def current_articles(spark: SparkSession, out: str) -> DataFrame:
+    return archive.live_articles(current_rows(spark, out))
+
+
+def current_readings(spark: SparkSession, out: str) -> DataFrame:
+    return _stored(spark, f"{out}/readings", _READING_SCHEMA).drop("day")
+
+
+def current_latest(spark: SparkSession, out: str) -> DataFrame:
+    """The newest articles; only the last version is read."""
+    found = _version(spark, f"{out}/latest")
+    if found is None:
+        return spark.createDataFrame([], _LATEST_SCHEMA).drop("day")
+    return spark.read.schema(_LATEST_SCHEMA).parquet(found).drop("day")

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import checks
 import pytest
@@ -12,38 +13,41 @@ from stormglass.streaming import live
 START = dt.datetime(2024, 1, 1, 12, 0)
 
 
-def line(minute, slug="military-strike-near-border", themes="MILITARY", tone="0,1,5.0,0", number=None):
+def line(minute, slug="military-strike-near-border", themes="MILITARY", tone="0,1,5.0,0", number=None, source="src"):
     fields = [f"f{i}" for i in range(schemas.RAW_NEWS_WIDTH)]
     moment = (START + dt.timedelta(minutes=minute)).strftime("%Y%m%d%H%M%S")
     url = f"https://x.example/{slug}-{minute if number is None else number}.html"
-    for position, value in zip((1, 3, 4, 7, 15), (moment, "src", url, themes, tone), strict=True):
+    for position, value in zip((1, 3, 4, 7, 15), (moment, source, url, themes, tone), strict=True):
         fields[position] = value
     return "\t".join(fields)
 
 
 class Feed:
-    """A folder that gets one file after another, and the streams on it."""
+    """A folder that gets one file after another, and the stream on it."""
 
     def __init__(self, spark, path):
         self.spark, self.path = spark, path
-        self.folder = path / "in"
+        self.folder, self.out = path / "in", str(path / "out")
         self.folder.mkdir()
         self.files = 0
+        spark.createDataFrame([(0.0, 20.0)], "p1 double, p99 double").write.parquet(str(path / "p"))
 
     def put(self, *lines):
         (self.folder / f"{self.files}.csv").write_text("\n".join(lines) + "\n")
         self.files += 1
 
-    def raw(self):
-        return live.read_live_files(self.spark, str(self.folder), files_per_batch=1)
-
-    def at(self, name):
-        return str(self.path / name), str(self.path / f"{name}_checkpoint")
+    def run(self, files_per_batch=1, n=10):
+        live.start(self.spark, str(self.folder), str(self.path / "p"), self.out, str(self.path / "c"), True,
+                   files_per_batch, n).awaitTermination()
+        return self
 
     def readings(self):
-        readings = live.tension_readings(self.raw(), F.lit(0.0), F.lit(20.0))
-        live.upsert_readings(readings, *self.at("readings"), once=True).awaitTermination()
-        return live.current_readings(self.spark, self.at("readings")[0])
+        return {r["timestamp"].strftime("%d %H:%M"): r["total_events"] for r in live.current_readings(self.spark, self.out).collect()}
+
+    def tables(self):
+        found = (live.current_articles(self.spark, self.out), live.current_latest(self.spark, self.out),
+                 live.current_readings(self.spark, self.out))
+        return [checks.normal(t.select(*sorted(t.columns)).collect()) for t in found]
 
 
 @pytest.fixture
@@ -51,72 +55,90 @@ def feed(spark, tmp_path):
     return Feed(spark, tmp_path)
 
 
-def test_readings_of_stream_and_batch_agree(spark, feed):
-    feed.put(*[line(m, tone=f"0,1,{m}.5,0") for m in range(0, 40)])
-    feed.put(*[line(m, tone=f"0,1,{m % 50}.5,0") for m in range(40, 80)])
-    batch = live.tension_readings(
-        news_source.scan_live_news(spark, str(feed.folder)), F.lit(0.0), F.lit(20.0)
-    )
-    streamed = feed.readings()
-    assert checks.normal(streamed.collect()) == checks.normal(batch.collect())
-    assert streamed.count() == 6
+def test_any_batch_split_and_file_order_give_the_same_tables(spark, tmp_path):
+    draw = random.Random(4)
+    lines = [line(m * 37 % 4000, tone=f"0,1,{m % 50}.5,0", number=m % 150) for m in range(200)]
+    lines += [line(m * 37 % 4000, tone=f"0,1,{(m + 7) % 50}.5,0", number=m % 150) for m in range(0, 200, 9)]
+    found = []
+    for run, size in enumerate((1, 2, 1000)):
+        (tmp_path / str(run)).mkdir()
+        feed = Feed(spark, tmp_path / str(run))
+        order = lines[:]
+        draw.shuffle(order)
+        for k in range(0, len(order), 40):
+            feed.put(*order[k:k + 40])
+        feed.put(*order[:30])  # a file that comes again
+        found.append(feed.run(size).tables())
+    assert found[0] == found[1] == found[2]
+    batch = live.drop_repeated(news_source.scan_live_news(spark, str(feed.folder)))
+    articles = archive.live_articles(batch)
+    assert found[0][0] == checks.normal(articles.select(*sorted(articles.columns)).collect())
+    readings = live.tension_readings(news_source.scan_live_news(spark, str(feed.folder)), F.lit(0.0), F.lit(20.0))
+    assert found[0][2] == checks.normal(readings.select(*sorted(readings.columns)).collect())
 
 
 def test_stream_goes_on_where_it_stopped(feed):
     feed.put(line(0), line(1))
-    first = {r["timestamp"]: r["total_events"] for r in feed.readings().collect()}
+    assert feed.run().readings() == {"01 12:00": 2}
     feed.put(line(2), line(20))
-    second = {r["timestamp"]: r["total_events"] for r in feed.readings().collect()}
-    assert sorted(first.values()) == [2] and sorted(second.values()) == [1, 3]
+    assert feed.run().readings() == {"01 12:00": 3, "01 12:15": 1}
 
 
-def test_late_rows_count_until_the_watermark(feed):
+def test_late_rows_always_count(feed):
     feed.put(line(0), line(60))
-    feed.readings()
-    # 29 minutes back is in time; two hours back is older than the 30 minutes allowed.
-    feed.put(line(31, number="late"), line(-60, number="too-late"))
-    feed.readings()
-    feed.put(line(62))
-    counts = {r["timestamp"].strftime("%H:%M"): r["total_events"] for r in feed.readings().collect()}
-    assert counts == {"12:00": 1, "12:30": 1, "13:00": 2}
+    feed.run()
+    feed.put(line(31, number="late"), line(-60, number="hour"), line(-3 * 24 * 60, number="days"))
+    assert feed.run().readings() == {"01 12:00": 1, "01 13:00": 1, "01 12:30": 1, "01 11:00": 1, "29 12:00": 1}
+
+
+def test_repeats_give_one_row_whatever_the_order(spark):
+    rows = [("20240101120000", s, "u", "MILITARY", t) for s, t in (("b", "0,1,2,0"), ("a", "0,1,9,0"), ("a", "0,1,3,0"))]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order + [("bad", "a", "u", "MILITARY", "x")], "date string, source string, url string, themes string, tone string")
+        kept = live.drop_repeated(frame).collect()
+        assert [(r["source"], r["tone"]) for r in kept] == [("a", "0,1,3,0")]
+    # The same address at another time is another article.
+    later = frame.unionByName(frame.withColumn("date", F.lit("20240101130000")))
+    assert live.drop_repeated(later).count() == 2
 
 
 def test_repeated_file_is_counted_once(feed):
     feed.put(line(0), line(1))
     feed.put(line(0), line(1))
-    assert [r["total_events"] for r in feed.readings().collect()] == [2]
+    assert feed.run().readings() == {"01 12:00": 2}
 
 
 def test_articles_table_has_no_repeats(spark, feed):
     feed.put(line(0), line(1), line(2, themes="SPORTS"), "broken line")
     feed.put(line(1), line(3, themes="PROTEST", slug="protest-threat-grows-in-town"))
-    articles = live.drop_repeated(archive.live_articles(feed.raw()))
-    live.append_to_table(articles, *feed.at("articles"), once=True).awaitTermination()
-    table = spark.read.parquet(feed.at("articles")[0])
+    table = live.current_articles(spark, feed.run().out)
     assert sorted(r["category"] for r in table.collect()) == ["Military", "Military", "Political"]
 
 
-def test_latest_table_keeps_the_newest_over_batches(spark, feed):
-    for start in (0, 10, 5):
+def test_a_batch_run_again_changes_nothing(spark, feed):
+    feed.put(line(0), line(1))
+    feed.put(line(16), line(1))
+    before = feed.run().tables()
+    again = news_source.scan_live_news(spark, str(feed.folder / "1.csv"))
+    live.update_tables(again, 1, feed.out, str(feed.path / "p"))
+    assert feed.tables() == before
+
+
+def test_latest_table_keeps_the_newest_and_old_versions_go(spark, feed):
+    for start in (0, 10, 5, 3):
         feed.put(*[line(start + k, number=f"{start}-{k}") for k in range(5)])
-    articles = live.drop_repeated(archive.live_articles(feed.raw()))
-    live.keep_latest(articles, *feed.at("latest"), n=7, once=True).awaitTermination()
-    minutes = sorted(
-        int((r["time"] - START).total_seconds() // 60)
-        for r in live.current_latest(spark, feed.at("latest")[0]).collect()
-    )
+    feed.run(n=7)
+    newest = live.current_latest(spark, feed.out)
+    minutes = sorted(int((r["time"] - START).total_seconds() // 60) for r in newest.collect())
     assert minutes == [8, 9, 10, 11, 12, 13, 14]
+    assert {f.split("version=")[1].split("/")[0] for f in newest.inputFiles()} == {"3"}
+    assert sorted(p.name for p in (feed.path / "out" / "latest").iterdir()) == ["version=2", "version=3"]
 
 
-def test_all_streams_together(spark, feed):
-    spark.createDataFrame([(0.0, 20.0)], "p1 double, p99 double").write.parquet(str(feed.path / "p"))
-    feed.put(line(0), line(16))
-    out, checkpoint = feed.at("all")
-    for query in live.start_all(spark, str(feed.folder), str(feed.path / "p"), out, checkpoint, True):
-        query.awaitTermination()
-    assert spark.read.parquet(f"{out}/articles").count() == 2
-    assert live.current_latest(spark, f"{out}/latest").count() == 2
-    assert live.current_readings(spark, f"{out}/readings").count() == 2
+def test_failed_stream_ends_with_its_error(spark, feed):
+    feed.put(line(0))
+    with pytest.raises(Exception, match="nowhere"):
+        live.start(spark, str(feed.folder), str(feed.path / "nowhere"), feed.out, str(feed.path / "c"), True).awaitTermination()
 
 
 def test_feed_items_and_today(spark):

@@ -14,12 +14,27 @@ def days(offsets):
     return [DAY0 + dt.timedelta(days=o) for o in offsets]
 
 
+@pytest.fixture
+def monkeypatch_conf(spark):
+    before = {}
+
+    def put(key, value):
+        before[key] = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @pytest.mark.parametrize("broadcast_bytes", [windows.BROADCAST_BYTES, 0])
-def test_window_join_is_the_range_join(spark, broadcast_bytes):
+def test_window_join_is_the_range_join(spark, monkeypatch_conf, broadcast_bytes):
     draw = random.Random(1)
     facts = [(i, d) for i, d in enumerate(days(draw.choices(range(60), k=200)))]
     facts += [(1000 + i, DAY0) for i in range(100)]  # a hot day
     events = [(i, d) for i, d in enumerate(days(draw.choices(range(60), k=15)))]
+    if not broadcast_bytes:
+        monkeypatch_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     joined = windows.event_window_join(
         spark.createDataFrame(facts, "f int, day date"),
         "day", spark.createDataFrame(events, "e int, event_day date"), "event_day", -3, 5,
@@ -44,6 +59,7 @@ def test_hot_date_is_split_in_the_shuffled_join(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "facts"))
     events = spark.createDataFrame([(d,) for d in days(range(0, 40, 2))], "event_day date")
     small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
@@ -89,12 +105,12 @@ def test_window_join_range_reaches_the_scan(spark, tmp_path):
     assert flat.count() == by_day.count() == 6
 
 
-@pytest.mark.parametrize("spread", [None, ["v"]])
-def test_top_per_group(spark, spread):
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_top_per_group(spark, buckets):
     draw = random.Random(2)
     rows = [("hot" if draw.random() < 0.6 else draw.choice("abc"), draw.randrange(500)) for _ in range(900)]
     frame = spark.createDataFrame(rows, "g string, v int").repartition(5)
-    top = windows.top_per_group(frame, ["g"], [F.col("v").asc()], 7, spread)
+    top = windows.top_per_group(frame, ["g"], [F.col("v").asc()], 7, buckets)
     found = sorted(tuple(r) for r in top.collect())
     wanted = sorted(
         (g, v) for g in {g for g, _ in rows} for v in sorted(v for h, v in rows if h == g)[:7]
@@ -103,6 +119,36 @@ def test_top_per_group(spark, spread):
     assert "WindowGroupLimit" in checks.plan(top)
 
 
+def _exchange_records(frame):
+    """Records that each exchange of a finished plan wrote, and the most that a reducer read of it."""
+    found, todo = [], [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_top_of_a_hot_group_shuffles_n_rows_a_task(spark, tmp_path):
+    tasks, n, buckets = 8, 10, 4
+    rows = spark.range(0, 40_000, 1, tasks).selectExpr("if(id % 10 = 0, id % 3, 9) AS g", "hash(id) AS v")
+    top = windows.top_per_group(rows, ["g"], [F.col("v").asc()], n, buckets)
+    top.collect()
+    last, first = _exchange_records(top)
+    groups = 4
+    assert first <= tasks * groups * n
+    assert last <= buckets * groups * n
+
+
 def test_nearest_date(spark):
     draw = random.Random(3)
     available = set(days(draw.sample(range(-900, 2500), 25)))
