@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from stormglass import fixed_values as V
@@ -191,6 +193,33 @@ def _(d):
     return rounded(archive.sector_impact(spikes, by_spike, d.sectors), "avg_return_pct")
 
 
+@query("event_view", f"""
+    SELECT 'chart' AS part, s.date AS event_date, strftime(i.date, '%Y-%m-%d') AS name,
+      round(i.geo_tension_index, 6) AS value, round(vix, 6) AS other
+    FROM idx i JOIN spikes s ON abs(date_diff('day', s.date, i.date)) <= 5 LEFT JOIN vix v ON v.date = i.date
+    UNION ALL SELECT 'sectors', date, sector, round(avg_return_pct, 6), target_offset::DOUBLE
+    FROM matched JOIN by_sector ON nearest_date = spike_date
+    UNION ALL SELECT 'news', event_date, url, NULL, NULL FROM (
+      SELECT around.*, label FROM around JOIN labelled ON event_date = labelled.date)
+    WHERE {R.ARCHIVE_TITLE_OK} AND {R.relevant('title', 'label')}
+    QUALIFY row_number() OVER (
+      PARTITION BY event_date ORDER BY article_date, spike_date, url, domain) <= 6""")
+def _(d):
+    index = stage(index_of(d).daily, "index")
+    spikes = stage(jobs.spike_events(index), "spikes")
+    by_spike = jobs.event_window(d.prices, spikes).by_spike
+    view = jobs.event_view(index, d.vix, spikes, by_spike, d.sectors, d.labels(spikes), archive_of(d, spikes))
+    none = F.lit(None).cast("double")
+    parts = [
+        view.chart.select(F.lit("chart").alias("part"), F.col("spike_date").alias("event_date"),
+                          F.date_format("date", "yyyy-MM-dd").alias("name"), F.col("geo_tension_index").alias("value"),
+                          F.col("vix").alias("other")),
+        view.sectors.select(F.lit("sectors"), "date", "sector", "avg_return_pct", F.col("target_offset").cast("double")),
+        view.news.select(F.lit("news"), "event_date", "url", none, none),
+    ]
+    return rounded(parts[0].union(parts[1]).union(parts[2]), "value", "other")
+
+
 @query("sector_bars", """
     SELECT spike_date, sector, CAST(coalesce(floor(abs(avg_return_pct)
         / nullif(max(abs(avg_return_pct)) OVER (PARTITION BY spike_date), 0) * 180), 0) AS INTEGER)
@@ -366,7 +395,7 @@ def _live_chart(d: Derived, now: str):
     readings = live.tension_readings(d.live, F.lit(low), F.lit(high))
     views = d.table("events").filter("event_type = 'view'")
     vix_minutes = views.select(F.col("ts").cast("timestamp").alias("timestamp"), F.col("value").alias("vix"))
-    chart = archive.live_chart(F.lit(now).cast("timestamp"), readings, vix_minutes, index.daily, d.vix)
+    chart = jobs.live_chart(datetime.fromisoformat(now), readings, vix_minutes, index.daily, d.vix)
     return rounded(chart.select("series", _minute("time"), "value"), "value")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stormglass import fixed_values as V
 from stormglass.catalog import relations as R
 from stormglass.catalog.registry import query, rounded
 from stormglass.functions import calendar, news_text
@@ -60,6 +61,35 @@ def _(d):
     return news_source.scan_news_store(d.spark, store)
 
 
+_STORE = f"""
+    SELECT {NEWS}, TRY_CAST(str_split(tone, ',')[3] AS DOUBLE) AS neg_score,
+      regexp_matches(themes, '#(U[A-RT-Z]|[A-TV-Z][A-Z])#') AS is_foreign,
+      CASE WHEN length(date) >= 8 THEN CAST(try_strptime(substr(date, 1, 8), '%Y%m%d') AS DATE) END
+        AS article_date,
+      CASE WHEN length(date) >= 8 THEN
+        strftime(try_strptime(substr(date, 1, 8), '%Y%m%d'), '%Y-%m') END AS article_month
+    FROM news"""
+
+
+@query("ingest_by_day", _STORE)
+def _(d):
+    store = scratch_path(d.spark, "news_store")
+    raw = news_source.scan_raw_news(d.spark, d.raw_news_folder())
+    news_source.write_news_store(news_source.ingest_raw_news(raw), store)
+    return news_source.scan_news_store(d.spark, store)
+
+
+@query("ingest_update", _STORE)
+def _(d):
+    """Three loads into the same months, bad dates in each, some records in two of them."""
+    store = scratch_path(d.spark, "news_store")
+    news = d.news
+    part = F.col("record_id").cast("bigint") % 3
+    for load in (part < 2, part > 0, part == 2):
+        news_source.write_news_store(news.where(load), store, by="article_month", update=True)
+    return news_source.scan_news_store(d.spark, store)
+
+
 @query("prune_files_by_year", """
     SELECT path FROM (SELECT 'http://archive.example/v2/' || strftime(o_orderdate, '%Y%m%d')
         || '120000' || ['.gkg.csv.zip', '.export.CSV.zip', '.mentions.CSV.zip'][o_orderkey % 3 + 1]
@@ -271,10 +301,22 @@ def _(d):
     return rounded(tension.index_percentiles(daily), "p1", "p99")
 
 
-@query("index_percentiles_approx")
+@query("index_percentiles_approx", """
+    SELECT 'p1' AS name, true AS within UNION ALL SELECT 'p99', true""")
 def _(d):
-    daily = tension.daily_tension(cleaning.clean_news(d.news))
-    return tension.index_percentiles(daily, accuracy=100)
+    """Whether each approximate percentile has a rank within the error that its accuracy allows."""
+    accuracy = 100
+    daily = stage(tension.daily_tension(cleaning.clean_news(d.news)), "daily")
+    found = tension.index_percentiles(daily, accuracy)
+    low, high = found.select("p1").scalar(), found.select("p99").scalar()
+    ranks = daily.agg(*(
+        F.sum((F.col("geo_tension_raw") <= value).cast("long")).alias(name) for name, value in (("p1", low), ("p99", high))
+    ), F.count("geo_tension_raw").alias("n"))
+    near = [F.abs(F.col(name) - share * F.col("n")) <= F.col("n") / accuracy + 1
+            for name, share in (("p1", V.LOW_PERCENTILE), ("p99", V.HIGH_PERCENTILE))]
+    return ranks.select(F.explode(F.array(
+        F.struct(F.lit("p1").alias("name"), near[0].alias("within")),
+        F.struct(F.lit("p99").alias("name"), near[1].alias("within")))).alias("x")).select("x.*")
 
 
 @query("normalize_0_10", "SELECT date, round(geo_tension_index, 6) AS geo_tension_index FROM idx")

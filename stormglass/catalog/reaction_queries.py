@@ -252,9 +252,8 @@ def _(d):
     index = stage(index_of(d).daily, "index")
     spikes = stage(jobs.spike_events(index), "spikes")
     summary = stage(jobs.event_window(d.prices, spikes).summary, "summary")
-    holdings = portfolio.join_portfolio_reactions(d.portfolio(), summary, missing_as_zero=True)
     return rounded(
-        portfolio.risk_snapshot(index, holdings), "current_score", "delta_score",
+        jobs.risk_snapshot(index, summary, d.portfolio()), "current_score", "delta_score",
         "weighted_avg_return_5d", "weighted_worst_drawdown",
     )
 

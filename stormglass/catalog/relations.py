@@ -250,10 +250,11 @@ RELATIONS: dict[str, str] = {
     "live_once": """
       SELECT * FROM live_raw
       QUALIFY row_number() OVER (PARTITION BY url, date ORDER BY source, themes, tone) = 1""",
-    "live_titled": f"SELECT *, {live_title('url')} AS title FROM live_once",
+    "live_titled": f"SELECT *, {live_title('url')} AS title FROM live_raw",
+    "once_titled": f"SELECT *, {live_title('url')} AS title FROM live_once",
     "live_articles": f"""
       SELECT *, {LIVE_CATEGORY} AS category, try_strptime(date, '%Y%m%d%H%M%S') AS time
-      FROM live_titled
+      FROM once_titled
       WHERE {LIVE_THEMES} AND {LIVE_URL} AND {LIVE_TITLE_OK}
         AND try_strptime(date, '%Y%m%d%H%M%S') IS NOT NULL""",
     "readings": f"""

@@ -1,17 +1,21 @@
 """Command line of the jobs, for spark-submit: stormglass_job.py JOB --option value ...
 
-ingest         raw news files of some years -> news store
+ingest         raw news files (of some years) -> news store, new or added to
 tension        news (TSV or store)          -> daily index, spikes, percentiles
 event-window   price files and spikes       -> reactions by spike, curve, ticker summary
 portfolio      ticker summary, holdings     -> risk summary, exposure
 spike-news     news and spikes              -> supporting news
 labels         spikes and spike news        -> labelled spikes
+event-view     index, vix, spikes, reactions -> chart, sector impact and news of spikes
+risk-snapshot  index, ticker summary        -> current score, level and portfolio figures
+live-chart     live tables, index, vix      -> points of the live chart
 live           folder of live files         -> stream of articles, readings, latest news
 """
 
 from __future__ import annotations
 
 import argparse
+from datetime import date, datetime
 
 from stormglass import fixed_values as V
 from stormglass.operators import archive
@@ -33,27 +37,35 @@ def parser() -> argparse.ArgumentParser:
             kind = type(default) if default is not None else str
             command.add_argument(f"--{option.replace('_', '-')}", type=kind, default=default)
 
-    job("ingest", "raw", "out", first_year=V.FIRST_YEAR, last_year=V.LAST_YEAR, by="article_date",
-        update=0)
-    job("tension", "news", "index-out", "spikes-out", percentiles_out=None, sigmas=V.SPIKE_SIGMAS)
+    job("ingest", "raw", "out", first_year=None, last_year=None, by="article_date", update=0)
+    job("tension", "news", "index-out", "spikes-out", percentiles_out=None, sigmas=V.SPIKE_SIGMAS,
+        accuracy=None)
     job("event-window", "prices", "spikes", "by-spike-out", "curve-out", "summary-out")
     job("portfolio", "summary", "risk-out", "exposure-out", holdings=None)
     job("spike-news", "news", "spikes", "out", per_spike=V.NEWS_PER_SPIKE)
     job("labels", "spikes", "spike-news", "out")
+    job("event-view", "index", "vix", "spikes", "by-spike", "spike-news", "out", day=None)
+    job("risk-snapshot", "index", "summary", "out", holdings=None)
+    job("live-chart", "live", "vix-minutes", "index", "vix", "out", now=None)
     job("live", "folder", "percentiles", "out", "checkpoint", once=0, files_per_batch=1000)
     return top
 
 
+def _number(text: str | None) -> int | None:
+    return None if text is None else int(text)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"stormglass-{args.job}")
     if args.job == "ingest":
         jobs.run_ingest(
-            spark, args.raw, args.out, args.first_year, args.last_year, args.by, bool(args.update)
+            spark, args.raw, args.out, _number(args.first_year), _number(args.last_year), args.by, bool(args.update)
         )
     elif args.job == "tension":
         jobs.run_tension(
-            spark, args.news, args.index_out, args.spikes_out, args.percentiles_out, args.sigmas
+            spark, args.news, args.index_out, args.spikes_out, args.percentiles_out, args.sigmas,
+            _number(args.accuracy),
         )
     elif args.job == "event-window":
         jobs.run_event_window(
@@ -71,6 +83,17 @@ def main(argv: list[str] | None = None) -> None:
             spark.read.parquet(args.spike_news),
         )
         tables.write_table(labelled, args.out)
+    elif args.job == "event-view":
+        jobs.run_event_view(
+            spark, args.index, args.vix, args.spikes, args.by_spike, args.spike_news, args.out,
+            date.fromisoformat(args.day) if args.day else None,
+        )
+    elif args.job == "risk-snapshot":
+        holdings = spark.read.parquet(args.holdings) if args.holdings else None
+        jobs.run_risk_snapshot(spark, args.index, args.summary, args.out, holdings)
+    elif args.job == "live-chart":
+        now = datetime.fromisoformat(args.now) if args.now else None
+        jobs.run_live_chart(spark, args.live, args.vix_minutes, args.index, args.vix, args.out, now)
     elif args.job == "live":
         # One stream feeds all live tables; if it fails, the job ends with its error.
         live.start(

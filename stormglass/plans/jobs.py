@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stormglass import fixed_values as V
 from stormglass.operators import archive, cleaning, portfolio, reactions, tension
 from stormglass.session import stage
 from stormglass.sources import news as news_source
 from stormglass.sources import tables
+from stormglass.streaming import live
 
 
 @dataclass(frozen=True)
@@ -21,10 +24,13 @@ class Index:
     percentiles: DataFrame
 
 
-def tension_index(clean: DataFrame) -> Index:
-    """One scan of the articles; everything after it works on the staged daily table."""
+def tension_index(clean: DataFrame, accuracy: int | None = None) -> Index:
+    """One scan of the articles; everything after it works on the staged daily table.
+
+    The percentiles are exact, or approximate with an accuracy (a rank is off by at most days / accuracy).
+    """
     profile = stage(tension.daily_profile(clean), "daily_profile")
-    percentiles = tension.index_percentiles(profile)
+    percentiles = tension.index_percentiles(profile, accuracy)
     daily = tension.normalize_index(profile, percentiles).select(*tension.INDEX_COLUMNS)
     return Index(daily, percentiles)
 
@@ -64,17 +70,53 @@ def spike_news(
     return archive.top_news_per_spike(titled, n, closest_first).select(*archive.NEWS_COLUMNS)
 
 
+@dataclass(frozen=True)
+class EventView:
+    """What the page of an event shows: index and volatility around it, sector impact, supporting news."""
+
+    chart: DataFrame
+    sectors: DataFrame
+    news: DataFrame
+
+
+def event_view(
+    index: DataFrame, vix: DataFrame, spikes: DataFrame, by_spike: DataFrame, sectors: DataFrame,
+    known: DataFrame, spike_news: DataFrame, day: date | None = None,
+) -> EventView:
+    """The view of all spikes, or of the one on a day. Inputs should be stored tables."""
+    labelled = stage(archive.spike_labels(spikes, known, spike_news), "labelled")
+    if day is not None:
+        labelled = labelled.filter(F.col("date") == F.lit(day))
+    return EventView(
+        archive.window_slice(archive.overlay_vix(index, vix), labelled),
+        archive.sector_impact(labelled, by_spike, sectors),
+        archive.supporting_news(spike_news, labelled),
+    )
+
+
+def risk_snapshot(index: DataFrame, summary: DataFrame, holdings: DataFrame) -> DataFrame:
+    """Current score, risk level and portfolio figures in one row. Inputs should be stored tables."""
+    joined = portfolio.join_portfolio_reactions(holdings, summary, missing_as_zero=True)
+    return portfolio.risk_snapshot(index, joined)
+
+
+def live_chart(
+    now: datetime, readings: DataFrame, vix_minutes: DataFrame, index: DataFrame, vix: DataFrame
+) -> DataFrame:
+    """Points of the live chart at a time (UTC)."""
+    return archive.live_chart(F.lit(f"{now:%Y-%m-%d %H:%M:%S}").cast("timestamp"), readings, vix_minutes, index, vix)
+
+
 # --- Jobs on paths
 
 
 def run_ingest(
-    spark: SparkSession, raw_folder: str, out: str, first_year: int = V.FIRST_YEAR,
-    last_year: int = V.LAST_YEAR, by: str = "article_date", update: bool = False,
+    spark: SparkSession, raw_folder: str, out: str, first_year: int | None = None,
+    last_year: int | None = None, by: str = "article_date", update: bool = False,
 ) -> None:
-    """Raw archive to the classified news store, partitioned by day or month."""
-    raw = news_source.scan_raw_news(
-        spark, news_source.raw_news_glob(raw_folder, first_year, last_year)
-    )
+    """Raw archive to the classified news store, partitioned by day or month. All files below the folder are read,
+    or those of some years; an update adds to the store."""
+    raw = news_source.scan_raw_news(spark, raw_folder, first_year=first_year, last_year=last_year)
     news_source.write_news_store(news_source.ingest_raw_news(raw), out, by, update)
 
 
@@ -95,9 +137,9 @@ def _article_input(spark: SparkSession, path: str) -> DataFrame:
 
 def run_tension(
     spark: SparkSession, news: str, index_out: str, spikes_out: str, percentiles_out: str | None = None,
-    sigmas: float = V.SPIKE_SIGMAS,
+    sigmas: float = V.SPIKE_SIGMAS, accuracy: int | None = None,
 ) -> dict[str, int]:
-    index = tension_index(_clean_input(spark, news))
+    index = tension_index(_clean_input(spark, news), accuracy)
     counts = {"index": tables.write_table(index.daily, index_out)}
     stored = spark.read.parquet(index_out)
     counts["spikes"] = tables.write_table(spike_events(stored, sigmas), spikes_out)
@@ -132,3 +174,32 @@ def run_spike_news(
 ) -> int:
     found = spike_news(_article_input(spark, news), spark.read.parquet(spikes), n)
     return tables.write_table(found, out)
+
+
+def run_event_view(
+    spark: SparkSession, index: str, vix: str, spikes: str, by_spike: str, spike_news: str, out: str,
+    day: date | None = None,
+) -> dict[str, int]:
+    read = spark.read.parquet
+    view = event_view(
+        read(index), read(vix), read(spikes), read(by_spike), tables.sector_tickers(spark), tables.known_events(spark),
+        read(spike_news), day)
+    parts = {"chart": view.chart, "sectors": view.sectors, "news": view.news}
+    return {name: tables.write_table(part, f"{out}/{name}") for name, part in parts.items()}
+
+
+def run_risk_snapshot(
+    spark: SparkSession, index: str, summary: str, out: str, holdings: DataFrame | None = None
+) -> int:
+    holdings = holdings if holdings is not None else tables.literal_portfolio(spark)
+    return tables.write_table(risk_snapshot(spark.read.parquet(index), spark.read.parquet(summary), holdings), out)
+
+
+def run_live_chart(
+    spark: SparkSession, live_tables: str, vix_minutes: str, index: str, vix: str, out: str, now: datetime | None = None
+) -> int:
+    """The chart from the tables of the live job, daily index and volatility; now is the current time by default."""
+    read = spark.read.parquet
+    points = live_chart(now or datetime.now(UTC), live.current_readings(spark, live_tables), read(vix_minutes),
+                        read(index), read(vix))
+    return tables.write_table(points, out)

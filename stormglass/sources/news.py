@@ -9,6 +9,7 @@ from stormglass import schemas
 from stormglass.fixed_values import TONE_MAX, TONE_MIN
 from stormglass.functions import calendar, news_text
 from stormglass.operators import cleaning
+from stormglass.session import stage
 
 # Quotes are data in these files: an unbalanced one must not swallow the next fields.
 _TSV = {"sep": "\t", "quote": "", "header": "false"}
@@ -17,6 +18,9 @@ _TSV = {"sep": "\t", "quote": "", "header": "false"}
 RAW_SUFFIX = r"\.gkg\.csv"
 PATH_FIELD = 3
 
+#: Ends of an open year range in file names.
+EARLIEST_YEAR, LATEST_YEAR = 1900, 2199
+
 
 def scan_news_tsv(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(schemas.FILTERED_NEWS).options(**_TSV).csv(list(paths))
@@ -37,18 +41,27 @@ def scan_news_positional(spark: SparkSession, *paths: str) -> DataFrame:
     return as_articles(scan_news_tsv(spark, *paths))
 
 
-def scan_raw_news(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw lines (plain or gzip text); only the six used fields are materialised."""
-    raw = spark.read.schema(schemas.raw_news()).options(**_TSV).csv(list(paths))
+def raw_file_names(first_year: int | None = None, last_year: int | None = None) -> str:
+    """Pattern of the names of raw files: all, or those that begin with a year of the range."""
+    if first_year is None and last_year is None:
+        return "*.csv*"
+    # Names of files of other years are not even opened.
+    years = range(first_year or EARLIEST_YEAR, (last_year or LATEST_YEAR) + 1)
+    return f"{{{','.join(map(str, years))}}}*.csv*"
+
+
+def scan_raw_news(
+    spark: SparkSession, *paths: str, first_year: int | None = None, last_year: int | None = None,
+) -> DataFrame:
+    """Raw lines (plain or gzip text) of all files below the paths, of some years if asked for; only the six used
+    fields are materialised."""
+    options = {**_TSV, "recursiveFileLookup": "true"}
+    if first_year is not None or last_year is not None:
+        options["pathGlobFilter"] = raw_file_names(first_year, last_year)
+    raw = spark.read.schema(schemas.raw_news()).options(**options).csv(list(paths))
     return raw.select(*schemas.RAW_NEWS_FIELDS.values())
 
 
-def raw_news_glob(folder: str, first_year: int, last_year: int) -> str:
-    """Path of the raw files of some years, so that other years are no input at all."""
-    years = ",".join(str(y) for y in range(first_year, last_year + 1))
-    return f"{folder}/{{{years}}}*.csv*"
-
-
 def prune_files_by_year(listing: DataFrame, first_year: int, last_year: int) -> DataFrame:
     """Paths of raw news files in the year range, from lines of "size hash path"."""
     years = "|".join(str(y) for y in range(first_year, last_year + 1))
@@ -80,15 +93,36 @@ def write_news_store(
 ) -> None:
     """News table partitioned by day, or by "article_month" where days are small.
 
-    Replaces the whole table, or with update only the partitions that occur in the news.
+    Replaces the whole table, or with update adds the articles that it does not hold yet.
 
     The rebalance before the write gives each partition few files, and splits one that holds a
     large share of all rows over several tasks. Rows without a valid day go to a NULL partition.
     """
-    rows = as_store_rows(news).hint("rebalance", by)
-    overwrite = "dynamic" if update else "static"
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
-    writer.partitionBy(by).parquet(path)
+    rows = as_store_rows(news)
+    if update:
+        rows = _not_stored(rows, path, by)
+    writer = rows.hint("rebalance", by).write.mode("append" if update else "overwrite")
+    writer.option("partitionOverwriteMode", "static").partitionBy(by).parquet(path)
+
+
+def _not_stored(rows: DataFrame, path: str, by: str) -> DataFrame:
+    """One row of each record_id that the partitions of the rows do not hold yet; rows without one are all kept.
+
+    A load that failed or is run again adds nothing twice, and no stored row is touched.
+    """
+    spark = rows.sparkSession
+    rest = [c for c in rows.columns if c != "record_id"]
+    first = rows.where("record_id IS NOT NULL").groupBy("record_id").agg(F.min(F.struct(*rest)).alias("first"))
+    unique = first.select("record_id", "first.*").select(*rows.columns)
+    fresh = stage(unique.unionByName(rows.where("record_id IS NULL")), "load")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return fresh
+    known = scan_news_store(spark, path).select(F.col("record_id").alias("known_id"), F.col(by).cast("string").alias("part"))
+    touched = fresh.select(F.col(by).cast("string").alias("new_part")).distinct()
+    # The partitions of a load are few; the semi join reads no others.
+    known = known.join(touched, F.col("part").eqNullSafe(F.col("new_part")), "left_semi")
+    return fresh.join(known, F.col("record_id") == F.col("known_id"), "left_anti")
 
 
 def scan_news_store(spark: SparkSession, path: str) -> DataFrame:

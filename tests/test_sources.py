@@ -31,12 +31,19 @@ def test_raw_files_by_year(spark, tmp_path):
             f.write(raw_line(f"r{year}", f"{year}0101120000", "MILITARY#RS#", "0,1,5.0") + "\n")
             f.write(raw_line(f"x{year}", f"{year}0101120000", "SPORTS", "0,1,5.0") + "\n")
             f.write("only\ttwo\n")
-    years = news_source.raw_news_glob(str(tmp_path), 2016, 2018)
-    found = news_source.ingest_raw_news(news_source.scan_raw_news(spark, years))
+    raw = news_source.scan_raw_news(spark, str(tmp_path), first_year=2016, last_year=2018)
+    found = news_source.ingest_raw_news(raw)
     assert {(r["record_id"], r["category"]) for r in found.collect()} == {
         ("r2016", "CONFLICT"), ("r2017", "CONFLICT")
     }
     assert found.columns == schemas.FILTERED_NEWS.names
+    nested = tmp_path / "more" / "2031"
+    nested.mkdir(parents=True)
+    (nested / "late.csv").write_text(raw_line("r2031", "20310101120000", "MILITARY#RS#", "0,1,5.0") + "\n")
+    every = news_source.ingest_raw_news(news_source.scan_raw_news(spark, str(tmp_path)))
+    assert {r["record_id"] for r in every.collect()} == {"r2015", "r2016", "r2017", "r2031"}
+    later = news_source.ingest_raw_news(news_source.scan_raw_news(spark, str(tmp_path), first_year=2017))
+    assert {r["record_id"] for r in later.collect()} == {"r2017"}
 
 
 def test_file_list(spark):
@@ -64,16 +71,23 @@ def test_store(spark, tmp_path, by):
     assert len(folders) == (4 if by == "article_date" else 3)
 
 
-def test_store_is_replaced_or_updated(spark, tmp_path):
-    def news(*days):
-        rows = [(d, d, "s", "u", "WAR#RS#", "0,1,2.5,0", "CONFLICT") for d in days]
+@pytest.mark.parametrize("by", ["article_date", "article_month"])
+def test_update_never_deletes(spark, tmp_path, by):
+    def news(*records):
+        rows = [(i, d, s, "u", "WAR#RS#", "0,1,2.5,0", "CONFLICT") for i, d, s in records]
         return spark.createDataFrame(rows, schemas.FILTERED_NEWS)
 
     path = str(tmp_path / "store")
-    news_source.write_news_store(news("20200101", "20200102"), path)
-    news_source.write_news_store(news("20200102", "20200103"), path, update=True)
-    assert news_source.scan_news_store(spark, path).count() == 3
-    news_source.write_news_store(news("20200104"), path)
+    first = [("1", "20200101", "a"), ("2", "20200101", "a"), ("3", "bad", "a")]
+    second = [("4", "20200101", "a"), ("5", "worse", "a"), ("2", "20200101", "b"), ("6", "20200301", "b"), ("6", "20200301", "a"),
+              (None, "20200101", "a"), (None, "20200101", "a")]
+    for load in (first, second, second[:5]):
+        news_source.write_news_store(news(*load), path, by, update=True)
+    store = news_source.scan_news_store(spark, path).collect()
+    assert sorted((r["record_id"], r["source"]) for r in store if r["record_id"]) == [
+        ("1", "a"), ("2", "a"), ("3", "a"), ("4", "a"), ("5", "a"), ("6", "a")]
+    assert sum(r["record_id"] is None for r in store) == 2
+    news_source.write_news_store(news(("7", "20200104", "a")), path, by)
     assert news_source.scan_news_store(spark, path).count() == 1
 
 
@@ -128,6 +142,21 @@ def test_all_jobs_by_command_line(spark, tmp_path):
     cli.main(["portfolio", "--summary", at["summary"], "--risk-out", at["risk"], "--exposure-out", at["exposure"]])
     cli.main(["spike-news", "--news", at["store"], "--spikes", at["spikes"], "--out", at["news"]])
     cli.main(["labels", "--spikes", at["spikes"], "--spike-news", at["news"], "--out", at["labels"]])
+    vix = "make_timestamp(2019, 1, 1, 15, 0, 0) + make_interval(0, 0, 0, cast(id as int)) AS t"
+    spark.range(360).selectExpr("to_date('2019-01-01') + cast(id as int) AS date", "20.0D AS vix").write.parquet(
+        str(tmp_path / "vix"))
+    spark.range(3).selectExpr(vix, "id").selectExpr("t AS timestamp", "20.0D + id AS vix").write.parquet(str(tmp_path / "minutes"))
+    cli.main(["event-view", "--index", at["index"], "--vix", str(tmp_path / "vix"), "--spikes", at["spikes"],
+              "--by-spike", at["by_spike"], "--spike-news", at["news"], "--out", str(tmp_path / "view"),
+              "--day", "2019-06-12"])
+    cli.main(["risk-snapshot", "--index", at["index"], "--summary", at["summary"], "--out", str(tmp_path / "snapshot")])
+    cli.main(["live-chart", "--live", str(tmp_path / "none"), "--vix-minutes", str(tmp_path / "minutes"), "--index",
+              at["index"], "--vix", str(tmp_path / "vix"), "--out", str(tmp_path / "chart"), "--now", "2019-01-02 15:30:00"])
+    assert spark.read.parquet(str(tmp_path / "view" / "chart")).count() == 11
+    assert {r["sector"] for r in spark.read.parquet(str(tmp_path / "view" / "sectors")).collect()} >= {"Energy"}
+    assert spark.read.parquet(str(tmp_path / "view" / "news")).count() == 6
+    assert spark.read.parquet(str(tmp_path / "snapshot")).count() == 1
+    assert {r["series"] for r in spark.read.parquet(str(tmp_path / "chart")).collect()} == {"vix"}
     read = {n: spark.read.parquet(p) for n, p in at.items() if n != "store"}
     assert read["index"].count() == len(days)
     assert {str(r["date"]) for r in read["spikes"].collect()} == {f"2019-06-{d}" for d in range(11, 16)}
