@@ -24,12 +24,14 @@ from stormglass.llm.scratch import Scratch
 WORDS, LEAST = 5, 0.8
 #: At similarity 0.8 a pair shares one of 10 bands of 3 samples in 99.9 % of all cases.
 BANDS, BAND_SAMPLES = 10, 3
-#: Pairs that share fewer of their samples are not verified; at similarity 0.8 that is 1 in 5,000.
-SHARED_SAMPLES = 16
+#: Pairs that share fewer of their samples are not verified; at similarity 0.8 that is 1 in 500.
+SHARED_SAMPLES = 17
 #: Texts of a bucket that are compared each with each, where they are not linked yet.
 SMALL_BUCKET = 32
 #: Texts of a larger bucket that the others are compared with, in each round after the first.
-CENTRES = 6
+CENTRES = 3
+#: The rounds end when one finds less than this share of all links.
+FEW_LINKS = 0.002
 #: Document frequencies are counted in so many cells, shingles sharing one by hash, in parts of PART cells.
 CELLS, PART = 1 << 20, 1 << 10
 _SLICE_BYTES, _BLOCK_SHINGLES = 6_000_000, 100_000
@@ -234,9 +236,11 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = LEAST) -> D
     text and one without words are like no other document. The kept row is that of the smallest doc_id (null
     last, ties by key); of rows that repeat doc_id and text all bear the mark, and ``keep_one`` leaves one.
 
-    Equal texts are one text until the end. First every band bucket compares one of its texts with the others. Then
+    Equal texts are one text until the end. First every band bucket compares its most typical text with the others. Then
     buckets of at most SMALL_BUCKET texts compare all that are not yet in one component, while larger ones go on
-    with a few texts after the others, so that a bucket never costs its square. The rounds end when one links nothing new.
+    with a few texts after the others, so that a bucket never costs its square. The rounds end
+    when one finds hardly a new link; what could be lost is a link between texts of a large bucket whose components no
+    round has brought together.
     """
     docs = docs.select("doc_id", "text")
     idf = inverse_frequencies(docs)
@@ -251,19 +255,35 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = LEAST) -> D
 
 
 def _shared_buckets(texts: DataFrame) -> DataFrame:
-    """(bucket, cls, large) of all band buckets with more than one text."""
+    """(bucket, cls, large, typical) of all band buckets with more than one text.
+
+    typical: how many texts share the bands of a text. In a group of copies of one original, that is largest for
+    the original, with which the others have most in common.
+    """
     rows = texts.select("cls", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = shared.select((F.col("bucket") + F.lit(0)).alias("b"), (F.col("n") > SMALL_BUCKET).alias("large"))
-    return rows.join(shared, F.col("bucket") == F.col("b")).drop("b")
+    shared = shared.select((F.col("bucket") + F.lit(0)).alias("b"), "n")
+    members = rows.join(shared, F.col("bucket") == F.col("b")).drop("b")
+    typical = members.groupBy("cls").agg(F.sum("n").alias("typical"))
+    typical = typical.select((F.col("cls") + F.lit(0)).alias("c"), "typical")
+    return members.join(typical, F.col("cls") == F.col("c")).select(
+        "bucket", "cls", (F.col("n") > SMALL_BUCKET).alias("large"), "typical")
+
 
+def _with_centres(placed: DataFrame, turn: int) -> DataFrame:
+    """(a, b): the texts of each bucket with some of them, where components differ.
 
-def _with_centres(placed: DataFrame, turns: range) -> DataFrame:
-    """(a, b): the texts of each bucket with some of them, in each turn another one, where components differ."""
-    orders = [F.struct(F.xxhash64(F.lit(t), "cls").alias("turn"), "cls", "component") for t in turns]
-    centres = placed.groupBy("bucket").agg(*(F.min(x).alias(f"c{t}") for t, x in zip(turns, orders, strict=True)))
-    centres = centres.select((F.col("bucket") + F.lit(0)).alias("b"),
-                             F.explode(F.array_distinct(F.array(*(f"c{t}" for t in turns)))).alias("c"))
+    The first turn takes the most typical text, later ones take others by hash and the most typical of some by hash.
+    """
+    orders = [F.struct(-F.col("typical"), "cls", "component")]
+    if turn:
+        hashes = [F.xxhash64(F.lit(CENTRES * turn + k), "cls") for k in range(CENTRES)]
+        orders = [F.struct(hashes[0], "cls", "component")]
+        orders += [F.struct((F.pmod(h, F.lit(4)) > 0), -F.col("typical"), "cls", "component") for h in hashes[1:]]
+    centres = placed.groupBy("bucket").agg(*(F.min(x).alias(f"c{k}") for k, x in enumerate(orders)))
+    chosen = F.array(*(F.struct(F.col(f"c{k}.cls").alias("cls"), F.col(f"c{k}.component").alias("component"))
+                       for k in range(len(orders))))
+    centres = centres.select((F.col("bucket") + F.lit(0)).alias("b"), F.explode(F.array_distinct(chosen)).alias("c"))
     centres = centres.select("b", F.col("c.cls").alias("centre"), F.col("c.component").alias("of"))
     pairs = placed.join(centres, F.col("bucket") == F.col("b")).where("component <> of")
     return pairs.select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
@@ -282,19 +302,18 @@ def _verified_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, idf:
     bodies = scratch.stage(_bodies(docs, texts, buckets), "bodies")
     sides = [bodies.select(F.col("cls").alias(f"of_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab"]
     links = tested = components = None
-    turn = 0
+    turn = known = 0
     while True:
-        turns = range(1) if not turn else range(1 + (turn - 1) * CENTRES, 1 + turn * CENTRES)
         placed = buckets.withColumn("component", F.col("cls"))
         if turn:
             placed = (
                 buckets.where("large" if turn > 1 else "true")
                 .join(components, F.col("cls") == F.col("vertex"), "left")
-                .select("bucket", "cls", "large", F.coalesce("component", "cls").alias("component")))
+                .select("bucket", "cls", "large", "typical", F.coalesce("component", "cls").alias("component")))
         if turn == 1:
-            pairs = _with_centres(placed.where("large"), turns).unionByName(_with_each(placed.where("NOT large")))
+            pairs = _with_centres(placed.where("large"), turn).unionByName(_with_each(placed.where("NOT large")))
         else:
-            pairs = _with_centres(placed, turns)
+            pairs = _with_centres(placed, turn)
         pairs = pairs.distinct()
         if turn:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -303,9 +322,13 @@ def _verified_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, idf:
         found = scratch.stage(similarities(both, idf).where(F.col("similarity") >= least).select("a", "b"), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        if turn and found.isEmpty():
+        new = found.count()
+        known += new
+        if turn and new == 0:
             return components
         components = scratch.stage(connected(links, scratch), "members")
+        if turn and new < FEW_LINKS * known:
+            return components
         turn += 1
 
 
