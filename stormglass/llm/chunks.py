@@ -36,18 +36,18 @@ def distinct_parts(data: np.ndarray, begins: np.ndarray, ends: np.ndarray | None
     return coded.dictionary, coded.indices.to_numpy()
 
 
-def split_chunks(texts: pa.Array, any_space: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def split_chunks(texts: pa.Array, alone: np.ndarray, any_space: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Different chunks, the number of each chunk in order, and where the chunks of each text begin.
 
     A space is put before each text that is not empty. A chunk begins at a space behind another
-    character, at and after a control character, and at each text. any_space: ASCII white space counts as space.
+    character, at and after the bytes that ``alone`` marks, and at each text. any_space: ASCII white space counts as space.
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
     texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, ""))
     data, starts = text_bytes(texts)
     if any_space:
         data = np.where((data >= 9) & (data <= 13), np.uint8(0x20), data)
-    space, control = data == 0x20, data < 0x20
+    space, control = data == 0x20, alone[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[1:-1] = (space[1:] & ~space[:-1]) | control[1:] | control[:-1]
     cut[starts] = True

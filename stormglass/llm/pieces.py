@@ -24,7 +24,7 @@ from stormglass.llm.chunks import slices, split_chunks
 #: Vocabulary file, a parameter of all entry points.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose chunks are told apart at a time, and characters of distinct chunks indexed at a time.
-SLICE_BYTES, INDEX_CHARS = 8_000_000, 500_000
+SLICE_BYTES, INDEX_CHARS = 5_000_000, 300_000
 
 #: Characters packed into a sort key, bits of each.
 _PACK, _BITS = 4, 15
@@ -261,11 +261,18 @@ def _with_bytes(found: np.ndarray, offsets: np.ndarray, chunks: list[str], vocab
     return np.concatenate(parts), np.concatenate([[0], np.cumsum(count)])
 
 
+def alone(vocabulary: Vocabulary) -> np.ndarray:
+    """Control characters that no piece holds: they part chunks."""
+    marks = np.arange(256) < 0x20
+    marks[vocabulary.alphabet[vocabulary.alphabet < 0x20]] = False
+    return marks
+
+
 def encode_batch(texts: pa.Array, vocabulary: Vocabulary) -> pa.ListArray:
     """Pieces of each text; a null or empty text has none."""
     texts = pc.fill_null(texts.cast(pa.string()), "")
     texts = pc.replace_substring(texts, _SPACE, " ")
-    distinct, codes, rows = split_chunks(texts)
+    distinct, codes, rows = split_chunks(texts, alone(vocabulary))
     sizes = np.cumsum(pc.utf8_length(distinct).to_numpy() + 1)
     found, counts, done = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
     while done < len(distinct):
