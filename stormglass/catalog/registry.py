@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from stormglass.catalog.relations import with_relations
 from stormglass.sources.derived import Derived
 
+_INPUTS: dict[tuple[str, str], Derived] = {}
+
+
+def inputs(spark: SparkSession, folder: str) -> Derived:
+    """The derived inputs of a folder; what they stage is written once in a session and used by all queries."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _INPUTS:
+        _INPUTS[key] = Derived(spark, folder)
+    return _INPUTS[key]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,7 +31,7 @@ def query(name: str, sql: str | None = None):
     def register(build: Callable[[Derived], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, folder: build(Derived(spark, folder))
+        QUERIES[name] = lambda spark, folder: build(inputs(spark, folder))
         if sql is not None:
             ORACLES[name] = with_relations(sql)
         return build

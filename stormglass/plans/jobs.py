@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormglass import fixed_values as V
 from stormglass.operators import archive, cleaning, portfolio, reactions, tension
+from stormglass.operators.windows import measure
 from stormglass.session import stage
 from stormglass.sources import news as news_source
 from stormglass.sources import tables
@@ -152,8 +153,13 @@ def run_event_window(
     spark: SparkSession, price_paths: list[str], spikes: str, by_spike_out: str, curve_out: str,
     summary_out: str,
 ) -> None:
-    prices = tables.scan_long_prices(spark, *price_paths)
-    result = event_window(prices, spark.read.parquet(spikes))
+    stored = spark.read.parquet(spikes)
+    low, high = V.PRICE_WINDOW
+    extent = measure(stored.select("date"), "date")
+    days = {}
+    if extent.first is not None:
+        days = {"first": extent.first + timedelta(days=low), "last": extent.last + timedelta(days=high)}
+    result = event_window(tables.scan_long_prices(spark, *price_paths, **days), stored)
     tables.write_sorted(result.by_spike, by_spike_out, "spike_date", "ticker", "days_from_spike")
     tables.write_sorted(result.curve, curve_out, "ticker", "days_from_spike")
     tables.write_table(result.summary, summary_out)

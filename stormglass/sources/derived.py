@@ -94,15 +94,20 @@ class Derived:
         self.news.write.options(sep="\t", quote="").csv(path)
         return path
 
-    def raw_news_folder(self) -> str:
-        """Raw lines of 27 fields, used ones at their places."""
+    def raw_news_folder(self, filler: int = 0, times: int = 1) -> str:
+        """Raw lines of 27 fields, used ones at their places, the others longer by filler characters in all. With times
+        the same lines are written so often."""
         path = scratch_path(self.spark, "raw_news")
         used = schemas.RAW_NEWS_FIELDS
         fields = [
             F.coalesce(F.col(used[i]), F.lit("")) if i in used else F.lit(f"f{i}")
             for i in range(1, schemas.RAW_NEWS_WIDTH + 1)
         ]
-        self.news_rows.select(F.concat_ws("\t", *fields).alias("value")).write.text(path)
+        if filler:
+            fields[-1] = F.repeat(F.lit("SOME_THEME#"), filler // 11)
+        lines = self.news_rows.select(F.concat_ws("\t", *fields).alias("value"))
+        for _ in range(times):
+            lines.write.mode("append").text(path)
         return path
 
     @cached_property

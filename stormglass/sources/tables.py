@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,8 +37,18 @@ def scan_prices(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def scan_long_prices(spark: SparkSession, *paths: str) -> DataFrame:
-    return prices_wide_to_long(scan_prices(spark, *paths))
+def scan_long_prices(
+    spark: SparkSession, *paths: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """Prices by day and ticker, of a range of days if given: that filters the stored times, which the scan skips by."""
+    wide = scan_prices(spark, *paths)
+    if first is not None and last is not None:
+        wide = wide.filter(F.col("Date").between(_nanoseconds(first), _nanoseconds(last + timedelta(days=1)) - 1))
+    return prices_wide_to_long(wide)
+
+
+def _nanoseconds(day: date) -> int:
+    return (day - date(1970, 1, 1)).days * 86_400_000_000_000
 
 
 def literal(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:

@@ -1,9 +1,11 @@
+import datetime
 import gzip
 import pathlib
 
 import pytest
 
 from stormglass import schemas
+from stormglass.catalog.registry import inputs
 from stormglass.plans import cli, jobs
 from stormglass.session import shared_dir, stage
 from stormglass.sources import news as news_source
@@ -182,3 +184,19 @@ def test_tsv_and_store_give_the_same_index(spark, tmp_path):
         rows = spark.read.parquet(index).orderBy("date").collect()
         outs.append([(r["date"], round(r["geo_tension_index"], 9), r["total_events"]) for r in rows])
     assert outs[0] == outs[1]
+
+
+def test_price_range_reaches_the_scan(spark, tmp_path):
+    nanos = "unix_micros(cast(to_date('2019-01-01') + cast(id as int) as timestamp)) * 1000 + 5"
+    spark.range(50).selectExpr(f"{nanos} AS Date", "100.0 + id AS XOM").write.parquet(str(tmp_path / "p"))
+    days = {"first": datetime.date(2019, 1, 5), "last": datetime.date(2019, 1, 7)}
+    found = tables.scan_long_prices(spark, str(tmp_path / "p"), **days)
+    assert [str(r["date"]) for r in found.orderBy("date").collect()] == ["2019-01-05", "2019-01-06", "2019-01-07"]
+    assert "GreaterThanOrEqual(Date," in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_input_is_dealt_out_anew(spark):
+    found = inputs(spark, "/root/testdata/sf0.001")
+    for frame in (found.news, found.prices, found.live):
+        assert "RoundRobin" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert inputs(spark, "/root/testdata/sf0.001") is found
