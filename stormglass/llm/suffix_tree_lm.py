@@ -23,7 +23,7 @@ from stormglass.llm.scratch import Scratch
 DEPTH = 5
 #: Least share of all bytes that a context has, which bounds the contexts of each length by its inverse, and least
 #: mean divergence (nats) from the shorter context.
-CONTEXT_SHARE, DIVERGENCE = 5e-6, 0.005
+CONTEXT_SHARE, DIVERGENCE = 1e-6, 0.005
 #: Words with at least this share of all tokens are looked up in the task; so there are at most half a million.
 HEAD_SHARE = 2e-6
 _SLICE_BYTES, _HELD_KEYS = 4_000_000, 2_000_000
