@@ -11,6 +11,7 @@ from stormglass.catalog import relations as R
 from stormglass.catalog.index_queries import index_of, spikes_of
 from stormglass.catalog.reaction_queries import cells_of
 from stormglass.catalog.registry import query, rounded
+from stormglass.functions import calendar
 from stormglass.operators import archive, reactions
 from stormglass.operators.cleaning import same_day
 from stormglass.operators.windows import nearest_date
@@ -273,8 +274,7 @@ def _(d):
     FROM events""")
 def _(d):
     return d.table("events").select(
-        "event_id", F.date_format("ts", "HH:mm 'UTC'").alias("clock"),
-        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        "event_id", calendar.clock(F.col("ts")).alias("clock"), calendar.day_text(F.col("ts")).alias("day"),
     )
 
 
@@ -378,12 +378,17 @@ def _(d):
     return rounded(joined.select(*columns), "tension_score")
 
 
-@query("known_events", """
-    SELECT count(*) AS labelled_days FROM spikes JOIN labels USING (date)""")
+#: Days that bring the order dates to the years of the known events.
+_TO_KNOWN = 9131
+_KNOWN = ", ".join(f"(DATE '{day}', '{label}')" for day, label in V.KNOWN_EVENTS.items())
+
+
+@query("known_events", f"""
+    SELECT label, count(*) AS orders FROM (SELECT CAST(o_orderdate AS DATE) + {_TO_KNOWN} AS date FROM orders)
+    JOIN (VALUES {_KNOWN}) k(date, label) USING (date) GROUP BY label""")
 def _(d):
-    spikes = spikes_of(d)
-    known = tables.known_events(d.spark).unionByName(d.labels(spikes))
-    return spikes.join(known, "date").agg(F.count("*").alias("labelled_days"))
+    orders = d.table("orders").select(F.date_add(F.col("o_orderdate").cast("date"), _TO_KNOWN).alias("date"))
+    return orders.join(tables.known_events(d.spark), "date").groupBy("label").agg(F.count("*").alias("orders"))
 
 
 _CHART_TIME = "strftime(CAST({} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS time"

@@ -38,3 +38,11 @@ def market_open(utc_time: Column) -> Column:
     local = F.from_utc_timestamp(utc_time, V.NEW_YORK)
     minutes = F.hour(local) * 60 + F.minute(local)
     return (F.weekday(local) < 5) & minutes.between(9 * 60 + 30, 16 * 60 - 1)
+
+
+def clock(time: Column) -> Column:
+    return F.date_format(time, "HH:mm 'UTC'")
+
+
+def day_text(time: Column) -> Column:
+    return F.date_format(time, "yyyy-MM-dd")

@@ -103,7 +103,7 @@ def spike_labels(spikes: DataFrame, known: DataFrame, archive: DataFrame) -> Dat
 
 def spike_options(labelled: DataFrame) -> DataFrame:
     """Texts to pick an event from, newest first."""
-    text = F.concat_ws(" | ", F.date_format("date", "yyyy-MM-dd"), "label")
+    text = F.concat_ws(" | ", calendar.day_text(F.col("date")), "label")
     return labelled.orderBy(F.col("date").desc()).select("date", text.alias("option"))
 
 
@@ -224,7 +224,7 @@ def feed_items(newest: DataFrame, n: int = 6) -> DataFrame:
     """What the feed shows: clean titles with their clock time."""
     order = [F.col("time").desc(), F.col("title").asc(), F.col("source").asc()]
     shown = cleaning.filter_title_quality_feed(newest).orderBy(*order).limit(n)
-    return shown.withColumn("clock", F.date_format("time", "HH:mm 'UTC'"))
+    return shown.withColumn("clock", calendar.clock(F.col("time")))
 
 
 def with_market_state(rows: DataFrame, time: str) -> DataFrame:
