@@ -19,12 +19,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stormglass.llm.chunks import slices, split_chunks
+from stormglass.llm.chunks import give_back, slices, split_chunks
 
 #: Vocabulary file, a parameter of all entry points.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text whose chunks are told apart at a time, and characters of distinct chunks indexed at a time.
-SLICE_BYTES, INDEX_CHARS = 5_000_000, 300_000
+SLICE_BYTES, INDEX_CHARS = 4_000_000, 250_000
 
 #: Characters packed into a sort key, bits of each.
 _PACK, _BITS = 4, 15
@@ -329,6 +329,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
             for part in slices(batch, text, SLICE_BYTES):
                 pieces = encode_batch(part.column(text), vocabulary)
                 yield pa.RecordBatch.from_arrays([*part.columns, pieces], names=[*part.schema.names, out])
+            give_back()
 
     return docs.mapInArrow(run, schema)
 
@@ -353,6 +354,7 @@ def decode_digest(encoded: DataFrame, vocabulary: Vocabulary, text: str = "text"
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), counts.cast(pa.int64()), pa.array(digests, pa.string()), same],
                     names=["doc_id", "n_pieces", "pieces_sha256", "round_trip"])
+            give_back()
 
     return encoded.select("doc_id", text, pieces).mapInArrow(
         run, "doc_id bigint, n_pieces bigint, pieces_sha256 string, round_trip boolean")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormglass.llm.chunks import slices, split_words
+from stormglass.llm.chunks import give_back, slices, split_words
 from stormglass.llm.components import connected
 from stormglass.llm.scratch import Scratch
 
@@ -91,6 +91,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
                 found += np.bincount(_cell(shingles(part.column("text"))[0]), minlength=CELLS)
+            give_back()
         packed = [zlib.compress(x.tobytes(), 1) for x in found.reshape(-1, PART)]
         yield pa.RecordBatch.from_pydict({"part": np.arange(len(packed), dtype=np.int32),
                                           "counts": pa.array(packed, pa.binary())})
@@ -189,6 +190,7 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int = BANDS, band_sample
                                                           mask=pa.array(~has)))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *lists],
                                                  names=[*kept, "samples", "bands"])
+            give_back()
 
     return docs.select(*kept, "text").mapInArrow(run, schema)
 
@@ -215,6 +217,7 @@ def similarities(pairs: DataFrame, idf: np.ndarray) -> DataFrame:
                 found = np.divide(common, total, out=np.zeros(part.num_rows), where=total > 0)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(found)],
                                                  names=["a", "b", "similarity"])
+            give_back()
 
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
