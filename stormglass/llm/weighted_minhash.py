@@ -30,12 +30,14 @@ SHARED_SAMPLES = 17
 SMALL_BUCKET = 32
 #: Texts of a larger bucket that the others are compared with, in each round after the first.
 CENTRES = 3
-#: The rounds end when one finds less than this share of all links.
-FEW_LINKS = 0.002
+#: Rounds with centres give way to the search by rare shingles when one finds less than this share of all links.
+FEW_LINKS = 0.01
 #: Document frequencies are counted in so many cells, shingles sharing one by hash, in parts of PART cells.
 CELLS, PART = 1 << 20, 1 << 10
 _SLICE_BYTES, _BLOCK_SHINGLES = 6_000_000, 100_000
 _DRAWS = 1 << 16
+#: Allowed to sums of weights before a pair is left out; the similarity itself is computed anew.
+_ROUNDING = 1e-6
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -241,9 +243,8 @@ def near_documents(docs: DataFrame, scratch: Scratch, least: float = LEAST) -> D
 
     Equal texts are one text until the end. First every band bucket compares its most typical text with the others. Then
     buckets of at most SMALL_BUCKET texts compare all that are not yet in one component, while larger ones go on
-    with a few texts after the others, so that a bucket never costs its square. The rounds end
-    when one finds hardly a new link; what could be lost is a link between texts of a large bucket whose components no
-    round has brought together.
+    with a few texts after the others, while that finds many links. What large buckets have left in different components is
+    then searched by rare shingles (see rare_shingles), which misses no pair of their texts.
     """
     docs = docs.select("doc_id", "text")
     idf = inverse_frequencies(docs)
@@ -299,11 +300,79 @@ def _with_each(placed: DataFrame) -> DataFrame:
     return pairs.select(F.col("cls").alias("a"), F.col("with").alias("b"))
 
 
+def rare_shingles(bodies: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """(token, rest, total) and the columns but text: the rarest shingles of each text, which similar texts must share.
+
+    Shingles are ordered by weight, rarest first, ties by hash. total: weight of the text; rest: weight from this shingle
+    on. What two texts have in common is at most the rest of either from their first common shingle on, and it is at
+    least ``least`` times the total of either, so that shingle is among those given here for both.
+    """
+    shared = bodies.sparkSession.sparkContext.broadcast(idf)
+    kept = [c for c in bodies.columns if c != "text"]
+    schema = bodies.select(*kept, *(F.lit(None).cast(kind).alias(name) for name, kind in (
+        ("token", "bigint"), ("rest", "double"), ("total", "double")))).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", _SLICE_BYTES):
+                value, times, begins = shingles(part.column("text"))
+                row = np.repeat(np.arange(part.num_rows), np.diff(begins))
+                rarity = shared.value[_cell(value)].astype(np.float64)
+                order = np.lexsort((value, -rarity, row))
+                value, weight = value[order], (times * rarity)[order]
+                total = np.bincount(row, weight, part.num_rows)
+                rest = np.cumsum(total)[row] - np.cumsum(weight) + weight
+                early = np.flatnonzero(rest >= (least - _ROUNDING) * total[row])
+                of = pa.array(row[early])
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c).take(of) for c in kept), pa.array(value[early].view(np.int64)),
+                     pa.array(rest[early]), pa.array(total[row[early]])], names=[*kept, "token", "rest", "total"])
+            give_back()
+
+    return bodies.select(*kept, "text").mapInArrow(run, schema)
+
+
+def _sharing_rare(tokens: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """(a, b): texts in different components whose first common shingle leaves both enough weight to be similar.
+
+    tokens: rare_shingles of texts with cls and component. Texts of the commonest component of a shingle
+    are compared with those of the others, not with each other.
+    """
+    sizes = tokens.groupBy("token", "component").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("token").agg(
+        F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
+    mixed = mixed.select((F.col("token") + F.lit(0)).alias("t"), "main")
+    rows = scratch.stage(
+        tokens.join(mixed, F.col("token") == F.col("t"))
+        .select("token", "cls", "component", "rest", "total", (F.col("component") == F.col("main")).alias("main")), "rare")
+    other = rows.where("NOT main").select(
+        F.col("token").alias("t"), F.col("cls").alias("with"), F.col("component").alias("of"),
+        F.col("rest").alias("rest_of"), F.col("total").alias("total_of"))
+    enough = F.least("rest", "rest_of") >= (least / (1 + least) - _ROUNDING) * (F.col("total") + F.col("total_of"))
+    pairs = rows.join(other, (F.col("token") == F.col("t")) & (F.col("component") != F.col("of"))
+                      & (F.col("main") | (F.col("cls") < F.col("with"))) & enough)
+    return pairs.select(F.least("cls", "with").alias("a"), F.greatest("cls", "with").alias("b")).distinct()
+
+
+def _unmerged(buckets: DataFrame, components: DataFrame) -> DataFrame:
+    """(cls, component) of the texts of large buckets that hold more than one component."""
+    placed = buckets.where("large").join(components, F.col("cls") == F.col("vertex"), "left").select(
+        "bucket", "cls", F.coalesce("component", "cls").alias("component"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = mixed.where("low <> high").select((F.col("bucket") + F.lit(0)).alias("b"))
+    return placed.join(mixed, F.col("bucket") == F.col("b"), "left_semi").select("cls", "component").distinct()
+
+
 def _verified_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, idf: np.ndarray, least: float,
                     scratch: Scratch) -> DataFrame:
     """(vertex, component) of texts linked over verified similarities."""
     bodies = scratch.stage(_bodies(docs, texts, buckets), "bodies")
     sides = [bodies.select(F.col("cls").alias(f"of_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab"]
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sides[0], F.col("a") == F.col("of_a")).join(sides[1], F.col("b") == F.col("of_b"))
+        return scratch.stage(similarities(both, idf).where(F.col("similarity") >= least).select("a", "b"), "links")
+
     links = tested = components = None
     turn = known = 0
     while True:
@@ -321,27 +390,45 @@ def _verified_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, idf:
         if turn:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.stage(_alike(pairs, texts), "pairs")
-        both = pairs.join(sides[0], F.col("a") == F.col("of_a")).join(sides[1], F.col("b") == F.col("of_b"))
-        found = scratch.stage(similarities(both, idf).where(F.col("similarity") >= least).select("a", "b"), "links")
+        found = verified(pairs)
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         new = found.count()
         known += new
-        if turn and new == 0:
-            return components
-        components = scratch.stage(connected(links, scratch), "members")
-        if turn and new < FEW_LINKS * known:
-            return components
+        if new or not turn:
+            components = scratch.stage(connected(links, scratch), "members")
+        if turn and new <= FEW_LINKS * known:
+            break
         turn += 1
+    hard = scratch.stage(_unmerged(buckets, components), "hard")
+    if hard.isEmpty():
+        return components
+    wanted = bodies.join(hard.select((F.col("cls") + F.lit(0)).alias("c"), "component"), F.col("cls") == F.col("c")).drop("c")
+    pairs = _sharing_rare(rare_shingles(wanted, idf, least), least, scratch)
+    pairs = scratch.stage(_alike(pairs.join(tested, ["a", "b"], "left_anti"), texts), "pairs")
+    # Each text with the one most like it by samples, then all pairs that this has left in different components.
+    best = [pairs.groupBy(x).agg(F.max(F.struct("shared", y)).alias("m")).select(F.col(x), F.col(f"m.{y}").alias(y))
+            for x, y in ("ab", "ba")]
+    for some in (best[0].unionByName(best[1]).distinct(), None):
+        if some is None:
+            for x in "ab":
+                of = components.select(F.col("vertex").alias(f"v_{x}"), F.col("component").alias(f"of_{x}"))
+                pairs = pairs.join(of, F.col(x) == F.col(f"v_{x}"), "left")
+            some = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+        found = verified(some)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            components = scratch.stage(connected(links, scratch), "members")
+    return components
 
 
 def _alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs that share at least SHARED_SAMPLES samples."""
+    """Pairs that share at least SHARED_SAMPLES samples, and how many."""
     sides = [texts.select(F.col("cls").alias(f"of_{x}"), F.col("samples").alias(f"samples_{x}")) for x in "ab"]
     both = pairs.join(sides[0], F.col("a") == F.col("of_a")).join(sides[1], F.col("b") == F.col("of_b"))
     shared = F.aggregate(F.zip_with("samples_a", "samples_b", lambda x, y: (x == y).cast("int")), F.lit(0),
                          lambda n, x: n + x)
-    return both.where(shared >= SHARED_SAMPLES).select("a", "b")
+    return both.select("a", "b", shared.alias("shared")).where(F.col("shared") >= SHARED_SAMPLES)
 
 
 def _bodies(docs: DataFrame, texts: DataFrame, buckets: DataFrame) -> DataFrame:

@@ -94,3 +94,31 @@ def test_odd_rows_and_one_of_each_group_stays(documents, scratch):
     assert sorted(r.doc_id for r in left.collect()) == [1, 2, 3, 4, 5, 7]
     assert weighted_minhash.near_documents(documents([]), scratch).count() == 0
     assert weighted_minhash.keep_one(documents([]), scratch).count() == 0
+
+
+def test_pairs_in_large_buckets_of_a_template(documents, scratch, monkeypatch):
+    monkeypatch.setattr(weighted_minhash, "FEW_LINKS", 1.0)  # as with very many links elsewhere
+    draw = random.Random(12)
+    template, rows = words(draw, 254), []
+    for _ in range(200):
+        own = words(draw, 14)
+        rows += [(len(rows) + k, " ".join(template + own + words(draw, 13)), "s") for k in range(2)]
+    got = {r.doc_id: r.class_id for r in weighted_minhash.near_documents(documents(rows), scratch).collect()}
+    assert sum(got[k] != k - k % 2 for k in range(400)) <= 4  # candidates share a band and 17 samples by chance
+
+
+def test_similar_texts_share_an_early_rare_shingle(make):
+    draw = random.Random(5)
+    base = words(draw, 80)
+    rows = [(k, " ".join(base[:80 - draw.randrange(12)] + words(draw, draw.randrange(12)))) for k in range(40)]
+    idf = np.random.default_rng(1).uniform(1, 2, weighted_minhash.CELLS).astype(np.float32)
+    found = {}
+    for r in weighted_minhash.rare_shingles(make(rows, "cls bigint, text string"), idf, 0.8).collect():
+        found.setdefault(r.cls, {})[r.token] = r
+    pairs = [(*a, *b) for a in rows for b in rows if a[0] < b[0]]
+    pairs = make(pairs, "a bigint, text_a string, b bigint, text_b string")
+    similar = [r for r in weighted_minhash.similarities(pairs, idf).collect() if r.similarity >= 0.8]
+    assert len(similar) > 50
+    for r in similar:
+        a, b = found[r.a], found[r.b]
+        assert any(min(a[t].rest, b[t].rest) >= 0.8 / 1.8 * (a[t].total + b[t].total) - 1e-6 for t in a.keys() & b.keys())
