@@ -58,6 +58,22 @@ def test_lines_by_brute_force(documents, scratch):
     assert len(got ^ expected) <= 2
 
 
+def test_lines_of_a_long_template(documents, scratch):
+    draw = random.Random(8)
+    template, rows = line(draw, 60)[:200], []
+    for _ in range(60):
+        own = line(draw, 30)[:60]
+        for _ in range(2):
+            at = draw.randrange(60)
+            rows.append((len(rows), template + " " + own[:at] + draw.choice("XYZ") + own[at + 1:], "s"))
+    sets = [shingles(x) for _, x, _ in rows]
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        common = len(sets[a] & sets[b])
+        assert (common >= 0.8 * (len(sets[a]) + len(sets[b]) - common)) == (b == a + 1 and a % 2 == 0)
+    left = fuzzy_lines.drop_repeated_lines(documents(rows), scratch).collect()
+    assert {r.doc_id for r in left if r.n_gone} == set(range(1, len(rows), 2))
+
+
 HAN = "".join(chr(0x4E00 + 37 * k * k % 5000) for k in range(400))
 
 
