@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormglass.llm import chat, fuzzy_lines, langid, mixing, pieces, sorted_passes, suffix_tree_lm, vp_search, warc, weighted_minhash
+from stormglass.llm import (
+    chat, fuzzy_lines, langid, mixing, pieces, prefix_trie, sorted_passes, suffix_tree_lm, vp_search, warc, weighted_minhash,
+)
 from stormglass.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +180,48 @@ def op7_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(_crc("doc_id", 5) == 1, F.lit(False))
     docs = table(spark, folder, "documents").select("doc_id", held_out.alias("held_out"), "text")
     return suffix_tree_lm.score_texts(docs, ~F.col("held_out"), Scratch(spark))
+
+
+# crc32 of the decimal digits, byte by byte and bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({key}::VARCHAR, ''), lambda d: ord(d)::BIGINT)),
+    lambda x, d: list_reduce([xor(x, d), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))),
+    4294967295::BIGINT)"""
+
+
+@query("op12_prefix_trie", f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC.format(key="conv_id")} % 6 AS head
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, t.place, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place <= c.head
+  UNION ALL
+  SELECT c.conv_id, t.place + 1000000, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.head),
+numbered AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth FROM rebuilt),
+hashed AS (SELECT *, sha256(depth || chr(10) || length(role) || chr(10) || role || text) AS h FROM numbered),
+paths AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0 AS chars FROM convs
+  UNION ALL
+  SELECT conv_id, depth, string_agg(h, '') OVER (PARTITION BY conv_id ORDER BY depth), length(text) FROM hashed),
+lasts AS (SELECT conv_id, max(depth) AS last FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT path, depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (WHERE last = depth), '')) AS ends_sha256
+  FROM paths p JOIN lasts l ON l.conv_id = p.conv_id GROUP BY path, depth),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id,
+    (SELECT count(*) FROM nodes k WHERE k.depth = n.depth + 1 AND left(k.path, 64 * n.depth) = n.path) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = left(n.path, 64 * (n.depth - 1)))
+SELECT n.conv_id, n.depth::BIGINT AS depth, n.parent_conv_id, n.n_convs, n.n_children,
+  count(*) FILTER (WHERE b.n_children = 0) AS n_leaves,
+  sum((b.n_convs - 1) * b.chars)::BIGINT AS saved_tokens, n.ends_sha256
+FROM linked n JOIN linked b ON b.depth >= n.depth AND left(b.path, 64 * n.depth) = n.path
+GROUP BY ALL
+""")
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each of them begun with turns of the first one of its hundred."""
+    turns = table(spark, folder, "conversations")
+    return prefix_trie.conversation_trie(turns, Scratch(spark), prefix_trie.block_heads(turns))
