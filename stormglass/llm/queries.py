@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormglass.llm import (
-    chat, fuzzy_lines, langid, mixing, pieces, prefix_trie, sorted_passes, suffix_tree_lm, vp_search, warc, weighted_minhash,
+    chat, fuzzy_lines, langid, mixing, pieces, prefix_trie, repeats, sorted_passes, suffix_tree_lm, vp_search, warc,
+    weighted_minhash,
 )
 from stormglass.llm.scratch import Scratch
 
@@ -225,3 +226,29 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """The trie of all conversations, each of them begun with turns of the first one of its hundred."""
     turns = table(spark, folder, "conversations")
     return prefix_trie.conversation_trie(turns, Scratch(spark), prefix_trie.block_heads(turns))
+
+
+@query("op11_repeated_passages", """
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS body, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+grams AS (
+  SELECT row, doc_id, i, array_slice(body, i + 1, i + 50) AS gram
+  FROM (SELECT row, doc_id, body, unnest(range(0, n - 49)) AS i FROM docs WHERE n >= 50)),
+hits AS (SELECT row, i FROM (SELECT row, i, doc_id, min(doc_id) OVER (PARTITION BY gram) AS first FROM grams) WHERE first < doc_id),
+runs AS (
+  SELECT row, min(i) AS low, max(i) + 50 AS high
+  FROM (SELECT row, i, sum(new) OVER (PARTITION BY row ORDER BY i) AS run
+        FROM (SELECT row, i, (i - lag(i, 1, -100) OVER (PARTITION BY row ORDER BY i) > 50)::INT AS new FROM hits))
+  GROUP BY row, run),
+gone AS (
+  SELECT row, count(*) AS n_spans, sum(high - low) AS n_removed,
+    list_sort(list_append(list(low), 1000000000)) AS lows, list_sort(list_prepend(0, list(high))) AS highs
+  FROM runs GROUP BY row)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN lows IS NULL THEN body ELSE unhex(array_to_string(
+    list_transform(list_zip(highs, lows), lambda x: hex(array_slice(body, x[1] + 1, x[2]))), '')) END) AS kept_sha256
+FROM docs LEFT JOIN gone USING (row)
+""")
+def op11_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without bytes that 50-byte strings of earlier documents cover."""
+    return repeats.digest(repeats.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), Scratch(spark)))
