@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormglass.llm import (
-    chat, fuzzy_lines, langid, mixing, pieces, prefix_trie, repeats, sorted_passes, suffix_tree_lm, vp_search, warc,
-    weighted_minhash,
+    chat, fuzzy_lines, langid, mixing, phrases, pieces, prefix_trie, repeats, sorted_passes, suffix_tree_lm, vp_search,
+    warc, weighted_minhash,
 )
 from stormglass.llm.scratch import Scratch
 
@@ -252,3 +252,35 @@ FROM docs LEFT JOIN gone USING (row)
 def op11_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without bytes that 50-byte strings of earlier documents cover."""
     return repeats.digest(repeats.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), Scratch(spark)))
+
+
+@query("op13_phrase_collocations", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+cut AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+sizes AS (SELECT lang, sum(len(words))::BIGINT AS n FROM cut GROUP BY lang),
+places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM cut),
+phrases AS (
+  SELECT lang, words[i:i + k - 1] AS p, count(*) AS f
+  FROM places, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(words) GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, k, x.f AS l, y.f AS r, n,
+    ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM phrases WHERE len(p) > 1) c
+  JOIN phrases x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN phrases y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+  JOIN sizes s ON s.lang = c.lang),
+worst AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM worst w WHERE NOT EXISTS (
+    SELECT 1 FROM phrases b WHERE b.lang = w.lang AND len(b.p) > len(w.p) AND 100 * b.f >= 100 * w.a
+      AND contains(' ' || array_to_string(b.p, ' ') || ' ', ' ' || array_to_string(w.p, ' ') || ' ')))
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+    array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM kept)
+WHERE rank <= 2000
+""")
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 phrases of each language of all documents."""
+    return phrases.collocations(table(spark, folder, "documents"), Scratch(spark), least=100, top=2000)

@@ -118,8 +118,9 @@ def repeated_grams(docs: DataFrame, length: int, total: int, filter_bits: int =
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
                 for gram, *_ in stretches(*text_bytes(part.column("text")), length):
-                    held.append(gram)
-                    count += len(gram)
+                    if len(gram):
+                        held.append(gram)
+                        count += len(gram)
                     if count >= HELD_HASHES:
                         yield rows()
                         count = 0
