@@ -9,7 +9,7 @@ from stormglass import fixed_values as V
 from stormglass.catalog import relations as R
 from stormglass.catalog.registry import query, rounded
 from stormglass.functions import calendar, news_text
-from stormglass.operators import cleaning, tension
+from stormglass.operators import cleaning, tension, themes
 from stormglass.plans import jobs
 from stormglass.session import scratch_path, stage
 from stormglass.sources import news as news_source
@@ -170,6 +170,59 @@ def _(d):
     return cleaning.tag_category_live(d.news_rows).select("record_id", "themes", "category")
 
 
+_LISTS = "SELECT record_id, themes, {0} AS category FROM theme_lists"
+
+
+def _looked_up(d: Derived, classes: themes.Classes, **bounds: int) -> DataFrame:
+    """Classes of the theme lists by a dictionary learned from some of them."""
+    return themes.classify(d.theme_lists, themes.learn(d.theme_lists, classes, **bounds)).select("record_id", "themes", "category")
+
+
+@query("tag_category_lists", f"SELECT * FROM ({_LISTS.format(R.BATCH_CATEGORY)}) WHERE category IS NOT NULL")
+def _(d):
+    return cleaning.tag_category_batch(d.theme_lists).select("record_id", "themes", "category")
+
+
+@query("tag_category_dictionary", f"SELECT * FROM ({_LISTS.format(R.BATCH_CATEGORY)}) WHERE category IS NOT NULL")
+def _(d):
+    tagged = themes.tag_category_batch(d.theme_lists, themes.learn(d.theme_lists, themes.BATCH))
+    return tagged.select("record_id", "themes", "category")
+
+
+@query("tag_category_small_dictionary", _LISTS.format(R.BATCH_CATEGORY))
+def _(d):
+    return _looked_up(d, themes.BATCH, cells=512, learned=40)
+
+
+@query("tag_category_live_dictionary", _LISTS.format(R.LIVE_CATEGORY))
+def _(d):
+    return _looked_up(d, themes.LIVE)
+
+
+@query("filter_theme_keywords_dictionary", f"SELECT record_id, themes FROM theme_lists WHERE {R.LIVE_THEMES}")
+def _(d):
+    dictionary = themes.learn(d.theme_lists, themes.KEYWORDS)
+    return themes.filter_theme_keywords(d.theme_lists, dictionary).select("record_id", "themes")
+
+
+@query("foreign_country_lists", """
+    SELECT record_id, themes FROM theme_lists WHERE regexp_matches(themes, '#(U[A-RT-Z]|[A-TV-Z][A-Z])#')""")
+def _(d):
+    return cleaning.filter_international(d.theme_lists).select("record_id", "themes")
+
+
+@query("title_rules", f"""
+    SELECT url, title, live_title, coalesce({R.ARCHIVE_TITLE_OK}, false) AS archive_ok, coalesce({R.FEED_TITLE_OK}, false) AS feed_ok,
+      coalesce({R.LIVE_TITLE_OK.replace('title', 'live_title')}, false) AS live_ok
+    FROM (SELECT DISTINCT url, {R.archive_title('url')} AS title, {R.live_title('url')} AS live_title FROM theme_lists)""")
+def _(d):
+    titled = d.theme_lists.select("url").distinct().select(
+        "url", news_text.url_to_title(F.col("url")).alias("title"), news_text.url_to_title_live(F.col("url")).alias("live_title"))
+    rules = {"archive_ok": news_text.good_archive_title(F.col("title")), "feed_ok": news_text.good_feed_title(F.col("title")),
+             "live_ok": news_text.good_live_title(F.col("live_title"))}
+    return titled.withColumns({name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()})
+
+
 @query("filter_theme_keywords", f"SELECT url, themes FROM live_raw WHERE {R.LIVE_THEMES}")
 def _(d):
     return cleaning.filter_theme_keywords(d.live).select("url", "themes")

@@ -103,6 +103,23 @@ RELATIONS: dict[str, str] = {
                        THEN 3500 ELSE 0 END AS neg
               FROM orders JOIN customer ON o_custkey = c_custkey))""",
     "news": "SELECT * FROM news_rows WHERE category IS NOT NULL",
+    # Fixed values of the checks: theme codes, countries and slugs, as in sources/derived.py.
+    "theme_lists": """
+      SELECT CAST(o_orderkey AS VARCHAR) AS record_id,
+        CASE WHEN o_orderkey % 89 = 0 THEN NULL WHEN o_orderkey % 83 = 0 THEN '' ELSE
+          codes[o_orderkey % len(codes) + 1] || ';' || codes[(o_orderkey * 7 + o_custkey) % len(codes) + 1] || ';' ||
+          codes[o_custkey % len(codes) + 1] || ';1#X#' || countries[o_orderkey % 5 + 1] || '#;4#Y#' || countries[o_custkey % 5 + 1] || '#'
+          END AS themes,
+        'https://news.example/' || slugs[o_orderkey % len(slugs) + 1] || CASE WHEN o_orderkey % 3 = 0 THEN '/' ELSE '.html' END AS url
+      FROM orders, (SELECT
+        ['MILITARY', 'AWARD', 'TAX_FNCACT_AUTHOR', 'SOFTWARE', 'EDUCATION', 'SANCTION', 'UNGP_FORESTS', 'COUP', 'diplomatic',
+         'EXPORT_CONTROL', 'WB_507_WATER', 'NUCLEAR', 'CEASEFIRE', 'ESPIONAGE', 'EXPULSION', 'AIRSTRIKE', 'RIOTOUS', 'LEADER', 'war'] AS codes,
+        ['US', 'RS', 'UP', 'IR', 'IS'] AS countries,
+        ['military-strike-near-border-town', 'sanction_talks_resume_in_capital', 'short', 'protest-threat-grows-in-decade',
+         'article-about-news-from-the-town', 'deadbeef0011-report-on-border-talks', 'bad-cafe-dead-beef-face-decade',
+         'story-20240101123456789', 'nospaceinthisveryveryverylongslug', 'visit-site#now-for-more-border-news',
+         '1234-5678-9012-3456-7890-12', 'a-b-c-d-e-f-g-h-i-j-k-l-m-n', 'troops-cross-the-river-in-the-north?page=2',
+         'un-of-it-crisis-in-gaza-strip-today'] AS slugs)""",
     "dated": """
       SELECT * EXCLUDE (d) REPLACE (d AS date) FROM (
         SELECT *, CASE WHEN length(date) >= 8

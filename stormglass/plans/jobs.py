@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormglass import fixed_values as V
-from stormglass.operators import archive, cleaning, portfolio, reactions, tension
+from stormglass.operators import archive, cleaning, portfolio, reactions, tension, themes
 from stormglass.operators.windows import measure
 from stormglass.session import stage
 from stormglass.sources import news as news_source
@@ -118,7 +118,8 @@ def run_ingest(
     """Raw archive to the classified news store, partitioned by day or month. All files below the folder are read,
     or those of some years; an update adds to the store."""
     raw = news_source.scan_raw_news(spark, raw_folder, first_year=first_year, last_year=last_year)
-    news_source.write_news_store(news_source.ingest_raw_news(raw), out, by, update)
+    dictionary = themes.learn(raw, themes.BATCH)
+    news_source.write_news_store(news_source.ingest_raw_news(raw, dictionary), out, by, update)
 
 
 _TEXT_SUFFIXES = (".tsv", ".tsv.gz", ".txt", ".csv")

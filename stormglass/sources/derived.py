@@ -25,6 +25,16 @@ SLUGS = [
 ]
 WORDS = ["MILITARY", "SANCTION", "PROTEST", "DIPLOMATIC", "CEASEFIRE", "CYBERATTACK", "NUCLEAR", "SPORTS"]
 COUNTRIES = ["US", "RS", "UP", "IR", "IS"]
+THEME_CODES = [
+    "MILITARY", "AWARD", "TAX_FNCACT_AUTHOR", "SOFTWARE", "EDUCATION", "SANCTION", "UNGP_FORESTS", "COUP", "diplomatic",
+    "EXPORT_CONTROL", "WB_507_WATER", "NUCLEAR", "CEASEFIRE", "ESPIONAGE", "EXPULSION", "AIRSTRIKE", "RIOTOUS", "LEADER", "war",
+]
+TITLE_SLUGS = [
+    "military-strike-near-border-town", "sanction_talks_resume_in_capital", "short", "protest-threat-grows-in-decade",
+    "article-about-news-from-the-town", "deadbeef0011-report-on-border-talks", "bad-cafe-dead-beef-face-decade",
+    "story-20240101123456789", "nospaceinthisveryveryverylongslug", "visit-site#now-for-more-border-news", "1234-5678-9012-3456-7890-12",
+    "a-b-c-d-e-f-g-h-i-j-k-l-m-n", "troops-cross-the-river-in-the-north?page=2", "un-of-it-crisis-in-gaza-strip-today",
+]
 LIVE_WORDS = {"click": "MILITARY", "view": "SANCTION", "purchase": "diplomatic", "signup": "PROTEST"}
 LABELS = ["Iran War", "Hong Kong Protests Peak", "Geopolitical Event"]
 LIVE_FILES = 12
@@ -94,18 +104,24 @@ class Derived:
         self.news.write.options(sep="\t", quote="").csv(path)
         return path
 
-    def raw_news_folder(self, filler: int = 0, times: int = 1) -> str:
-        """Raw lines of 27 fields, used ones at their places, the others longer by filler characters in all. With times
-        the same lines are written so often."""
+    def raw_news_folder(self, filler: int = 0, times: int = 1, kept_every: int = 1) -> str:
+        """Raw lines of 27 fields, used ones at their places. With filler the theme lists are longer by about so many
+        characters, of 3,000 codes without a class; one line in kept_every has a word with one; the same lines are written times times."""
         path = scratch_path(self.spark, "raw_news")
         used = schemas.RAW_NEWS_FIELDS
         fields = [
             F.coalesce(F.col(used[i]), F.lit("")) if i in used else F.lit(f"f{i}")
             for i in range(1, schemas.RAW_NEWS_WIDTH + 1)
         ]
+        rows = self.news_rows
+        if kept_every > 1:
+            plain = F.concat(F.lit("SPORTS#"), F.substring_index("themes", "#", -5))
+            rows = rows.withColumn("themes", F.when(F.crc32("record_id") % kept_every == 0, F.col("themes")).otherwise(plain))
         if filler:
-            fields[-1] = F.repeat(F.lit("SOME_THEME#"), filler // 11)
-        lines = self.news_rows.select(F.concat_ws("\t", *fields).alias("value"))
+            codes = F.transform(F.sequence(F.lit(1), F.lit(max(1, filler // 17))), lambda k: F.concat(
+                F.lit("TAX_THEME_ID"), F.pmod(F.hash("record_id", k), F.lit(3000)).cast("string")))
+            rows = rows.withColumn("themes", F.concat_ws(";", "themes", F.array_join(codes, ";")))
+        lines = rows.select(F.concat_ws("\t", *fields).alias("value"))
         for _ in range(times):
             lines.write.mode("append").text(path)
         return path
@@ -200,6 +216,20 @@ class Derived:
             part.select("value").write.mode("append").text(path)
         return path
 
+    @cached_property
+    def theme_lists(self) -> DataFrame:
+        """Articles with lists of several themes in all orders, words inside other words, several countries, and slugs
+        for each rule on titles. Some lists are empty or missing."""
+        key = F.col("o_orderkey")
+        codes = F.concat_ws(";", pick(key, THEME_CODES), pick(key * 7 + F.col("o_custkey"), THEME_CODES),
+                            pick(F.col("o_custkey"), THEME_CODES))
+        places = F.concat(F.lit(";1#X#"), pick(key, COUNTRIES), F.lit("#;4#Y#"), pick(F.col("o_custkey"), COUNTRIES), F.lit("#"))
+        rows = self.table("orders").select(
+            key.cast("string").alias("record_id"),
+            F.when(key % 89 == 0, F.lit(None)).when(key % 83 == 0, "").otherwise(F.concat(codes, places)).alias("themes"),
+            F.concat(F.lit("https://news.example/"), pick(key, TITLE_SLUGS), F.when(key % 3 == 0, "/").otherwise(".html")).alias("url"))
+        return stage(rows, "theme_lists")
+
     def file_listing(self) -> DataFrame:
         """Lines of a file list: size, hash, path; a third of them for raw news."""
         key = F.col("o_orderkey")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stormglass import schemas
 from stormglass.fixed_values import TONE_MAX, TONE_MIN
 from stormglass.functions import calendar, news_text
-from stormglass.operators import cleaning
+from stormglass.operators import cleaning, themes
 from stormglass.session import stage
 
 # Quotes are data in these files: an unbalanced one must not swallow the next fields.
@@ -73,9 +73,11 @@ def prune_files_by_year(listing: DataFrame, first_year: int, last_year: int) ->
     )
 
 
-def ingest_raw_news(raw: DataFrame) -> DataFrame:
-    """Classified articles of the raw archive, in the layout of the filtered news."""
-    return cleaning.tag_category_batch(raw).select(*schemas.FILTERED_NEWS.names)
+def ingest_raw_news(raw: DataFrame, dictionary: themes.Dictionary | None = None) -> DataFrame:
+    """Classified articles of the raw archive, in the layout of the filtered news. Theme lists are scanned, or looked up in
+    a dictionary of codes, which gives the same classes several times as fast."""
+    tagged = cleaning.tag_category_batch(raw) if dictionary is None else themes.tag_category_batch(raw, dictionary)
+    return tagged.select(*schemas.FILTERED_NEWS.names)
 
 
 def as_store_rows(news: DataFrame) -> DataFrame:
