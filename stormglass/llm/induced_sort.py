@@ -3,7 +3,7 @@
 A suffix is of type S if it is smaller than the next one, else of type L; an S suffix behind an L one is a mark. Sorted
 marks give the order of all L suffixes by one pass over a queue, and those the order of all S suffixes by another. The order of
 the marks comes from the same two passes over unsorted marks, which sort the stretches between them, and from a recursion on the
-text of their ranks. A queue hands out tuples of place and common prefix by first symbol and, among equal ones, by
+text of their ranks, down to a text that is short enough to be sorted plainly. A queue hands out tuples of place and common prefix by first symbol and, among equal ones, by
 arrival; as the number of tuples of each symbol is known, it is one long array that is written and read in order.
 """
 
@@ -18,10 +18,13 @@ _NONE = -1
 
 
 class Room:
-    """Arrays of a task: in memory up to ``most`` bytes each, larger ones in files that go with the task."""
+    """Arrays of a task: in memory up to ``most`` bytes each, larger ones in files that go with the task.
 
-    def __init__(self, most: int = 1 << 26, batch: int = 1 << 16):
-        self.most, self.batch = most, batch
+    batch: tuples that are worked on at once; base: marks up to which the recursion ends in a plain sort.
+    """
+
+    def __init__(self, most: int = 1 << 26, batch: int = 1 << 16, base: int = 1 << 20):
+        self.most, self.batch, self.base = most, batch, base
         self.on_disk = 0
 
     def empty(self, n: int, kind) -> np.ndarray:
@@ -102,7 +105,7 @@ class SuffixQueue:
         self.cap, self.room = cap, room
         if cap is not None:
             self.common = room.empty(self.size, np.uint8)
-            self.least = np.full(len(pushed), cap, np.int64)  # since the last push for each symbol
+            self.least = np.full(len(pushed), cap, np.uint8)  # since the last push for each symbol
 
     def _append(self, heads: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Order of the tuples by symbol, their slots, and which are the first of their symbol."""
@@ -141,7 +144,7 @@ class SuffixQueue:
             if push.any():
                 self._push(text, at, size, before, np.flatnonzero(push))
             elif self.cap is not None:
-                self.least = np.minimum(self.least, int(self.common[at:at + size].min()))
+                self.least = np.minimum(self.least, self.common[at:at + size].min())
             at += size
 
     def _measure_borders(self, text: np.ndarray, at: int, size: int) -> None:
@@ -158,15 +161,15 @@ class SuffixQueue:
         if self.cap is None:
             return
         k, symbol = pushing[order], symbols[order]
-        common = np.asarray(self.common[at:at + size]).astype(np.int64)
-        found = np.empty(len(k), np.int64)
+        common = np.asarray(self.common[at:at + size])
+        found = np.empty(len(k), np.uint8)
         found[first] = np.minimum(self.least[symbol[first]], np.minimum.accumulate(common)[k[first]])
         later = np.flatnonzero(~first)
         found[later] = _range_least(common, k[later - 1] + 1, k[later])
-        found = np.minimum(found + 1, self.cap)
+        found = np.minimum(found, np.uint8(self.cap - 1)) + np.uint8(1)
         found[first] = np.where(heads[symbol[first]] == self.start[symbol[first]], 0, found[first])
         self.common[slots] = found
-        behind = np.append(np.minimum.accumulate(common[::-1])[::-1], self.cap)
+        behind = np.append(np.minimum.accumulate(common[::-1])[::-1], np.uint8(self.cap))
         self.least = np.minimum(self.least, behind[0])
         last = np.append(np.flatnonzero(first)[1:], len(k)) - 1
         self.least[symbol[last]] = behind[k[last] + 1]
@@ -174,13 +177,15 @@ class SuffixQueue:
 
 def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Least of values[low..high], ends included."""
-    out = np.empty(len(low), np.int64)
+    out = np.empty(len(low), values.dtype)
     if not len(low):
         return out
-    level = np.log2(high - low + 1).astype(np.int64)
+    level = np.log2((high - low + 1).astype(np.float32)).astype(np.int8)
+    order = np.argsort(level, kind="stable")
+    ends = np.searchsorted(level[order], np.arange(int(level.max()) + 2))
     table = values
-    for k in range(int(level.max()) + 1):
-        here = level == k
+    for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+        here = order[a:b]
         out[here] = np.minimum(table[low[here]], table[high[here] - (1 << k) + 1])
         table = np.minimum(table[:-(1 << k)], table[1 << k:]) if len(table) > 1 << k else table
     return out
@@ -251,7 +256,7 @@ def _sorted(text: np.ndarray, n: int, symbols: int, room: Room, cap: int | None)
     ranked = _induced(text, n, rises, counts_l, counts_s, unsorted, room, None)
     rank, ranks = _ranked_stretches(text, n, ranked, rises, marks, room)
     del ranked
-    if ranks < n_marks:
+    if ranks < n_marks and n_marks > room.base:
         deeper = _sorted(rank, n_marks, ranks, room, None)
         order = deeper.place
 
@@ -259,9 +264,12 @@ def _sorted(text: np.ndarray, n: int, symbols: int, room: Room, cap: int | None)
             for part in room.parts_backwards(n_marks):
                 yield marks[np.asarray(order[part])[::-1]].astype(np.int64)
     else:
-        order = room.empty(n_marks, kind)
-        for part in room.parts(n_marks):
-            order[rank[part]] = np.arange(part.start, part.stop)
+        if ranks < n_marks:
+            order = _plainly_sorted(np.asarray(rank).astype(np.int64))
+        else:
+            order = room.empty(n_marks, kind)
+            for part in room.parts(n_marks):
+                order[rank[part]] = np.arange(part.start, part.stop)
 
         def in_order() -> Iterator[np.ndarray]:
             for part in room.parts(n_marks):
@@ -270,6 +278,23 @@ def _sorted(text: np.ndarray, n: int, symbols: int, room: Room, cap: int | None)
     return _induced(text, n, rises, counts_l, counts_s, in_order, room, cap)
 
 
+def _plainly_sorted(rank: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a short text of ranks, by pairs of ranks of fronts twice as long in each round."""
+    n, width = len(rank), 1
+    while True:
+        behind = np.zeros(n, np.int64)
+        behind[:n - width] = rank[width:] + 1
+        key = rank * (n + 1) + behind
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
+        if new[-1] == n - 1:
+            return order
+        rank = np.empty(n, np.int64)
+        rank[order] = new
+        width *= 2
+
+
 def _ranked_stretches(text, n, ranked: SuffixQueue, rises, marks, room: Room) -> tuple[np.ndarray, int]:
     """Rank of the stretch from each mark to the next, equal for equal ones, in the order of the text."""
     kind = _place_kind(n)

@@ -30,7 +30,7 @@ def test_suffixes_and_common_prefixes(most, batch):
     for _ in range(300):
         letters = pick.choice([1, 2, 3, 5, 200])
         body = bytes(pick.randint(1, letters) for _ in range(pick.randint(0, 60))) * pick.randint(1, 3)
-        cap, room = pick.choice([3, 50, 255]), Room(most, batch)
+        cap, room = pick.choice([3, 50, 255]), Room(most, batch, base=pick.choice([0, 5, 1000]))
         text = np.concatenate([np.frombuffer(body, np.uint8), np.zeros(9, np.uint8)])
         parts = list(suffixes(text, len(body) + 1, cap, room))
         found = [x.tolist() for x in map(np.concatenate, zip(*parts, strict=True))]
@@ -69,7 +69,7 @@ def test_random_texts(make, scratch, length, letters, shard, most):
     pick = random.Random(length)
     pool = ["".join(pick.choice(letters) for _ in range(pick.randint(1, 60))) for _ in range(15)]
     rows = [(pick.randint(0, 60), "".join(pick.choice(pool) for _ in range(pick.randint(0, 4)))) for _ in range(80)]
-    assert found(make, scratch, rows, length, shard_bytes=shard, room=Room(most, 50)) == plain(rows, length)
+    assert found(make, scratch, rows, length, shard_bytes=shard, room=Room(most, 50, base=9)) == plain(rows, length)
 
 
 def test_odd_documents(make, scratch, monkeypatch):
