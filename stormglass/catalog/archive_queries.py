@@ -323,6 +323,21 @@ def _(d):
     return live.current_rows(d.spark, _stream_run(d)).groupBy("url", "tone").agg(F.count("*").alias("n"))
 
 
+@query("stream_quarantine", """
+    WITH lines AS (
+      SELECT 'too many fields' AS reason FROM live_raw WHERE date LIKE '20240102%'
+      UNION ALL SELECT 'no valid time' FROM live_raw WHERE try_strptime(date, '%Y%m%d%H%M%S') IS NULL),
+    total AS (SELECT count(*) + count(*) FILTER (WHERE date LIKE '20240101%' OR date LIKE '20240102%') AS n FROM live_raw)
+    SELECT reason, count(*) AS lines FROM lines GROUP BY reason
+    UNION ALL SELECT 'read', n FROM total UNION ALL SELECT 'kept', n - (SELECT count(*) FROM lines) FROM total""")
+def _(d):
+    out = _stream_run(d)
+    found = live.quarantined(d.spark, out).groupBy("reason").agg(F.count("*").alias("lines"))
+    counts = live.line_counts(d.spark, out)
+    return found.unionByName(d.spark.createDataFrame(
+        [("read", counts["lines"]), ("kept", counts["kept"])], "reason string, lines bigint"))
+
+
 @query("stream_latest_news", f"""
     SELECT {_LIVE} FROM live_articles ORDER BY live_articles.time DESC, title, source, category
     LIMIT 10""")

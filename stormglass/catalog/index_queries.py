@@ -10,7 +10,7 @@ from stormglass.catalog import relations as R
 from stormglass.catalog.registry import query, rounded
 from stormglass.functions import calendar, news_text
 from stormglass.operators import cleaning, tension, themes
-from stormglass.plans import jobs
+from stormglass.plans import index_store, jobs
 from stormglass.session import scratch_path, stage
 from stormglass.sources import news as news_source
 from stormglass.sources import tables
@@ -360,7 +360,43 @@ def _(d):
     """Whether each approximate percentile has a rank within the error that its accuracy allows."""
     accuracy = 100
     daily = stage(tension.daily_tension(cleaning.clean_news(d.news)), "daily")
-    found = tension.index_percentiles(daily, accuracy)
+    return _ranks_within(daily, tension.index_percentiles(daily, accuracy), accuracy)
+
+
+@query("index_percentiles_sketched", """
+    SELECT 'p1' AS name, true AS within UNION ALL SELECT 'p99', true""")
+def _(d):
+    """The same for percentiles from sketches of the months, merged."""
+    daily = stage(tension.daily_tension(cleaning.clean_news(d.news)), "daily")
+    sketches = stage(tension.month_sketches(daily), "sketches")
+    return _ranks_within(daily, tension.percentiles_of_sketches(sketches), tension.SKETCH_SIZE // 4)
+
+
+_INDEX = "SELECT date, round(geo_tension_index, 6) AS geo_tension_index, total_events, dominant_category FROM idx"
+
+
+@query("tension_index_in_five_loads", _INDEX)
+def _(d):
+    """The index after five loads, each of which reads its own articles only."""
+    store = index_store.index_store(d.spark, scratch_path(d.spark, "index_store"), fan=3)
+    part = F.pmod(F.xxhash64("record_id"), F.lit(5))
+    for load in range(5):
+        index_store.add_load(cleaning.clean_news(d.news.where(part == load)), store)
+    return rounded(index_store.current_index(store).daily, "geo_tension_index")
+
+
+@query("tension_index_from_updates", _INDEX)
+def _(d):
+    """News store and index in three overlapping updates."""
+    store = index_store.index_store(d.spark, scratch_path(d.spark, "index_store"))
+    path = scratch_path(d.spark, "news_store")
+    part = F.col("record_id").cast("bigint") % 3
+    for load in (part < 2, part > 0, part == 2):
+        index_store.ingest_load(d.news.where(load), path, store, by="article_month")
+    return rounded(index_store.current_index(store).daily, "geo_tension_index")
+
+
+def _ranks_within(daily: DataFrame, found: DataFrame, accuracy: int) -> DataFrame:
     low, high = found.select("p1").scalar(), found.select("p99").scalar()
     ranks = daily.agg(*(
         F.sum((F.col("geo_tension_raw") <= value).cast("long")).alias(name) for name, value in (("p1", low), ("p99", high))

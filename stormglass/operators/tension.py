@@ -43,17 +43,15 @@ def join_dominant_category(daily: DataFrame, dominant: DataFrame) -> DataFrame:
     return daily.join(dominant, "date", "left")
 
 
-def daily_profile(clean: DataFrame) -> DataFrame:
-    """Daily tension and dominant category from one pass over the articles.
+def category_partials(clean: DataFrame) -> DataFrame:
+    """Number and sum of scores per day and category: all that is shuffled, whatever a day's share of the articles."""
+    return clean.groupBy("date", "category").agg(F.count("*").alias("cat_count"), F.sum("neg_score").alias("neg_sum"))
 
-    Partial sums per day and category are all that is shuffled, whatever a day's share of the
-    articles; the second aggregation sees at most one row per day and category.
-    """
-    partial = clean.groupBy("date", "category").agg(
-        F.count("*").alias("cat_count"), F.sum("neg_score").alias("neg_sum")
-    )
+
+def profile_of_partials(partials: DataFrame) -> DataFrame:
+    """Daily tension and dominant category from one row per day and category."""
     order = F.struct(-F.col("cat_count"), F.col("category"))
-    daily = partial.groupBy("date").agg(
+    daily = partials.groupBy("date").agg(
         F.sum("cat_count").alias("total_events"),
         (F.sum("neg_sum") / F.sum("cat_count")).alias("avg_negative_tone"),
         F.min_by("category", order).alias("dominant_category"),
@@ -64,6 +62,11 @@ def daily_profile(clean: DataFrame) -> DataFrame:
     )
 
 
+def daily_profile(clean: DataFrame) -> DataFrame:
+    """Daily tension and dominant category from one pass over the articles."""
+    return profile_of_partials(category_partials(clean))
+
+
 def index_percentiles(daily: DataFrame, accuracy: int | None = None) -> DataFrame:
     """One row with p1 and p99 of the raw tension: exact, or approximate with an accuracy."""
     wanted = F.array(F.lit(V.LOW_PERCENTILE), F.lit(V.HIGH_PERCENTILE))
@@ -76,6 +79,24 @@ def index_percentiles(daily: DataFrame, accuracy: int | None = None) -> DataFram
     )
 
 
+#: Parameter k of the sketches: ranks are off by about 2 / k of the days, at least k days are held exactly.
+SKETCH_SIZE = 800
+
+
+def month_sketches(daily: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """A quantile sketch of the raw tension of each month (its first day)."""
+    month = F.trunc("date", "month").alias("month")
+    return daily.groupBy(month).agg(F.kll_sketch_agg_double("geo_tension_raw", F.lit(size)).alias("sketch"))
+
+
+def percentiles_of_sketches(sketches: DataFrame) -> DataFrame:
+    """One row with p1 and p99 of all months, from their merged sketches; NULL without any."""
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("s"), F.count("*").alias("n"))
+    found = [F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("s", F.lit(rank))).alias(name)
+             for name, rank in (("p1", V.LOW_PERCENTILE), ("p99", V.HIGH_PERCENTILE))]
+    return merged.select(*found)
+
+
 def normalize_index(daily: DataFrame, percentiles: DataFrame) -> DataFrame:
     """Adds the 0..10 index; the two percentiles enter the plan as scalar subqueries."""
     low = percentiles.select("p1").scalar()

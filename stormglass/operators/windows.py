@@ -13,6 +13,8 @@ from stormglass.functions.calendar import month
 # An event side up to this size is sent to every executor; a larger one is shuffled.
 BROADCAST_BYTES = 64 << 20
 _FIXED_BYTES_PER_VALUE = 16
+#: Windows of so many days are joined by bins of half a window.
+MANY_DAYS = 15
 
 
 @dataclass(frozen=True)
@@ -32,6 +34,25 @@ def measure(events: DataFrame, date: str) -> Extent:
     return Extent(size or 0, first, last)
 
 
+def _bin(day: Column, width: int) -> Column:
+    # A plain column as join key lets the other side prune partitions by day.
+    return day if width == 1 else F.floor(F.unix_date(day) / width)
+
+
+def listed_by_bin(
+    events: DataFrame, event_date: str, low: int, high: int, width: int, by_month: bool = False
+) -> DataFrame:
+    """The events once per bin of ``width`` days that their window touches (_window_bin), and month if asked for (_window_month)."""
+
+    def place(k: Column) -> Column:
+        day = F.date_add(F.col(event_date), k)
+        found = _bin(day, width).alias("_window_bin")
+        return F.struct(found, month(day).alias("_window_month")) if by_month else F.struct(found)
+
+    touched = F.array_distinct(F.transform(F.sequence(F.lit(low), F.lit(high)), place))
+    return events.withColumn("_window", F.explode(touched)).select(*events.columns, "_window.*")
+
+
 def event_window_join(
     facts: DataFrame,
     fact_date: str,
@@ -42,35 +63,40 @@ def event_window_join(
     offset: str = "days_from_spike",
     broadcast_bytes: int = BROADCAST_BYTES,
     fact_month: str | None = None,
+    bin_days: int | None = None,
 ) -> DataFrame:
     """Inner join of facts to events at most [low, high] days away; adds the day offset.
 
-    A condition on a day distance has no equality, so Spark could only compare every pair. Each
-    event is therefore listed once per day of its window, which makes it an equality join.
+    A condition on a day distance has no equality, so Spark could only compare every pair. Both sides therefore
+    meet in bins of bin_days: an event is listed once per bin that its window touches, a fact is in the bin of its day,
+    and the distance is checked behind the equality. Bins of half a window (the default; windows of less than MANY_DAYS take bins
+    of a day) list an event about three times, whatever the window, and a fact meets at most half as many events again as it keeps.
 
     Events must be a staged or otherwise cheap table: its size and date range are measured here.
     The range is a plain filter on the facts, which reaches the file scan. A small event table is
     broadcast, so facts are not shuffled at all and a date holding much of them does no harm; facts
     stored by day are also pruned to the windows (facts stored by month: name the month column).
-    A larger one takes a shuffled join, where adaptive execution splits a hot date.
+    A larger one takes a shuffled join, where adaptive execution splits a hot bin.
     """
+    days = high - low + 1
+    width = bin_days or (days // 2 if days >= MANY_DAYS else 1)
     extent = measure(events, event_date)
-    listed = events.withColumn(offset, F.explode(F.sequence(F.lit(low), F.lit(high)))).withColumn(
-        "_window_date", F.date_add(F.col(event_date), F.col(offset))
-    )
-    same_day = F.col(fact_date) == F.col("_window_date")
+    listed = listed_by_bin(events, event_date, low, high, width, fact_month is not None)
+    same_bin = _bin(F.col(fact_date), width) == F.col("_window_bin")
     if fact_month:
-        listed = listed.withColumn("_window_month", month(F.col("_window_date")))
-        same_day = same_day & (F.col(fact_month) == F.col("_window_month"))
+        same_bin = same_bin & (F.col(fact_month) == F.col("_window_month"))
+    distance = F.datediff(F.col(fact_date), F.col(event_date))
     if extent.first is not None:
         facts = facts.filter(
             F.col(fact_date).between(
                 F.date_add(F.lit(extent.first), low), F.date_add(F.lit(extent.last), high)
             )
         )
-    fits = extent.size * (high - low + 1) <= broadcast_bytes
+    copies = (days - 2) // width + 2 if days > 1 else 1
+    fits = extent.size * copies * (2 if fact_month else 1) <= broadcast_bytes
     listed = F.broadcast(listed) if fits else listed
-    return facts.join(listed, same_day).drop("_window_date", "_window_month")
+    joined = facts.join(listed, same_bin & distance.between(low, high))
+    return joined.withColumn(offset, distance).drop("_window_bin", "_window_month")
 
 
 def top_per_group(

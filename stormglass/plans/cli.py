@@ -1,7 +1,8 @@
 """Command line of the jobs, for spark-submit: stormglass_job.py JOB --option value ...
 
-ingest         raw news files (of some years) -> news store, new or added to
+ingest         raw news files (of some years) -> news store, new or added to (and to an index store)
 tension        news (TSV or store)          -> daily index, spikes, percentiles
+tension-update index store                  -> the same tables, without reading news
 event-window   price files and spikes       -> reactions by spike, curve, ticker summary
 portfolio      ticker summary, holdings     -> risk summary, exposure
 spike-news     news and spikes              -> supporting news
@@ -19,7 +20,7 @@ from datetime import date, datetime
 
 from stormglass import fixed_values as V
 from stormglass.operators import archive
-from stormglass.plans import jobs
+from stormglass.plans import index_store, jobs
 from stormglass.session import build_session
 from stormglass.sources import tables
 from stormglass.streaming import live
@@ -37,9 +38,11 @@ def parser() -> argparse.ArgumentParser:
             kind = type(default) if default is not None else str
             command.add_argument(f"--{option.replace('_', '-')}", type=kind, default=default)
 
-    job("ingest", "raw", "out", first_year=None, last_year=None, by="article_date", update=0)
+    job("ingest", "raw", "out", first_year=None, last_year=None, by="article_date", update=0,
+        index=None)
     job("tension", "news", "index-out", "spikes-out", percentiles_out=None, sigmas=V.SPIKE_SIGMAS,
         accuracy=None)
+    job("tension-update", "index", "index-out", "spikes-out", percentiles_out=None, sigmas=V.SPIKE_SIGMAS, sketched=0)
     job("event-window", "prices", "spikes", "by-spike-out", "curve-out", "summary-out")
     job("portfolio", "summary", "risk-out", "exposure-out", holdings=None)
     job("spike-news", "news", "spikes", "out", per_spike=V.NEWS_PER_SPIKE)
@@ -58,10 +61,15 @@ def _number(text: str | None) -> int | None:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"stormglass-{args.job}")
-    if args.job == "ingest":
-        jobs.run_ingest(
-            spark, args.raw, args.out, _number(args.first_year), _number(args.last_year), args.by, bool(args.update)
-        )
+    if args.job == "ingest" and args.index:
+        print(index_store.run_ingest_load(
+            spark, args.raw, args.out, args.index, _number(args.first_year), _number(args.last_year), args.by))
+    elif args.job == "ingest":
+        print(jobs.run_ingest(
+            spark, args.raw, args.out, _number(args.first_year), _number(args.last_year), args.by, bool(args.update)))
+    elif args.job == "tension-update":
+        index_store.run_tension_of_store(
+            spark, args.index, args.index_out, args.spikes_out, args.percentiles_out, args.sigmas, bool(args.sketched))
     elif args.job == "tension":
         jobs.run_tension(
             spark, args.news, args.index_out, args.spikes_out, args.percentiles_out, args.sigmas,
@@ -99,3 +107,4 @@ def main(argv: list[str] | None = None) -> None:
         live.start(
             spark, args.folder, args.percentiles, args.out, args.checkpoint, bool(args.once), args.files_per_batch
         ).awaitTermination()
+        print(live.line_counts(spark, args.out))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stormglass import fixed_values as V
@@ -114,12 +114,21 @@ def live_chart(
 def run_ingest(
     spark: SparkSession, raw_folder: str, out: str, first_year: int | None = None,
     last_year: int | None = None, by: str = "article_date", update: bool = False,
-) -> None:
+) -> dict[str, int]:
     """Raw archive to the classified news store, partitioned by day or month. All files below the folder are read,
-    or those of some years; an update adds to the store."""
+    or those of some years; an update adds to the store. Returns the lines read and the articles stored."""
+    news, seen = classified_raw_news(spark, raw_folder, first_year, last_year)
+    stored = news_source.write_news_store(news, out, by, update)
+    return {"lines": seen.get["lines"], "stored": stored}
+
+
+def classified_raw_news(
+    spark: SparkSession, raw_folder: str, first_year: int | None = None, last_year: int | None = None
+) -> tuple[DataFrame, Observation]:
+    """Classified articles of raw files, by a dictionary of theme codes, and an observation that counts the lines read."""
     raw = news_source.scan_raw_news(spark, raw_folder, first_year=first_year, last_year=last_year)
-    dictionary = themes.learn(raw, themes.BATCH)
-    news_source.write_news_store(news_source.ingest_raw_news(raw, dictionary), out, by, update)
+    dictionary, seen = themes.learn(raw, themes.BATCH), Observation()
+    return news_source.ingest_raw_news(raw.observe(seen, F.count("*").alias("lines")), dictionary), seen
 
 
 _TEXT_SUFFIXES = (".tsv", ".tsv.gz", ".txt", ".csv")

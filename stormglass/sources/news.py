@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stormglass import schemas
@@ -92,8 +92,8 @@ def as_store_rows(news: DataFrame) -> DataFrame:
 
 def write_news_store(
     news: DataFrame, path: str, by: str = "article_date", update: bool = False
-) -> None:
-    """News table partitioned by day, or by "article_month" where days are small.
+) -> int:
+    """News table partitioned by day, or by "article_month" where days are small; the number of rows written.
 
     Replaces the whole table, or with update adds the articles that it does not hold yet.
 
@@ -102,12 +102,23 @@ def write_news_store(
     """
     rows = as_store_rows(news)
     if update:
-        rows = _not_stored(rows, path, by)
-    writer = rows.hint("rebalance", by).write.mode("append" if update else "overwrite")
+        rows = not_stored(rows, path, by)
+    return _write_store(rows, path, by, "append" if update else "overwrite")
+
+
+def _write_store(rows: DataFrame, path: str, by: str, mode: str) -> int:
+    seen = Observation()
+    writer = rows.hint("rebalance", by).observe(seen, F.count("*").alias("n")).write.mode(mode)
     writer.option("partitionOverwriteMode", "static").partitionBy(by).parquet(path)
+    return seen.get["n"]
+
+
+def append_to_store(rows: DataFrame, path: str, by: str = "article_date") -> int:
+    """Add rows that the store lacks, as not_stored gives them."""
+    return _write_store(rows, path, by, "append")
 
 
-def _not_stored(rows: DataFrame, path: str, by: str) -> DataFrame:
+def not_stored(rows: DataFrame, path: str, by: str) -> DataFrame:
     """One row of each record_id that the partitions of the rows do not hold yet; rows without one are all kept.
 
     A load that failed or is run again adds nothing twice, and no stored row is touched.
@@ -117,16 +128,36 @@ def _not_stored(rows: DataFrame, path: str, by: str) -> DataFrame:
     first = rows.where("record_id IS NOT NULL").groupBy("record_id").agg(F.min(F.struct(*rest)).alias("first"))
     unique = first.select("record_id", "first.*").select(*rows.columns)
     fresh = stage(unique.unionByName(rows.where("record_id IS NULL")), "load")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if not store_exists(spark, path):
         return fresh
-    known = scan_news_store(spark, path).select(F.col("record_id").alias("known_id"), F.col(by).cast("string").alias("part"))
-    touched = fresh.select(F.col(by).cast("string").alias("new_part")).distinct()
-    # The partitions of a load are few; the semi join reads no others.
-    known = known.join(touched, F.col("part").eqNullSafe(F.col("new_part")), "left_semi")
+    stored = scan_news_store(spark, path)
+    known = stored.where(_in_partitions(stored, by, fresh)).select(F.col("record_id").alias("known_id"))
     return fresh.join(known, F.col("record_id") == F.col("known_id"), "left_anti")
 
 
+#: Partitions that a load may touch to be named one by one; a load of more names the range from the first to the last.
+NAMED_PARTITIONS = 4096
+
+
+def _in_partitions(stored: DataFrame, by: str, load: DataFrame) -> Column:
+    """Condition on the partition column, with the values of a load as literals: the scan lists no other partition."""
+    kind = stored.schema[by].dataType
+    touched = load.select(F.col(by).cast(kind).alias("part")).distinct()
+    extent = touched.agg(F.count("part").alias("n"), F.min("part").alias("first"), F.max("part").alias("last"),
+                         F.coalesce(F.bool_or(F.col("part").isNull()), F.lit(False)).alias("none")).first()
+    if extent["n"] > NAMED_PARTITIONS:
+        named = F.col(by).between(F.lit(extent["first"]), F.lit(extent["last"]))
+    else:
+        values = [r["part"] for r in touched.where("part IS NOT NULL").collect()]
+        named = F.col(by).isin(values) if values else F.lit(False)
+    return (F.col(by).isNull() | named) if extent["none"] else named
+
+
+def store_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def scan_news_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -157,5 +188,15 @@ def live_fields(lines: DataFrame, width: int = schemas.RAW_NEWS_WIDTH) -> DataFr
     )
 
 
+def checked_live_lines(lines: DataFrame, width: int = schemas.RAW_NEWS_WIDTH) -> DataFrame:
+    """The lines (value and other columns) with their used fields, and the reason why one is no article (NULL if it is one)."""
+    fields = F.split("value", "\t")
+    parts = lines.withColumn("f", fields)
+    named = {name: F.nullif(F.get("f", F.lit(i)), F.lit("")) for i, name in schemas.LIVE_NEWS_FIELDS.items()}
+    reason = F.when(F.size("f") > width, "too many fields").when(
+        calendar.news_time(named["date"]).isNull(), "no valid time")
+    return parts.select(*lines.columns, *(c.alias(name) for name, c in named.items()), reason.alias("reason"))
+
+
 def scan_live_news(spark: SparkSession, path: str) -> DataFrame:
     return live_fields(spark.read.schema(schemas.LIVE_TEXT).text(path))

@@ -1,32 +1,51 @@
-"""Live news as one stream: rows as they arrive are stored once, and all live tables follow from the stored rows.
+"""Live news as one stream: articles as they arrive are stored once, and all live tables follow from what a batch changes.
 
 No state is kept in the stream and nothing is dropped for being late: a row counts whenever it comes, in whatever
-batch. What a batch changes is rewritten for the days it touches.
+batch. A batch reads the stored rows that have keys of its own, writes the rows that are new or replace another one, and adds
+what they change to the readings: new rows count, replaced ones are taken back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import UTC, datetime
+
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stormglass import schemas
 from stormglass.functions import calendar, measures
 from stormglass.operators import archive, cleaning
-from stormglass.sources.news import live_fields
+from stormglass.sources.news import checked_live_lines, live_fields
+from stormglass.streaming.segments import FAN, Kind, Manifest, Store
 
 READING = "15 minutes"
 NEWEST = 10
+NO_LINES = {"lines": 0, "kept": 0, "quarantined": 0}
 _FIELDS = list(schemas.LIVE_NEWS_FIELDS.values())
+_REST = [c for c in _FIELDS if c != "url"]
+#: Scores are summed as decimals, so that the order of rows, and taking rows back, changes no digit.
+_EXACT = "decimal(28,16)"
 
 
-def read_live_files(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+def read_live_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """Lines of new files, with the file of each."""
     lines = (
         spark.readStream.schema(schemas.LIVE_TEXT)
         .option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true")
         .format("text").load(folder)
     )
-    return live_fields(lines)
+    return lines.select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def read_live_files(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    return live_fields(read_live_lines(spark, folder, files_per_batch))
+
+
+def _first_of_each(timed: DataFrame) -> DataFrame:
+    rest = [c for c in timed.columns if c not in ("url", "time")]
+    first = timed.groupBy("url", "time").agg(F.min(F.struct(*rest)).alias("first"))
+    return first.select(*(F.col(c) if c in ("url", "time") else F.col(f"first.{c}") for c in timed.columns))
 
 
 def drop_repeated(raw: DataFrame) -> DataFrame:
@@ -35,10 +54,20 @@ def drop_repeated(raw: DataFrame) -> DataFrame:
     Rows without a valid time go. Batch and stream use the same rule, so neither the order of rows nor that of
     files matters.
     """
-    timed = cleaning.drop_bad_time(raw)
-    rest = [c for c in timed.columns if c not in ("url", "time")]
-    first = timed.groupBy("url", "time").agg(F.min(F.struct(*rest)).alias("first"))
-    return first.select(*(F.col(c) if c in ("url", "time") else F.col(f"first.{c}") for c in timed.columns))
+    return _first_of_each(cleaning.drop_bad_time(raw))
+
+
+def _counted(rows: DataFrame, reading: str = READING) -> DataFrame:
+    """(timestamp, neg_score) of the rows that count for the readings."""
+    wanted = cleaning.filter_theme_keywords(cleaning.parse_negative_tone(rows))
+    return wanted.select(F.window("time", reading)["start"].alias("timestamp"), "neg_score")
+
+
+def _scores(partials: DataFrame, low: Column, high: Column) -> DataFrame:
+    """Readings from the number and the sum of the scores of each interval."""
+    mean = F.col("total").cast("double") / F.col("total_events")
+    raw_score = measures.tension_raw(mean, F.col("total_events"))
+    return partials.select("timestamp", "total_events", measures.normalize_0_10(raw_score, low, high).alias("tension_score"))
 
 
 def tension_readings(raw: DataFrame, low: Column, high: Column, reading: str = READING) -> DataFrame:
@@ -47,126 +76,158 @@ def tension_readings(raw: DataFrame, low: Column, high: Column, reading: str = R
     Filters are those of the daily index except the country pattern, which belongs to another
     themes column than the one in live files.
     """
-    timed = cleaning.parse_negative_tone(drop_repeated(raw))
-    wanted = cleaning.filter_theme_keywords(timed)
-    per_reading = wanted.groupBy(F.window("time", reading).alias("w")).agg(
-        F.count("*").alias("total_events"), F.avg("neg_score").alias("avg_negative_tone")
-    )
-    raw_score = measures.tension_raw(F.col("avg_negative_tone"), F.col("total_events"))
-    return per_reading.select(
-        F.col("w.start").alias("timestamp"),
-        "total_events",
-        measures.normalize_0_10(raw_score, low, high).alias("tension_score"),
-    )
+    partials = _counted(drop_repeated(raw), reading).groupBy("timestamp").agg(
+        F.count("*").alias("total_events"), F.sum(F.col("neg_score").cast(_EXACT)).alias("total"))
+    return _scores(partials, low, high)
 
 
-def _rows_path(out: str) -> str:
-    return f"{out}/rows"
+# --- Stored tables
 
+_ROW = ", ".join(f"{c} string" for c in _FIELDS) + ", time timestamp"
+_PARTIAL = f"timestamp timestamp, total_events bigint, total {_EXACT.replace('28', '38')}"
+_BAD = "time timestamp, file string, reason string, line string"
 
-def _days(rows: DataFrame) -> list:
-    """Days that a batch touches."""
-    return [r["day"] for r in rows.select("day").distinct().collect()]
 
+def _added_up(partials: DataFrame) -> DataFrame:
+    summed = partials.groupBy("timestamp").agg(F.sum("total_events").alias("total_events"), F.sum("total").alias("total"))
+    return summed.where("total_events <> 0").select("timestamp", "total_events", F.col("total").cast("decimal(38,16)").alias("total"))
 
-def _children(spark: SparkSession, path: str) -> list:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath() for s in system.listStatus(folder)] if system.exists(folder) else []
 
+KINDS = {
+    "rows": Kind(_ROW, "time", _first_of_each, ("url", "time")),
+    "readings": Kind(_PARTIAL, "timestamp", _added_up),
+    "quarantine": Kind(_BAD, "time", lambda rows: rows),
+}
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if not _children(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
+def live_store(spark: SparkSession, out: str, fan: int = FAN) -> Store:
+    return Store(spark, out, KINDS, fan)
 
-_ROW_SCHEMA = ", ".join(f"{c} string" for c in _FIELDS) + ", day date, batch_id bigint"
-_READING_SCHEMA = "timestamp timestamp, total_events bigint, tension_score double, day date"
 
+def _changes(arrived: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows that are new or smaller than the stored one of their article, with that one's other fields as replaced."""
+    both = arrived.select("url", "time", F.struct(*_REST).alias("new"), F.lit(None).cast(_struct()).alias("old")).unionByName(
+        known.select("url", "time", F.lit(None).cast(_struct()).alias("new"), F.struct(*_REST).alias("old")))
+    best = both.groupBy("url", "time").agg(F.min("new").alias("new"), F.min("old").alias("replaced"))
+    changed = best.where(F.col("new").isNotNull() & (F.col("replaced").isNull() | (F.col("new") < F.col("replaced"))))
+    return changed.select(*(F.col("url") if c == "url" else F.col(f"new.{c}") for c in _FIELDS), "time", "replaced")
 
-def stored_rows(spark: SparkSession, out: str) -> DataFrame:
-    """All different live rows with a valid time that have arrived."""
-    return _stored(spark, _rows_path(out), _ROW_SCHEMA)
 
+def _struct() -> str:
+    return f"struct<{', '.join(f'{c}: string' for c in _REST)}>"
 
-def _store_new(batch: DataFrame, batch_id: int, out: str) -> DataFrame:
-    """Append the rows of a batch that are not stored yet. A batch that is run again replaces its own rows."""
-    spark = batch.sparkSession
-    arrived = (
-        batch.select(*_FIELDS).distinct()
-        .withColumn("day", F.to_date(calendar.news_time(F.col("date"))))
-        .where("day IS NOT NULL").persist())
-    days = _days(arrived)
-    known = stored_rows(spark, out).where(F.col("day").isin(days) & (F.col("batch_id") < batch_id))
-    same = F.lit(True)
-    for name in _FIELDS:
-        same = same & F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}"))
-    fresh = arrived.alias("new").join(known.alias("old"), same & (F.col("new.day") == F.col("old.day")), "left_anti")
-    (fresh.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(_rows_path(out)))
-    arrived.unpersist()
-    return stored_rows(spark, out).where(F.col("day").isin(days)).drop("batch_id")
-
-
-def _write_version(rows: DataFrame, path: str, batch_id: int) -> None:
-    """A new version of a small table; versions before the last one go."""
-    rows.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-    spark = rows.sparkSession
-    for child in _children(spark, path):
-        name = child.getName()
-        if name.startswith("version=") and int(name.removeprefix("version=")) < batch_id - 1:
-            child.getFileSystem(spark._jsc.hadoopConfiguration()).delete(child, True)
-
-
-def _version(spark: SparkSession, path: str, before: int | None = None) -> str | None:
-    found = [int(n.removeprefix("version=")) for n in (c.getName() for c in _children(spark, path))
-             if n.startswith("version=")]
-    found = [n for n in found if before is None or n < before]
-    return f"{path}/version={max(found)}" if found else None
-
-
-_LATEST_SCHEMA = "time timestamp, title string, source string, category string, day date"
-
-
-def update_tables(batch: DataFrame, batch_id: int, out: str, percentiles: str, n: int = NEWEST) -> None:
-    """One batch: store its new rows, then rewrite the readings of its days and the newest articles."""
+
+def _taken_back(changed: DataFrame) -> DataFrame:
+    """The stored rows that changes replace."""
+    return changed.where("replaced IS NOT NULL").select(
+        *(F.col("url") if c == "url" else F.col(f"replaced.{c}") for c in _FIELDS), "time")
+
+
+def _newest(articles: DataFrame, n: int) -> list[list]:
+    """The newest articles as the manifest has them: time in microseconds, title, source, category."""
+    found = archive.latest_news(articles, n).select(F.unix_micros("time").alias("time"), "title", "source", "category")
+    return [list(r) for r in found.collect()]
+
+
+def _latest_frame(spark: SparkSession, rows: list[list]) -> DataFrame:
+    frame = spark.createDataFrame([tuple(r) for r in rows], "micros bigint, title string, source string, category string")
+    return frame.select(F.timestamp_micros("micros").alias("time"), "title", "source", "category")
+
+
+def update_tables(batch: DataFrame, batch_id: int, out: str, percentiles: str, n: int = NEWEST, fan: int = FAN,
+                  bad: DataFrame | None = None, extent: Row | None = None) -> Manifest:
+    """One batch: rows that are new, what they change in the readings, the newest articles, lines that are none; one commit.
+
+    batch: fields of live lines; bad: lines for the side table (time, file, reason, line); extent: their number and range of times, as
+    start measures it. A batch that is run again starts from the manifest of the one before and gives the same tables.
+    """
     spark = batch.sparkSession
-    touched = _store_new(batch, batch_id, out)
+    store = live_store(spark, out, fan)
+    before = store.manifest(before=batch_id)
+    name = f"batch-{batch_id}"
     low, high = spark.read.parquet(percentiles).select("p1", "p99").first()
-    readings = tension_readings(touched.drop("day"), F.lit(low), F.lit(high))
-    (readings.withColumn("day", F.to_date("timestamp")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{out}/readings"))
-    articles = archive.live_articles(drop_repeated(touched.drop("day")))
-    newest = articles.select("time", "title", "source", "category", F.to_date("time").alias("day"))
-    before = _version(spark, f"{out}/latest", batch_id)
-    if before:
-        days = _days(touched)
-        newest = newest.unionByName(spark.read.schema(_LATEST_SCHEMA).parquet(before).where(~F.col("day").isin(days)))
-    order = [F.col("time").desc(), F.col("title").asc(), F.col("source").asc(), F.col("category").asc()]
-    _write_version(newest.orderBy(*order).limit(n), f"{out}/latest", batch_id)
+    tables, facts = dict(before.tables), {**before.facts, "p1": low, "p99": high}
+    timed = cleaning.drop_bad_time(batch.select(*_FIELDS))
+    if extent is None:
+        extent = timed.agg(*_extent(F.col("time"))).first()
+    if extent["first"] is not None:
+        arrived = _first_of_each(timed)
+        holding = store.holding("rows", before, arrived, extent["first"], extent["last"])
+        near = F.col("time").between(F.timestamp_micros(F.lit(extent["first"])), F.timestamp_micros(F.lit(extent["last"])))
+        replaced = Observation()
+        changed = _changes(arrived, store.read("rows", holding).where(near)).persist()
+        watched = changed.observe(replaced, F.count("replaced").alias("n"))
+        rows = store.write("rows", watched.drop("replaced"), name)
+        taken_back = _taken_back(changed)
+        signed = _counted(changed.drop("replaced")).withColumn("sign", F.lit(1)).unionByName(
+            _counted(taken_back).withColumn("sign", F.lit(-1)))
+        deltas = signed.groupBy("timestamp").agg(
+            F.sum("sign").alias("total_events"),
+            F.sum((F.col("neg_score").cast(_EXACT) * F.col("sign")).cast("decimal(28,16)")).cast("decimal(38,16)").alias("total"))
+        tables["readings"] = store.added("readings", before, store.write("readings", deltas, name))
+        tables["rows"] = store.added("rows", before, rows)
+        articles = archive.live_articles(changed.drop("replaced")).select("time", "title", "source", "category")
+        latest = facts.get("latest", [])
+        if replaced.get["n"] and _lost(archive.live_articles(taken_back), latest):
+            # What follows the last of the newest is in the stored rows only.
+            articles = archive.live_articles(store.current("rows", Manifest(batch_id, tables)))
+            latest = []
+        if latest:
+            articles = articles.unionByName(_latest_frame(spark, latest))
+        facts["latest"] = _newest(articles, n)
+        changed.unpersist()
+    if bad is not None:
+        if extent["bad"]:
+            tables["quarantine"] = store.added("quarantine", before, store.write("quarantine", bad, name))
+        counts = facts.get("counts", NO_LINES)
+        facts["counts"] = {"lines": counts["lines"] + extent["lines"], "kept": counts["kept"] + extent["lines"] - extent["bad"],
+                           "quarantined": counts["quarantined"] + extent["bad"]}
+    manifest = Manifest(batch_id, tables, facts)
+    store.commit(manifest)
+    return manifest
+
+
+def _extent(time: Column) -> list[Column]:
+    micros = F.unix_micros(time)
+    return [F.min(micros).alias("first"), F.max(micros).alias("last")]
+
+
+def _lost(articles: DataFrame, latest: list[list]) -> bool:
+    """Whether an article that is taken back is among the newest."""
+    if not latest:
+        return False
+    last = min(r[0] for r in latest)
+    found = articles.where(F.unix_micros("time") >= last)
+    return not found.isEmpty()
 
 
 def start(
     spark: SparkSession, folder: str, percentiles: str, out: str, checkpoint: str, once: bool = False,
-    files_per_batch: int = 1000, n: int = NEWEST,
+    files_per_batch: int = 1000, n: int = NEWEST, fan: int = FAN,
 ) -> StreamingQuery:
     """The live stream: articles, newest articles and tension readings from one pass over the files.
 
-    percentiles is read again in every batch.
+    percentiles is read again in every batch. Lines that are none go to a side table, with their file and the reason.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        update_tables(batch, batch_id, out, percentiles, n)
-
-    writer = read_live_files(spark, folder, files_per_batch).writeStream.foreachBatch(write)
+        lines = checked_live_lines(batch).persist()
+        good = lines.where("reason IS NULL").select(*_FIELDS)
+        bad = lines.where("reason IS NOT NULL").select(
+            F.lit(datetime.fromtimestamp(0, UTC)).alias("time"), "file", "reason", F.col("value").alias("line"))
+        time = F.when(F.col("reason").isNull(), calendar.news_time(F.col("date")))
+        extent = lines.agg(F.count("*").alias("lines"), F.count("reason").alias("bad"), *_extent(time)).first()
+        update_tables(good, batch_id, out, percentiles, n, fan, bad, extent)
+        lines.unpersist()
+
+    writer = read_live_lines(spark, folder, files_per_batch).writeStream.foreachBatch(write)
     trigger = {"availableNow": True} if once else {"processingTime": READING}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def current_rows(spark: SparkSession, out: str) -> DataFrame:
     """Stored rows, one per article."""
-    return drop_repeated(stored_rows(spark, out).select(*_FIELDS))
+    return live_store(spark, out).current("rows").select(*_FIELDS, "time")
 
 
 def current_articles(spark: SparkSession, out: str) -> DataFrame:
@@ -174,12 +235,23 @@ def current_articles(spark: SparkSession, out: str) -> DataFrame:
 
 
 def current_readings(spark: SparkSession, out: str) -> DataFrame:
-    return _stored(spark, f"{out}/readings", _READING_SCHEMA).drop("day")
+    """All readings, scaled with the percentiles of the last batch."""
+    store = live_store(spark, out)
+    manifest = store.manifest()
+    low, high = (F.lit(manifest.facts.get(p)).cast("double") for p in ("p1", "p99"))
+    return _scores(store.current("readings", manifest), low, high)
 
 
 def current_latest(spark: SparkSession, out: str) -> DataFrame:
-    """The newest articles; only the last version is read."""
-    found = _version(spark, f"{out}/latest")
-    if found is None:
-        return spark.createDataFrame([], _LATEST_SCHEMA).drop("day")
-    return spark.read.schema(_LATEST_SCHEMA).parquet(found).drop("day")
+    """The newest articles."""
+    return _latest_frame(spark, live_store(spark, out).manifest().facts.get("latest", []))
+
+
+def quarantined(spark: SparkSession, out: str) -> DataFrame:
+    """Lines that are no articles: file, reason, line."""
+    return live_store(spark, out).current("quarantine").select("file", "reason", "line")
+
+
+def line_counts(spark: SparkSession, out: str) -> dict[str, int]:
+    """Lines read, kept and put aside by all batches."""
+    return live_store(spark, out).manifest().facts.get("counts", NO_LINES)

@@ -2,7 +2,9 @@ import datetime
 import gzip
 import pathlib
 
+import checks
 import pytest
+from pyspark.sql import functions as F
 
 from stormglass import schemas
 from stormglass.catalog.registry import inputs
@@ -93,6 +95,31 @@ def test_update_never_deletes(spark, tmp_path, by):
     assert news_source.scan_news_store(spark, path).count() == 1
 
 
+@pytest.mark.parametrize("by", ["article_date", "article_month"])
+def test_update_reads_the_partitions_of_its_load_only(spark, tmp_path, by, monkeypatch):
+    def news(*records):
+        return spark.createDataFrame([(i, d, "s", "u", "WAR#RS#", "0,1,2.5,0", "CONFLICT") for i, d in records], schemas.FILTERED_NEWS)
+
+    path = str(tmp_path / "store")
+    days = [datetime.date(2020, 1, 1) + datetime.timedelta(days=k) for k in range(60)]
+    every = [(f"{k}-{day}", f"{day:%Y%m%d}") for day in days for k in range(2)] + [("bad", "2020")]
+    assert news_source.write_news_store(news(*every), path, by) == 121
+    load = [("0-2020-01-05", "20200105"), ("new", "20200105"), ("bad", "2020"), ("worse", "20")]
+    fresh = news_source.not_stored(news_source.as_store_rows(news(*load)), path, by)
+    assert {r["record_id"] for r in fresh.collect()} == {"new", "worse"}
+    stored = news_source.scan_news_store(spark, path)
+    touched = stored.where(news_source._in_partitions(stored, by, news_source.as_store_rows(news(*load))))
+    text = checks.plan(touched)
+    assert "PartitionFilters: []" not in text and by in text.split("PartitionFilters")[1]
+    read = {pathlib.Path(r["f"]).parent.name for r in touched.select(F.input_file_name().alias("f")).collect()}
+    assert len(read) == 2 and any("__HIVE_DEFAULT_PARTITION__" in name for name in read)
+    monkeypatch.setattr(news_source, "NAMED_PARTITIONS", 0)
+    ranged = stored.where(news_source._in_partitions(stored, by, news_source.as_store_rows(news(*load[:2]))))
+    assert {r["record_id"] for r in ranged.collect()} >= {"0-2020-01-05", "1-2020-01-05"} and ranged.count() < 121
+    assert news_source.write_news_store(news(*load), path, by, update=True) == 2
+    assert news_source.write_news_store(news(*load), path, by, update=True) == 0
+
+
 def test_write_table_counts_and_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.write_table(spark.range(7), path) == 7
@@ -170,6 +197,27 @@ def test_all_jobs_by_command_line(spark, tmp_path):
     assert read["risk"].first()["weighted_avg_return_5d"] is not None
 
 
+def test_index_by_updates_on_the_command_line(spark, tmp_path, capsys):
+    at = {n: str(tmp_path / n) for n in ("store", "state", "index", "spikes", "percentiles", "whole", "whole_spikes")}
+    for load in range(2):
+        raw = tmp_path / f"raw{load}"
+        raw.mkdir()
+        with open(raw / f"{load}.gkg.csv", "w") as f:
+            for i in range(60):
+                f.write(raw_line(f"{load}-{i}", f"2019{1 + load:02d}{1 + i % 28:02d}120000", "MILITARY;WB_1;1#X#RS#", f"0,1,{i % 9}.5,0") + "\n")
+            f.write(raw_line(f"{load}-none", "20190101120000", "SPORTS", "0,1,5.0,0") + "\n")
+        for _ in range(2):  # the second time, nothing is new
+            cli.main(["ingest", "--raw", str(raw), "--out", at["store"], "--index", at["state"]])
+    said = [line for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert said == ["{'lines': 61, 'stored': 60}", "{'lines': 61, 'stored': 0}"] * 2
+    cli.main(["tension-update", "--index", at["state"], "--index-out", at["index"], "--spikes-out", at["spikes"],
+              "--percentiles-out", at["percentiles"]])
+    cli.main(["tension", "--news", at["store"], "--index-out", at["whole"], "--spikes-out", at["whole_spikes"]])
+    tables_ = [[(r["date"], round(r["geo_tension_index"], 9), r["total_events"]) for r in
+                spark.read.parquet(at[n]).orderBy("date").collect()] for n in ("index", "whole")]
+    assert tables_[0] == tables_[1] and len(tables_[0]) == 56
+
+
 def test_tsv_and_store_give_the_same_index(spark, tmp_path):
     lines = [f"{i}\t202001{1 + i % 28:02d}\ts\thttp://x.example/a-b\tWAR#RS#\t0,1,{i % 7}.25\tCONFLICT"
              for i in range(300)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stormglass import schemas
 from stormglass.operators import archive, cleaning
 from stormglass.sources import news as news_source
-from stormglass.streaming import live
+from stormglass.streaming import live, segments
 
 START = dt.datetime(2024, 1, 1, 12, 0)
 
@@ -124,15 +124,115 @@ def test_a_batch_run_again_changes_nothing(spark, feed):
     assert feed.tables() == before
 
 
-def test_latest_table_keeps_the_newest_and_old_versions_go(spark, feed):
+def test_latest_table_keeps_the_newest(spark, feed):
     for start in (0, 10, 5, 3):
         feed.put(*[line(start + k, number=f"{start}-{k}") for k in range(5)])
     feed.run(n=7)
-    newest = live.current_latest(spark, feed.out)
-    minutes = sorted(int((r["time"] - START).total_seconds() // 60) for r in newest.collect())
+    minutes = sorted(int((r["time"] - START).total_seconds() // 60) for r in live.current_latest(spark, feed.out).collect())
     assert minutes == [8, 9, 10, 11, 12, 13, 14]
-    assert {f.split("version=")[1].split("/")[0] for f in newest.inputFiles()} == {"3"}
-    assert sorted(p.name for p in (feed.path / "out" / "latest").iterdir()) == ["version=2", "version=3"]
+
+
+def test_a_replaced_article_leaves_the_newest_and_an_older_one_returns(spark, feed):
+    feed.put(*[line(k, number=k) for k in range(6)])
+    # The same article again, with a source that sorts first and no theme of interest.
+    feed.put(line(5, number=5, themes="SPORTS", source="a"), line(4, number=4, tone="0,1,1.0,0", source="a"))
+    feed.run(n=3)
+    found = [(int((r["time"] - START).total_seconds() // 60), r["source"]) for r in live.current_latest(spark, feed.out).collect()]
+    assert sorted(found) == [(2, "src"), (3, "src"), (4, "a")]
+    assert feed.readings() == {"01 12:00": 5}
+    raw = news_source.scan_live_news(spark, str(feed.folder))
+    batch = live.tension_readings(raw, F.lit(0.0), F.lit(20.0))
+    assert feed.tables()[2] == checks.normal(batch.select(*sorted(batch.columns)).collect())
+
+
+def test_segments_and_files_do_not_grow_with_the_batches(spark, feed):
+    """Batches of new articles: what a batch lists and reads is bounded, and nothing is left that no manifest names."""
+    percentiles, out = str(feed.path / "p"), feed.out
+    store = live.live_store(spark, out, fan=2)
+    sizes, files, held = [], [], []
+    for batch in range(15):
+        lines = [line(batch * 20 + k, number=f"{batch}-{k}") for k in range(3)] + [line(0, number="0-0")]
+        (feed.folder / f"{batch}.csv").write_text("\n".join(lines) + "\n")
+        rows = news_source.scan_live_news(spark, str(feed.folder / f"{batch}.csv"))
+        manifest = live.update_tables(rows, batch, out, percentiles, fan=2)
+        sizes.append(len(manifest.segments("rows")))
+        files.append(len(list((feed.path / "out" / "rows").iterdir())))
+        arrived = live.drop_repeated(rows)
+        first, last = (int((START - dt.datetime(1970, 1, 1) + dt.timedelta(minutes=m)).total_seconds()) * 1_000_000
+                       for m in (batch * 20, batch * 20 + 2))
+        own = arrived.where(F.col("url").contains(f"{batch}-"))
+        held.append(len(store.holding("rows", manifest, own, first, last)))
+    assert max(sizes) <= 4 and max(files) <= 4 + 4
+    assert set(held) == {1}
+    assert live.current_rows(spark, out).count() == 45
+    last, one_before = store.manifest(), store.manifest(before=14)
+    named = {s.name for m in (last, one_before) for t in m.tables for s in m.segments(t)}
+    on_disk = {f"{t}/{p.name}" for t in live.KINDS for p in (feed.path / "out" / t).glob("*")}
+    assert on_disk == named
+    assert sorted(p.name for p in (feed.path / "out" / "manifests").glob("*.json")) == ["13.json", "14.json"]
+
+
+def test_key_filter_passes_over_foreign_keys(spark, tmp_path):
+    store = segments.Store(spark, str(tmp_path / "s"), {"rows": segments.Kind("k bigint, time timestamp", "time", lambda r: r, ("k",))})
+    rows = spark.range(20_000).select(F.col("id").alias("k"), F.lit(START).alias("time"))
+    found = store.write("rows", rows, "a", level=1)
+    manifest = segments.Manifest(0, {"rows": (found,)})
+    assert found.parts == 32 and found.rows == 20_000
+    every = store.holding("rows", manifest, rows.where("k % 1000 = 7"), found.first, found.last)
+    foreign = store.holding("rows", manifest, rows.withColumn("k", F.col("k") + 50_000), found.first, found.last)
+    assert (every, foreign) == ([found], [])
+    assert store.holding("rows", manifest, rows, found.last + 1, found.last + 2) == []
+
+
+@pytest.mark.parametrize("dies_in", ["commit", "_clean", "merged"])
+def test_a_batch_that_dies_loses_and_repeats_nothing(spark, feed, monkeypatch, dies_in):
+    percentiles, rows = str(feed.path / "p"), []
+    for batch in range(7):
+        lines = [line(batch * 7 + k, number=f"{batch}-{k}", tone=f"0,1,{batch}.5,0") for k in range(3)]
+        lines += [line(0, number="0-0", tone=f"0,1,{9 - batch}.0,0")]
+        (feed.folder / f"{batch}.csv").write_text("\n".join(lines) + "\n")
+        rows.append(news_source.scan_live_news(spark, str(feed.folder / f"{batch}.csv")))
+
+    class Died(Exception):
+        pass
+
+    def died(*args, **kwargs):
+        raise Died
+
+    write = segments.Store.write
+
+    def dies_when_merging(store, table, frame, name, level=0):
+        found = write(store, table, frame, name, level)
+        if level:
+            raise Died
+        return found
+
+    for batch, frame in enumerate(rows):
+        if batch in (3, 5):
+            with monkeypatch.context() as patched:
+                patched.setattr(segments.Store, "write" if dies_in == "merged" else dies_in,
+                                dies_when_merging if dies_in == "merged" else died)
+                try:
+                    live.update_tables(frame, batch, feed.out, percentiles, fan=2)
+                except Died:
+                    pass
+        live.update_tables(frame, batch, feed.out, percentiles, fan=2)
+    raw = news_source.scan_live_news(spark, str(feed.folder))
+    batch = live.tension_readings(raw, F.lit(0.0), F.lit(20.0))
+    assert feed.tables()[2] == checks.normal(batch.select(*sorted(batch.columns)).collect())
+    articles = archive.live_articles(live.drop_repeated(raw))
+    assert feed.tables()[0] == checks.normal(articles.select(*sorted(articles.columns)).collect())
+
+
+def test_lines_that_are_none_go_to_a_side_table(spark, feed):
+    feed.put(line(0), line(1) + "\tmore", "broken")
+    feed.put(line(2), line(1) + "\tmore")
+    feed.run()
+    found = live.quarantined(spark, feed.out)
+    assert sorted((r["file"].split("/")[-1], r["reason"]) for r in found.collect()) == [
+        ("0.csv", "no valid time"), ("0.csv", "too many fields"), ("1.csv", "too many fields")]
+    assert {r["line"] for r in found.collect()} == {line(1) + "\tmore", "broken"}
+    assert live.line_counts(spark, feed.out) == {"lines": 5, "kept": 2, "quarantined": 3}
 
 
 def test_failed_stream_ends_with_its_error(spark, feed):

@@ -27,8 +27,9 @@ def monkeypatch_conf(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+@pytest.mark.parametrize("bin_days", [None, 1, 4, 30])
 @pytest.mark.parametrize("broadcast_bytes", [windows.BROADCAST_BYTES, 0])
-def test_window_join_is_the_range_join(spark, monkeypatch_conf, broadcast_bytes):
+def test_window_join_is_the_range_join(spark, monkeypatch_conf, broadcast_bytes, bin_days):
     draw = random.Random(1)
     facts = [(i, d) for i, d in enumerate(days(draw.choices(range(60), k=200)))]
     facts += [(1000 + i, DAY0) for i in range(100)]  # a hot day
@@ -38,7 +39,7 @@ def test_window_join_is_the_range_join(spark, monkeypatch_conf, broadcast_bytes)
     joined = windows.event_window_join(
         spark.createDataFrame(facts, "f int, day date"),
         "day", spark.createDataFrame(events, "e int, event_day date"), "event_day", -3, 5,
-        broadcast_bytes=broadcast_bytes,
+        broadcast_bytes=broadcast_bytes, bin_days=bin_days,
     )
     found = {(r["f"], r["e"], r["days_from_spike"]) for r in joined.collect()}
     wanted = {
@@ -50,6 +51,23 @@ def test_window_join_is_the_range_join(spark, monkeypatch_conf, broadcast_bytes)
     assert ("BroadcastHashJoin" in text) == (broadcast_bytes > 0)
 
 
+def test_a_wide_window_lists_an_event_a_few_times(spark):
+    """61 days: an event is listed 3 times (61 times in bins of a day), and all pairs are found, by month too."""
+    facts = spark.createDataFrame([(i, d) for i, d in enumerate(days(range(-100, 300)))], "f int, day date").withColumn(
+        "month", F.date_format("day", "yyyy-MM"))
+    events = spark.createDataFrame([(d,) for d in days(range(0, 200, 3))], "event_day date")
+    rows = {}
+    for name, options in {"bins": {}, "days": {"bin_days": 1}, "months": {"fact_month": "month"}}.items():
+        joined = windows.event_window_join(facts, "day", events, "event_day", -30, 30, **options)
+        found = joined.select("f", "event_day", "days_from_spike").collect()
+        rows[name] = checks.normal(found)
+        assert len(found) == 67 * 61 and "BroadcastHashJoin" in checks.plan(joined)
+    assert rows["bins"] == rows["days"] == rows["months"]
+    listed = {width: windows.listed_by_bin(events, "event_day", -30, 30, width).count() for width in (30, 1)}
+    assert listed[1] == 67 * 61 and listed[30] <= 67 * 3
+    assert windows.listed_by_bin(events, "event_day", -30, 30, 30, by_month=True).count() <= 67 * 6
+
+
 def test_hot_date_is_split_in_the_shuffled_join(spark, tmp_path):
     facts = spark.range(60_000).selectExpr(
         "id", "date_add(date'2019-12-20', if(id % 3 = 0, 5, cast(id % 40 as int))) AS day",
