@@ -1,17 +1,19 @@
 """Collocations by vertically partitioned suffix subtrees over words.
 
 A window is the words from one place on, as far as they can belong to a frequent phrase and five at most. Windows are dealt
-to groups by a prefix of their words: one word, or as many as it takes to keep the windows of a prefix within the budget of
-a task. Each group builds the subtree of its windows on its own, which are its leaves, and the total of the leaves below a node is the
-number of times its phrase occurs. Phrases are then scored and filtered by joins.
+to groups by a prefix of their words: one word, or as many more as it takes until the prefix occurs no oftener than the budget
+of a task allows. Each group builds the subtree of its windows on its own, which are its leaves, and the total of the leaves below a
+node is the number of times its phrase occurs; nodes above a long prefix are added up over its groups. Phrases are then scored and
+filtered by joins.
 
-A window ends before a word, or a pair of words, that occurs too rarely for any phrase with it; bitmaps of
+A window ends before a word, or a pair or triple of words, that occurs too rarely for any phrase with it; bitmaps of
 fixed size tell that, and what they let through wrongly is counted and then left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,12 @@ from stormglass.llm.scratch import Scratch
 from stormglass.llm.suffix_tree_lm import lowered
 
 DEPTH = 5
-#: Bits of each of the filters on words and on pairs (16 MB).
+#: Bits of each of the filters on words, pairs and triples (16 MB).
 FILTER_BITS = 27
-#: Windows that a group holds at most, about; prefixes with more are made longer.
+#: Times that a prefix occurs at most; those that occur oftener are made longer (up to four words). A group has about half of it.
 BUDGET = 1_000_000
+#: Different words of a result up to which they are looked up in the tasks that have seen the words.
+FEW_WORDS = 1 << 20
 _HELD_HASHES, _BUCKET_HASHES, _HELD_WINDOWS = 2_000_000, 200_000, 600_000
 _SLICE_BYTES = 4_000_000
 _CLASS = np.zeros(256, np.uint8)
@@ -77,21 +81,52 @@ def coded_words(part: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.nda
         yield lang, words, np.where(ids == 0, np.uint64(1), ids), codes, begins
 
 
-def _pairs(ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """A hash for each word and the one behind it in its piece; that of the last word of a piece means nothing."""
-    return _mixed(ids[:-1] * np.uint64(0xD6E8FEB86659FD93) + ids[1:])
+def _joined_hashes(front: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Hashes of word sequences, each longer by a word."""
+    return _mixed(front * np.uint64(0xD6E8FEB86659FD93) + behind)
 
 
-def _holds(marks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def _pairs(ids: np.ndarray, often: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of frequent words that a frequent one follows in the piece, and the hashes of the pairs."""
+    at = np.flatnonzero(often[:-1] & often[1:] & ~begins[1:]) if len(ids) else np.zeros(0, np.int64)
+    return at, _joined_hashes(ids[at], ids[at + 1])
+
+
+def _triples(ids: np.ndarray, at: np.ndarray, hashes: np.ndarray, pairs: Often) -> tuple[np.ndarray, ...]:
+    """Places and hashes of frequent pairs, whether another follows one word on, and the hashes of those triples.
+
+    at, hashes: as _pairs gives them; pairs: the filter."""
+    kept = _holds(pairs, hashes)
+    at, hashes = at[kept], hashes[kept]
+    longer = np.zeros(len(at), bool)
+    longer[:-1] = at[1:] == at[:-1] + 1
+    return at, hashes, longer, _joined_hashes(hashes[longer], ids[at[longer] + 2])
+
+
+class Often(NamedTuple):
+    """What is known of hashes that occur often: a bit for each that occurs ``least`` times, as packed bytes; the upper
+    32 + bits bits of those that occur more than ``budget`` times, sorted."""
+
+    marks: np.ndarray
+    many: np.ndarray
+    bits: int
+
+
+def _many(often: Often, hashes: np.ndarray) -> np.ndarray:
+    return np.isin(hashes >> np.uint64(32 - often.bits), often.many)
+
+
+def _holds(often: Often, hashes: np.ndarray) -> np.ndarray:
+    marks = often.marks
     bit = (hashes >> np.uint64(64 - (len(marks).bit_length() + 2))).astype(np.int64)
     return ((marks[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def frequent(docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int, total: int,
-             filter_bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit for each hash of 64 bits that occurs ``least`` times or more, as packed bytes; hashes that share a bit share it.
+def frequent(docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], least: int, budget: int, total: int,
+             filter_bits: int = FILTER_BITS) -> Often:
+    """Which hashes of 64 bits occur ``least`` times or more, by bits that hashes may share, and more than ``budget`` times.
 
-    Counts are exact up to 32 bits of a hash and the number of its bucket; what falls together is let through.
+    The latter are at most as many as the budget goes into all hashes. Counts are exact up to 32 bits of a hash and the number of its bucket; what falls together is let through.
     """
     bits = int(np.clip(np.ceil(np.log2(max(1, total // _BUCKET_HASHES))), 6, min(20, filter_bits - 3)))
 
@@ -103,7 +138,7 @@ def frequent(docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.nda
             held.clear()
             which, at = np.unique(found >> np.uint64(32), return_index=True)
             low = np.split((found & np.uint64(0xFFFFFFFF)).astype(np.uint32), at[1:])
-            times = np.split(np.minimum(n, least).astype(np.uint32), at[1:])
+            times = np.split(n.astype(np.uint32), at[1:])
             return pa.RecordBatch.from_pydict({
                 "bucket": pa.array(which.astype(np.int32)), "low": pa.array([_planes(x, True) for x in low], pa.binary()),
                 "times": pa.array([_planes(x, False) for x in times], pa.binary())})
@@ -130,17 +165,21 @@ def frequent(docs: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.nda
         order = np.argsort(low, kind="stable")
         low, times = low[order], times[order]
         first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])) if len(low) else np.zeros(0, np.int64)
-        often = low[first][np.add.reduceat(times, first) >= least] if len(first) else low
+        sums = np.add.reduceat(times, first) if len(first) else times
+        low = low[first]
         marked = np.zeros(1 << width, bool)
-        marked[often >> np.uint32(32 - width)] = True
-        return pa.table({"bucket": table["bucket"][:1], "marks": pa.array([np.packbits(marked).tobytes()], pa.binary())})
+        marked[low[sums >= least] >> np.uint32(32 - width)] = True
+        many = (table["bucket"][0].as_py() << 32) | low[sums > budget].astype(np.int64)
+        return pa.table({"bucket": table["bucket"][:1], "marks": pa.array([np.packbits(marked).tobytes()], pa.binary()),
+                         "many": pa.array([many.tolist()], pa.list_(pa.int64()))})
 
     counted = docs.mapInArrow(collect, "bucket int, low binary, times binary").groupBy("bucket").applyInArrow(
-        fill, "bucket int, marks binary")
-    marks = np.zeros((1 << bits, 1 << (width - 3)), np.uint8)
+        fill, "bucket int, marks binary, many array<bigint>")
+    marks, many = np.zeros((1 << bits, 1 << (width - 3)), np.uint8), []
     for row in counted.collect():
         marks[row["bucket"]] = np.frombuffer(row["marks"], np.uint8)
-    return marks.ravel()
+        many += row["many"]
+    return Often(marks.ravel(), np.sort(np.array(many, np.int64)).view(np.uint64), bits)
 
 
 def _planes(values: np.ndarray, sorted_: bool) -> bytes:
@@ -153,11 +192,13 @@ def _plain(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
 
 
-def window_counts(docs: DataFrame, words, pairs, depth: int = DEPTH) -> DataFrame:
-    """Rows of three kinds: windows (w1 to w5, 0 behind the last word, n), words (w1, lang, word) and the sizes of languages (lang, n).
+def dealt_windows(docs: DataFrame, filters, groups: int, depth: int = DEPTH) -> DataFrame:
+    """Rows of three kinds: packed windows of a language and group (w1 to w5, 0 behind the last word; front, the words of the prefix; n),
+    packed words (w1, word), and the size of a language (size).
 
-    docs: lang and text; words, pairs: broadcast filters. A window or word may be given by several tasks.
+    docs: lang and text; filters: broadcast filters on words, pairs and triples. A window or word may be given by several tasks.
     """
+    names = [*_WORDS[:depth], "front", "n"]
 
     def reduced(held: list[np.ndarray]) -> np.ndarray:
         rows = np.concatenate(held)
@@ -167,160 +208,146 @@ def window_counts(docs: DataFrame, words, pairs, depth: int = DEPTH) -> DataFram
         new[1:] = (rows[1:, :depth] != rows[:-1, :depth]).any(axis=1)
         first = np.flatnonzero(new)
         out = rows[first]
-        out[:, depth] = np.add.reduceat(rows[:, depth], first) if len(first) else out[:, depth]
+        out[:, -1] = np.add.reduceat(rows[:, -1], first) if len(first) else out[:, -1]
         return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size, known, sizes = 0, {}, {}
-
-        def windows() -> pa.RecordBatch:
-            return _rows(len(held[0]), kind=0, n=held[0][:, depth], **{f"w{k + 1}": held[0][:, k] for k in range(depth)})
-
-        def seen() -> pa.RecordBatch:
-            return _rows(len(known), kind=1, w1=np.fromiter(known, np.int64, len(known)), lang=[x for x, _ in known.values()],
-                         word=[x for _, x in known.values()])
+    def packed(lang: str, held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = reduced(held)
+        prefix = np.where(np.arange(depth) < rows[:, [depth]], rows[:, :depth], 0).view(np.uint64)
+        key = prefix[:, 0]
+        for k in range(1, depth):
+            key = _joined_hashes(key, prefix[:, k])
+        group = (key % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        which, at = np.unique(group[order], return_index=True)
+        offsets = pa.array(np.append(at, len(rows)).astype(np.int32))
+        lists = {c: pa.ListArray.from_arrays(offsets, pa.array(rows[order, k])) for k, c in enumerate(names)}
+        return _rows(len(which), lang, group=which, **lists)
+
+    def spelled(lang: str, known: dict[int, bytes]) -> pa.RecordBatch:
+        ids, words = pa.array(list(known), pa.int64()), pa.array(list(known.values()), pa.binary())
+        ends = pa.array([0, len(known)], pa.int32())
+        return _rows(1, lang, w1=pa.ListArray.from_arrays(ends, ids), word=pa.ListArray.from_arrays(ends, words))
+
+    def _rows(count: int, lang: str, **columns) -> pa.RecordBatch:
+        kinds = {"group": pa.int64(), **{c: pa.list_(pa.int64()) for c in names}, "word": pa.list_(pa.binary()), "size": pa.int64()}
+        arrays = [pa.array([lang] * count, pa.string()), *(
+            pa.array(columns[c], t) if c in columns else pa.nulls(count, t) for c, t in kinds.items())]
+        return pa.RecordBatch.from_arrays(arrays, names=["lang", *kinds])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        known: dict[str, dict[int, bytes]] = {}
+        sizes: dict[str, int] = {}
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
-                for lang, spelled, ids, codes, begins in coded_words(part):
+                for lang, words, ids, codes, begins in coded_words(part):
                     sizes[lang] = sizes.get(lang, 0) + len(codes)
-                    often = _holds(words.value, ids)
+                    often = _holds(filters[0].value, ids)
+                    seen = known.setdefault(lang, {})
                     for k in np.flatnonzero(often):
-                        known.setdefault(int(ids[k].view(np.int64)), (lang, spelled[k]))
-                    found = _windows(ids[codes], often[codes], begins, pairs.value, depth)
-                    held.append(found)
-                    size += len(found)
-                if size > _HELD_WINDOWS:
-                    held = [reduced(held)]
-                    size = len(held[0])
-                    if size > _HELD_WINDOWS // 2:
-                        yield windows()
-                        held, size = [], 0
-                if len(known) > _HELD_WINDOWS:
-                    yield seen()
-                    known.clear()
+                        seen.setdefault(int(ids[k].view(np.int64)), words[k])
+                    mine = held.setdefault(lang, [])
+                    mine.append(_windows(ids[codes], often[codes], begins, [f.value for f in filters], depth))
+                    if sum(map(len, mine)) > _HELD_WINDOWS:
+                        held[lang] = mine = [reduced(mine)]
+                        if len(mine[0]) > _HELD_WINDOWS // 2:
+                            yield packed(lang, held.pop(lang))
+                    if len(seen) > _HELD_WINDOWS:
+                        yield spelled(lang, known.pop(lang))
+                if sum(len(x) for mine in held.values() for x in mine) > 2 * _HELD_WINDOWS:
+                    yield from (packed(lang, mine) for lang, mine in held.items())
+                    held.clear()
             give_back()
-        if size:
-            held = [reduced(held)]
-            yield windows()
-        yield seen()
-        yield _rows(len(sizes), kind=2, lang=list(sizes), n=np.array(list(sizes.values()), np.int64))
-
-    schema = "kind int, " + ", ".join(f"{w} bigint" for w in _WORDS[:depth]) + ", n bigint, lang string, word binary"
-
-    def _rows(size: int, kind: int, **columns) -> pa.RecordBatch:
-        names = [*_WORDS[:depth], "n", "lang", "word"]
-        kinds = [*[pa.int64()] * (depth + 1), pa.string(), pa.binary()]
-        arrays = [pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in zip(names, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(size, kind, np.int32)), *arrays], names=["kind", *names])
+        yield from (packed(lang, mine) for lang, mine in held.items())
+        yield from (spelled(lang, seen) for lang, seen in known.items())
+        yield from (_rows(1, lang, size=[n]) for lang, n in sizes.items())
 
+    schema = "lang string, group bigint, " + ", ".join(f"{c} array<bigint>" for c in names) + ", word array<binary>, size bigint"
     return docs.mapInArrow(run, schema)
 
 
-def _windows(ids: np.ndarray, often: np.ndarray, begins: np.ndarray, pairs: np.ndarray, depth: int) -> np.ndarray:
-    """A row for each frequent word: the words of its window, and 1; those of one word only are counted together."""
+def _windows(ids: np.ndarray, often: np.ndarray, begins: np.ndarray, filters: list[Often], depth: int) -> np.ndarray:
+    """A row for each frequent word: the words of its window, the length of its prefix, and 1; those of one word only are counted
+    together. The prefix has a word more than the longest front of the window that occurs too often for a group."""
     n = len(ids)
-    linked = np.zeros(n + depth, bool)
-    both = np.flatnonzero(often[:-1] & often[1:] & ~begins[1:]) if n else np.zeros(0, np.int64)
-    if len(both):
-        linked[both] = _holds(pairs, _mixed(ids[both] * np.uint64(0xD6E8FEB86659FD93) + ids[both + 1]))
-    alone, n_alone = np.unique(ids[often & ~linked[:n]], return_counts=True)
-    at = np.flatnonzero(linked[:n])
-    rows = np.zeros((len(at) + len(alone), depth + 1), np.int64)
+    words, pairs, triples = filters
+    at, hashes, longer, of_three = _triples(ids, *_pairs(ids, often, begins), pairs)
+    third = np.zeros(n + depth, bool)
+    known = _holds(triples, of_three)
+    third[at[longer][known]] = True
+    linked = np.zeros(n, bool)
+    linked[at] = True
+    alone, n_alone = np.unique(ids[often & ~linked], return_counts=True)
+    rows = np.zeros((len(at) + len(alone), depth + 2), np.int64)
     rows[:len(at), 0] = ids[at].view(np.int64)
-    rows[:len(at), depth] = 1
-    going = np.ones(len(at), bool)
-    for k in range(1, depth):
-        going &= linked[at + k - 1]
-        rows[:len(at), k][going] = ids[at[going] + k].view(np.int64)
     rows[len(at):, 0] = alone.view(np.int64)
-    rows[len(at):, depth] = n_alone
-    return rows
-
-
-def long_prefixes(windows: DataFrame, budget: int, scratch: Scratch, depth: int = DEPTH) -> list[DataFrame]:
-    """For each length, the prefixes of words with more than ``budget`` windows: their words, the number of windows and their total n.
-
-    At most as many of each length as the budget goes into all windows.
-    """
-    found: list[DataFrame] = []
-    rows = windows
+    rows[:len(at), -1] = 1
+    rows[len(at):, -1] = n_alone
+    going = np.arange(len(at))
     for k in range(1, depth):
-        if found:
-            rows = _joined(rows, found[-1], k - 1).where(F.col("h_rows").isNotNull()).drop("h_rows")
-        sized = rows.groupBy(*_WORDS[:k]).agg(F.count("*").alias("rows"), F.sum("n").alias("n")).where(F.col("rows") > budget)
-        sized = scratch.stage(sized, "long")
-        if sized.isEmpty():
-            break
-        found.append(sized)
-    return found
-
-
-def _joined(rows: DataFrame, prefixes: DataFrame, k: int) -> DataFrame:
-    """The rows with h_rows, the number of windows of the prefix of k words if that is in the table. The table is bounded, see long_prefixes."""
-    named = prefixes.select(*(F.col(w).alias(f"h_{w}") for w in _WORDS[:k]), F.col("rows").alias("h_rows"))
-    same = F.lit(True)
-    for w in _WORDS[:k]:
-        same = same & (F.col(w) == F.col(f"h_{w}"))
-    return rows.join(F.broadcast(named), same, "left").drop(*(f"h_{w}" for w in _WORDS[:k]))
+        if k > 1:
+            going = going[third[at[going] + k - 2]]
+        rows[going, k] = ids[at[going] + k].view(np.int64)
+    front = 1 + _many(words, rows[:, 0].view(np.uint64)).astype(np.int64)
+    two = np.flatnonzero((front[:len(at)] > 1) & _many(pairs, hashes))
+    front[two] = 3
+    three = np.zeros(len(at), bool)
+    three[np.flatnonzero(longer)[known]] = _many(triples, of_three[known])
+    front[two[three[two]]] = 4
+    rows[:, depth] = np.minimum(front, depth)
+    return rows
 
 
-def phrase_counts(windows: DataFrame, least: int, scratch: Scratch, budget: int = BUDGET, depth: int = DEPTH) -> DataFrame:
-    """(phrase, f): the phrases (array of ids) of up to ``depth`` words that occur ``least`` times or more.
+def phrase_counts(windows: DataFrame, least: int, scratch: Scratch, depth: int = DEPTH) -> DataFrame:
+    """(lang, phrase, f): the phrases (array of ids) of up to ``depth`` words that occur ``least`` times or more.
 
-    windows: w1 to w5 and n, as window_counts gives them.
+    windows: packed windows, as dealt_windows gives them.
     """
-    long = long_prefixes(windows, budget, scratch, depth)
-    rows = windows.withColumn("front", F.lit(1))
-    for k, prefixes in enumerate(long, 1):
-        rows = _joined(rows, prefixes, k).withColumn("front", F.when(F.col("h_rows").isNotNull(), k + 1).otherwise(F.col("front"))).drop("h_rows")
-    groups = int(2 * windows.count() // budget) + 1
-    key = F.array(*(F.when(F.col("front") > k, F.col(w)).otherwise(0) for k, w in enumerate(_WORDS[:depth])))
-    rows = rows.withColumn("group", F.pmod(F.xxhash64(key), F.lit(groups)))
 
     def subtree(table: pa.Table) -> pa.Table:
-        columns = [table[w].to_numpy() for w in _WORDS[:depth]]
-        order = np.lexsort(columns[::-1])
-        columns = [c[order] for c in columns]
-        n, front = table["n"].to_numpy()[order], table["front"].to_numpy()[order]
+        flat = {c: table[c].combine_chunks().flatten().to_numpy() for c in [*_WORDS[:depth], "front", "n"]}
+        order = np.lexsort([flat[w] for w in reversed(_WORDS[:depth])])
+        columns = [flat[w][order] for w in _WORDS[:depth]]
+        n, front = flat["n"][order], flat["front"][order]
         new = np.zeros(len(n), bool)
         new[:1] = True
-        phrases, counts = [], []
+        phrases, counts, parts = [], [], []
         for k in range(depth):
             # Nodes of depth k + 1 begin where their words differ from those of the leaf before.
             new[1:] |= columns[k][1:] != columns[k][:-1]
             first = np.flatnonzero(new)
             total = np.add.reduceat(n, first)
-            kept = (total >= least) & (columns[k][first] != 0) & (front[first] <= k + 1)
+            part = front[first] > k + 1
+            kept = ((total >= least) | part) & (columns[k][first] != 0)
             first = first[kept]
             phrases += np.stack([c[first] for c in columns[:k + 1]], axis=1).tolist()
             counts.append(total[kept])
-        return pa.table({"phrase": pa.array(phrases, pa.list_(pa.int64())), "f": np.concatenate(counts)})
+            parts.append(part[kept])
+        size = len(phrases)
+        return pa.table({"lang": pa.array([table["lang"][0].as_py()] * size, pa.string()),
+                         "phrase": pa.array(phrases, pa.list_(pa.int64())), "f": np.concatenate(counts), "part": np.concatenate(parts)})
 
-    nodes = rows.select("group", *_WORDS[:depth], "n", "front").groupBy("group").applyInArrow(
-        subtree, "phrase array<bigint>, f bigint")
-    for k, prefixes in enumerate(long, 1):
-        whole = prefixes.where(F.col(f"w{k}") != 0)
-        nodes = nodes.unionByName(whole.select(F.array(*_WORDS[:k]).alias("phrase"), F.col("n").alias("f")).where(F.col("f") >= least))
-    return nodes
+    nodes = scratch.stage(windows.groupBy("lang", "group").applyInArrow(
+        subtree, "lang string, phrase array<bigint>, f bigint, part boolean"), "nodes")
+    # Nodes above the prefixes of groups; at most as many phrases as occur more often than the budget.
+    whole = nodes.where("part").groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    return nodes.where("NOT part").drop("part").unionByName(whole)
 
 
-def scored(counts: DataFrame, sizes: DataFrame, languages: DataFrame) -> DataFrame:
+def scored(counts: DataFrame, sizes: DataFrame) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of the phrases of two words or more that no longer one makes needless.
 
-    counts: phrase, f; sizes: lang, n; languages: w1, lang. The score is that of the worst cut, see collocations.
+    counts: lang, phrase, f (ids of words are those of a language); sizes: lang, size. The score is that of the worst cut, see collocations.
     """
     size = F.size("phrase")
     candidates = counts.where(size > 1)
-    cuts = candidates.select("phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), size - 1)).alias("k"))
+    cuts = candidates.select("lang", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), size - 1)).alias("k"))
     part = {"l": F.slice("phrase", F.lit(1), F.col("k")), "r": F.slice("phrase", F.col("k") + 1, size - F.col("k"))}
     for name, words in part.items():
         of = counts.select(F.col("phrase").alias(f"{name}_of"), F.col("f").alias(name))
         cuts = cuts.withColumn("words", words).join(of, F.col("words") == F.col(f"{name}_of")).drop("words", f"{name}_of")
-    first = F.get("phrase", F.lit(0))
-    sized = languages.join(sizes, "lang").select(F.col("w1").alias("first"), "lang", F.col("n").alias("size"))
-    cuts = cuts.withColumn("w", first).join(sized, F.col("w") == F.col("first"))
+    cuts = cuts.join(sizes.select(F.col("lang").alias("of"), "size"), F.col("lang") == F.col("of"))
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     score = F.call_function("div", wide("a") * F.lit(1000).cast("decimal(4,0)") * F.col("size").cast("decimal(15,0)"), wide("l") * wide("r"))
     worst = cuts.groupBy("lang", "phrase", "a", F.col("size").alias("n")).agg(
@@ -352,29 +379,51 @@ def collocations(docs: DataFrame, scratch: Scratch, least: int = 100, top: int =
         for _, _, ids, codes, _ in coded_words(part):
             yield ids[codes]
 
-    marks = context.broadcast(frequent(docs, words, least, total))
+    single = context.broadcast(frequent(docs, words, least, budget, total))
 
     def pairs(part: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, _, ids, codes, begins in coded_words(part):
-            often, ids = _holds(marks.value, ids)[codes], ids[codes]
-            if len(ids):
-                yield _pairs(ids, begins)[often[:-1] & often[1:] & ~begins[1:]]
-
-    linked = context.broadcast(frequent(docs, pairs, least, total))
-    rows = scratch.stage(window_counts(docs, marks, linked, depth), "windows")
-    windows = rows.where("kind = 0").select(*_WORDS[:depth], "n")
-    counts = scratch.stage(phrase_counts(windows, least, scratch, budget, depth), "counts")
-    spelled = scratch.stage(rows.where("kind = 1").groupBy("w1").agg(
-        F.any_value("lang").alias("lang"), F.any_value("word").alias("word")), "words")
-    sizes = rows.where("kind = 2").groupBy("lang").agg(F.sum("n").alias("n"))
+            yield _pairs(ids[codes], _holds(single.value, ids)[codes], begins)[1]
+
+    double = context.broadcast(frequent(docs, pairs, least, budget, total))
+
+    def triples(part: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, ids, codes, begins in coded_words(part):
+            yield _triples(ids[codes], *_pairs(ids[codes], _holds(single.value, ids)[codes], begins), double.value)[3]
+
+    triple = context.broadcast(frequent(docs, triples, least, budget, total))
+    rows = scratch.stage(dealt_windows(docs, (single, double, triple), 2 * total // budget + 1, depth), "windows")
+    counts = scratch.stage(phrase_counts(rows.where("group IS NOT NULL"), least, scratch, depth), "counts")
+    sizes = rows.where("size IS NOT NULL").groupBy("lang").agg(F.sum("size").alias("size"))
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
-    found = scored(counts, sizes, spelled.select("w1", "lang")).withColumn("place", F.rank().over(best)).where(F.col("place") <= top)
+    found = scored(counts, sizes).withColumn("place", F.rank().over(best)).where(F.col("place") <= top)
     found = scratch.stage(found.drop("place"), "best")
+    wanted = found.select(F.explode("phrase").alias("id")).distinct()
+    spelled = scratch.stage(_spelled(rows.where("word IS NOT NULL").select("w1", "word"), wanted), "words")
     scratch.drop("best", "words")
     named = found.select("lang", "a", "l", "r", "n", "score", "phrase", F.posexplode("phrase").alias("at", "w")).join(
-        spelled.select("w1", "word"), F.col("w") == F.col("w1"))
+        spelled, F.col("w") == F.col("id"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x["word"].cast("string")), " ")
     named = named.groupBy("lang", "phrase", "a", "l", "r", "n", "score").agg(joined.alias("text"))
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("text"))
     ranked = named.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return ranked.select("lang", "rank", F.col("text").alias("phrase"), "a", "l", "r", "n", "score")
+
+
+def _spelled(packed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, word) of the wanted ids, from packed words."""
+    few = wanted.limit(FEW_WORDS + 1).toArrow()["id"].to_numpy()
+    if len(few) <= FEW_WORDS:
+        ids = packed.sparkSession.sparkContext.broadcast(np.sort(few))
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held, words = (batch.column(c).flatten() for c in ("w1", "word"))
+                kept = pa.array(np.isin(held.to_numpy(), ids.value))
+                yield pa.RecordBatch.from_arrays([held.filter(kept), words.filter(kept)], names=["id", "word"])
+
+        rows = packed.mapInArrow(pick, "id bigint, word binary")
+    else:
+        rows = packed.select(F.explode(F.arrays_zip("w1", "word")).alias("x")).select(F.col("x.w1").alias("id"), "x.word")
+        rows = rows.join(wanted.select((F.col("id") + F.lit(0)).alias("k")), F.col("id") == F.col("k"), "left_semi")
+    return rows.groupBy("id").agg(F.any_value("word").alias("word"))
