@@ -99,6 +99,13 @@ def _(d):
     return archive.auto_labels(archive.keyword_counts(around))
 
 
+@query("auto_labels_from_sketches", "SELECT date, auto_label FROM auto_labels")
+def _(d):
+    spikes = spikes_of(d)
+    around = stage(archive.news_around_date(archive_of(d, spikes), spikes), "around")
+    return archive.auto_labels(archive.frequent_word_counts(around))
+
+
 @query("join_labels", """
     SELECT date, coalesce(label, 'Geopolitical Event') AS label
     FROM spikes LEFT JOIN labels USING (date)""")
@@ -323,13 +330,15 @@ def _(d):
     return live.current_rows(d.spark, _stream_run(d)).groupBy("url", "tone").agg(F.count("*").alias("n"))
 
 
-@query("stream_quarantine", """
-    WITH lines AS (
-      SELECT 'too many fields' AS reason FROM live_raw WHERE date LIKE '20240102%'
-      UNION ALL SELECT 'no valid time' FROM live_raw WHERE try_strptime(date, '%Y%m%d%H%M%S') IS NULL),
-    total AS (SELECT count(*) + count(*) FILTER (WHERE date LIKE '20240101%' OR date LIKE '20240102%') AS n FROM live_raw)
-    SELECT reason, count(*) AS lines FROM lines GROUP BY reason
-    UNION ALL SELECT 'read', n FROM total UNION ALL SELECT 'kept', n - (SELECT count(*) FROM lines) FROM total""")
+_BAD_LINES = """(SELECT 'too many fields' AS reason FROM live_raw WHERE date LIKE '20240102%'
+      UNION ALL SELECT 'no valid time' FROM live_raw WHERE try_strptime(date, '%Y%m%d%H%M%S') IS NULL)"""
+_ALL_LINES = "(SELECT count(*) + count(*) FILTER (WHERE date LIKE '20240101%' OR date LIKE '20240102%') AS n FROM live_raw)"
+
+
+@query("stream_quarantine", f"""
+    SELECT reason, count(*) AS lines FROM {_BAD_LINES} GROUP BY reason
+    UNION ALL SELECT 'read', n FROM {_ALL_LINES}
+    UNION ALL SELECT 'kept', n - (SELECT count(*) FROM {_BAD_LINES}) FROM {_ALL_LINES}""")
 def _(d):
     out = _stream_run(d)
     found = live.quarantined(d.spark, out).groupBy("reason").agg(F.count("*").alias("lines"))

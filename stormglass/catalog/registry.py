@@ -10,12 +10,19 @@ from pyspark.sql import functions as F
 from stormglass.catalog.relations import with_relations
 from stormglass.sources.derived import Derived
 
-_INPUTS: dict[tuple[str, str], Derived] = {}
+_INPUTS: dict[tuple, Derived] = {}
+
+
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what is in a folder: a table that changes is another input."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
 
 
 def inputs(spark: SparkSession, folder: str) -> Derived:
     """The derived inputs of a folder; what they stage is written once in a session and used by all queries."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder, _files(spark, folder))
     if key not in _INPUTS:
         _INPUTS[key] = Derived(spark, folder)
     return _INPUTS[key]

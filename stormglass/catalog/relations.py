@@ -29,6 +29,7 @@ def live_title(url: str) -> str:
     return f"left(coalesce(nullif({title}, ''), {url}), 60)"
 
 
+# --- Fixed values of the checks: words, patterns and classes, as in fixed_values.py, in their order.
 BATCH_CATEGORY = """CASE
   WHEN regexp_matches(themes, 'MILITARY|WAR|WEAPON|MISSILE|INVASION|AIRSTRIKE') THEN 'CONFLICT'
   WHEN regexp_matches(themes, 'SANCTION|EMBARGO|TARIFF|EXPORT_CONTROL') THEN 'ECONOMIC_PRESSURE'

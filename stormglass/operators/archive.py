@@ -11,6 +11,7 @@ from stormglass import fixed_values as V
 from stormglass.functions import calendar, measures, news_text
 from stormglass.operators import cleaning
 from stormglass.operators.windows import event_window_join, nearest_date, top_per_group
+from stormglass.session import stage
 
 #: Map tasks of one group that are ranked together before its last ranking.
 TOP_BUCKETS = 32
@@ -65,12 +66,48 @@ def news_around_date(archive: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def keyword_counts(around: DataFrame) -> DataFrame:
-    """Word frequency in the titles near each date, without stopwords."""
+def title_words(around: DataFrame) -> DataFrame:
+    """The words of the titles near each date, without stopwords."""
     words = F.regexp_extract_all(F.lower("title"), F.lit(V.TITLE_WORD), F.lit(0))
     exploded = around.select("event_date", F.explode(words).alias("word"))
-    kept = exploded.filter(~F.col("word").isin(V.TITLE_STOPWORDS))
-    return kept.groupBy("event_date", "word").agg(F.count("*").alias("n"))
+    return exploded.filter(~F.col("word").isin(V.TITLE_STOPWORDS))
+
+
+def keyword_counts(around: DataFrame) -> DataFrame:
+    """Word frequency in the titles near each date."""
+    return title_words(around).groupBy("event_date", "word").agg(F.count("*").alias("n"))
+
+
+#: Words that a sketch of a date tracks, and candidates that it gives.
+TRACKED_WORDS, CANDIDATE_WORDS = 10_000, 64
+
+
+def frequent_word_counts(
+    around: DataFrame, top: int = 3, tracked: int = TRACKED_WORDS, candidates: int = CANDIDATE_WORDS
+) -> DataFrame:
+    """Counts as keyword_counts has them, but of the words only that can be among the first ``top`` of a date.
+
+    A sketch of bounded size per date, merged from those of all tasks, names candidates, and a second pass counts these exactly. A word
+    that is no candidate occurs at most as often as the error of the sketch allows (twice 3.5 / 0.75 of all words through the
+    number tracked) and as the last candidate is estimated. Dates whose ``top``-th count is not above that are counted in full. Memory per
+    date is bounded; what is shuffled is the sketches, and rows of candidates.
+    """
+    words = title_words(around)
+    sketches = words.groupBy("event_date").agg(
+        F.call_function("approx_top_k_accumulate", F.col("word"), F.lit(tracked)).alias("sketch"), F.count("*").alias("words"))
+    found = sketches.select("event_date", "words", F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(candidates)).alias("c"))
+    last = F.when(F.size("c") >= candidates, F.get("c", F.size("c") - 1)["count"]).otherwise(0)
+    bound = F.greatest(F.ceil(F.col("words") * (2 * 3.5 * 0.75 / tracked)), last).alias("bound")
+    named = stage(found.select("event_date", bound, F.transform("c", lambda x: x["item"]).alias("c")), "candidates")
+    listed = named.select("event_date", F.explode("c").alias("word"))
+    counts = stage(words.join(listed, ["event_date", "word"], "left_semi").groupBy("event_date", "word").agg(F.count("*").alias("n")),
+                   "counted")
+    reached = counts.groupBy("event_date").agg(F.sort_array(F.collect_list("n"), asc=False).alias("n"))  # few per date
+    proven = named.join(reached, "event_date", "left").select(
+        "event_date", F.coalesce(F.get("n", F.lit(top - 1)) > F.col("bound"), F.lit(False)).alias("proven"))
+    open_dates = stage(proven.where("NOT proven").select("event_date"), "open")
+    rest = words.join(open_dates, "event_date", "left_semi").groupBy("event_date", "word").agg(F.count("*").alias("n"))
+    return counts.join(open_dates, "event_date", "left_anti").unionByName(rest)
 
 
 def auto_labels(counts: DataFrame) -> DataFrame:
@@ -96,9 +133,11 @@ def join_labels(
     return labelled.select(*spikes.columns, chosen.alias("label"))
 
 
-def spike_labels(spikes: DataFrame, known: DataFrame, archive: DataFrame) -> DataFrame:
-    auto = auto_labels(keyword_counts(news_around_date(archive, spikes)))
-    return join_labels(spikes, known, auto)
+def spike_labels(spikes: DataFrame, known: DataFrame, archive: DataFrame, tracked: int | None = None) -> DataFrame:
+    """Spikes with their labels; ``tracked`` finds the words of automatic ones by sketches, see frequent_word_counts."""
+    around = news_around_date(archive, spikes)
+    counts = keyword_counts(around) if tracked is None else frequent_word_counts(around, tracked=tracked)
+    return join_labels(spikes, known, auto_labels(counts))
 
 
 def spike_options(labelled: DataFrame) -> DataFrame:

@@ -40,9 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="stormglass-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # One machine, no folder named: the setting cannot be changed in a running session, the context's folder can.
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stormglass-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

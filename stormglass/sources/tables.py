@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 import pyarrow as pa
@@ -18,10 +19,26 @@ from stormglass.operators.reactions import prices_wide_to_long
 def write_table(df: DataFrame, path: str) -> int:
     """Overwrite a table; the number of rows is counted during the write, not by a second run."""
     seen = Observation()
-    df.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").parquet(path)
+    replace_table(df.observe(seen, F.count("*").alias("rows")), path)
     return seen.get["rows"]
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """Overwrite a table with a new version that is written beside it: until it is complete, the old one can be read,
+    and a job that fails, or reads the table it writes, leaves the old one as it is."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    draft = f"{path}.draft-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    system = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(draft)
+        system.delete(hadoop(path), True)
+        if not system.rename(hadoop(draft), hadoop(path)):
+            raise OSError(f"{draft} could not be renamed to {path}")
+    finally:
+        system.delete(hadoop(draft), True)
+
+
 def append_table(df: DataFrame, path: str) -> None:
     """Add rows. Many tasks write at once; only a finished job becomes visible."""
     df.write.mode("append").parquet(path)
@@ -29,7 +46,7 @@ def append_table(df: DataFrame, path: str) -> None:
 
 def write_sorted(df: DataFrame, path: str, *columns: str) -> None:
     """Overwrite with rows in global order: range partitions, each sorted."""
-    df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+    replace_table(df.repartitionByRange(*columns).sortWithinPartitions(*columns), path)
 
 
 def scan_prices(spark: SparkSession, *paths: str) -> DataFrame:

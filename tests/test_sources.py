@@ -128,6 +128,16 @@ def test_write_table_counts_and_replaces(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.range(7), path)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        tables.write_table(spark.range(9).select((F.lit(1) / (F.col("id") - 8)).alias("id")), path)
+    assert spark.read.parquet(path).count() == 7
+    assert tables.write_table(spark.read.parquet(path).where("id > 2"), path) == 4  # reads what it replaces
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_sorted_table(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_sorted(spark.range(100).orderBy("id", ascending=False), path, "id")
