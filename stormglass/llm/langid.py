@@ -26,7 +26,7 @@ SAMPLE_DOCS, ROUNDS = 2000, 3
 #: Added to each expected count; probability of a character that no piece holds.
 _PRIOR, _STRANGE = 0.02, 1e-6
 _SLICE_BYTES, _LATTICE_CHARS = 4_000_000, 150_000
-#: Fitting skips longer words; scoring takes all.
+#: Fitting cuts longer words into parts of so many characters, since its sums are not scaled; scoring takes words whole.
 _FIT_CHARS = 64
 _HAS_LETTER = r"\p{L}"
 UNKNOWN = "und"
@@ -117,6 +117,12 @@ def _lowered(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(pc.fill_null(texts.cast(pa.string()), ""))
 
 
+def _cut(words: list[str], counts: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Long words in parts of _FIT_CHARS characters, each as frequent as its word."""
+    parts = [[w[k:k + _FIT_CHARS] for k in range(0, len(w), _FIT_CHARS)] for w in words]
+    return [x for found in parts for x in found], np.repeat(counts, [len(x) for x in parts]).astype(np.int64)
+
+
 def _word_counts(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(lang, word, n) of labelled texts."""
     marks = alone(vocabulary)
@@ -127,11 +133,12 @@ def _word_counts(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 for lang in pc.unique(part.column("lang")).to_pylist():
                     texts = part.column("text").filter(pc.equal(part.column("lang"), lang))
                     words, codes, _ = split_chunks(_lowered(texts), marks, any_space=True)
-                    fit = pc.less_equal(pc.utf8_length(words), _FIT_CHARS)
-                    words = words.filter(fit)
-                    counts = np.bincount(codes, minlength=len(fit))[fit.to_numpy(zero_copy_only=False)]
+                    counts = np.bincount(codes, minlength=len(words))
+                    short = pc.less_equal(pc.utf8_length(words), _FIT_CHARS).to_numpy(zero_copy_only=False)
+                    parts, n = _cut(words.filter(pa.array(~short)).to_pylist(), counts[~short])
+                    found = pa.concat_arrays([words.filter(pa.array(short)).cast(pa.string()), pa.array(parts, pa.string())])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(words), pa.string()), words.cast(pa.string()), pa.array(counts)],
+                        [pa.array([lang] * len(found), pa.string()), found, pa.array(np.concatenate([counts[short], n]))],
                         names=["lang", "word", "n"])
             give_back()
 
@@ -179,13 +186,17 @@ def fit(labelled: DataFrame, scratch: Scratch, vocabulary: Vocabulary, sample: i
                         uses = lattice.expected(weights, n[a:b])
                         found[lang] += np.bincount(lattice.piece[here], uses[here], len(found[lang]))
             for lang, counts in found.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([counts[:-1].tolist()])],
-                                                 names=["lang", "uses"])
+                used = np.flatnonzero(counts[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(counts[used])], names=["lang", "piece", "uses"])
 
-        # A row per task and language: as the sample is bounded, so are the tasks.
+        # Added up as decimals, so that reruns agree; the driver gets the model's numbers only.
+        summed = words.mapInArrow(expect, "lang string, piece bigint, uses double").groupBy("lang", "piece").agg(
+            F.sum(F.col("uses").cast("decimal(30,12)")).cast("double").alias("uses")).toArrow()
         uses = {x: np.zeros(size) for x in languages}
-        for row in words.mapInArrow(expect, "lang string, uses array<double>").toLocalIterator():
-            uses[row["lang"]] += np.array(row["uses"])
+        of, piece, n = summed["lang"].to_numpy(), summed["piece"].to_numpy(), summed["uses"].to_numpy()
+        for lang in languages:
+            uses[lang][piece[of == lang]] = n[of == lang]
         shared.unpersist()
     scratch.drop()
     probability = np.array([_probabilities(uses[x], vocabulary) for x in languages]).reshape(len(languages), size + 1)

@@ -63,3 +63,44 @@ def test_empty_tables(documents, make, scratch):
     none = make([], "text string, lang string")
     assert langid.identify(documents([]), none, scratch).count() == 0
     assert langid.identify(documents([(1, "the", "s")]), none, scratch).first().lang_pred == "und"
+
+
+def test_languages_without_spaces_are_learned(make, scratch):
+    """Texts of one long chunk: Han and kana each get a model, and held-out ones are told apart."""
+    import random
+
+    pick = random.Random(2)
+    han, kana = [chr(0x4E00 + 7 * k) for k in range(300)], [chr(0x3041 + k) for k in range(80)]
+    english = "the of and to in is that for it was on are with they be at one have this from".split()
+    make_text = {"en": lambda: " ".join(pick.choices(english, k=60)), "zh": lambda: "".join(pick.choices(han, k=200)),
+                 "ja": lambda: "".join(pick.choices(kana, k=150) + pick.choices(han, k=20))}
+    labelled = make([(make_text[x](), x) for x in make_text for _ in range(60)], "text string, lang string")
+    held_out = make([(k, make_text[x](), x) for k, x in enumerate(list(make_text) * 15)], "doc_id bigint, text string, expected string")
+    found = langid.identify(held_out, labelled, scratch).collect()
+    assert all(r["lang_pred"] == r["expected"] for r in found)
+
+
+def test_expected_uses_are_those_of_all_segmentations(vocabulary):
+    words = ["the", "inter"]
+    lattice = langid.Lattice(words, vocabulary)
+    weights = (np.arange(len(lattice.piece)) % 7 + 1) / 10
+    uses = lattice.expected(weights, np.array([2.0, 3.0]))
+    ends = {}
+    for e in range(len(lattice.piece)):
+        ends.setdefault(int(lattice.begin[e]), []).append(e)
+
+    def ways(at, stop):
+        if at == stop:
+            yield []
+        for e in ends.get(at, []):
+            if lattice.end[e] <= stop:
+                for rest in ways(int(lattice.end[e]), stop):
+                    yield [e, *rest]
+
+    plain = np.zeros(len(uses))
+    for k, word in enumerate(words):
+        found = list(ways(int(lattice.starts[k]), int(lattice.starts[k] + lattice.lengths[k])))
+        chances = np.array([np.prod(weights[w]) for w in found])
+        for w, chance in zip(found, chances / chances.sum()):
+            plain[w] += chance * [2.0, 3.0][k]
+    assert np.allclose(uses, plain)
