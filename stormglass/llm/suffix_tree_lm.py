@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormglass.llm.chunks import slices, split_words, text_bytes
+from stormglass.llm.chunks import give_back, slices, split_words, text_bytes
 from stormglass.llm.scratch import Scratch
 
 #: Bytes of the longest context. With the byte that follows, they fit a key of 48 bits.
@@ -26,7 +26,7 @@ DEPTH = 5
 CONTEXT_SHARE, DIVERGENCE = 1e-6, 0.005
 #: Words with at least this share of all tokens are looked up in the task; so there are at most half a million.
 HEAD_SHARE = 2e-6
-_SLICE_BYTES, _HELD_KEYS = 4_000_000, 2_000_000
+_SLICE_BYTES, _HELD_KEYS = 2_000_000, 1_000_000
 _END = 10  # the end mark, and what stands before a text: white space is in no word
 _END_WORD = np.int64(np.iinfo(np.int64).min)
 
@@ -100,6 +100,7 @@ def count_symbols(texts: DataFrame) -> DataFrame:
                     held[kind] = _added(*held[kind], key, times)
                     if len(held[kind][0]) > _HELD_KEYS:
                         yield rows(kind)
+            give_back()
         yield rows(0)
         yield rows(1)
 
@@ -287,5 +288,6 @@ def _scored(docs: DataFrame, kept: list[str], shared) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in kept), *map(pa.array, columns), tails],
                     names=[*kept, "n_tokens", "m_head", "m_logs", "score", "m_tail"])
+            give_back()
 
     return docs.mapInArrow(run, schema)
