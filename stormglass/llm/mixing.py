@@ -26,6 +26,11 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def length_weight(size: Column) -> Column:
+    """Inclusion weight of a document by its words: their square root, so longer documents are likelier to be taken."""
+    return F.sqrt(F.greatest(F.coalesce(size, F.lit(0)), F.lit(1)).cast("double"))
+
+
 def uniform(seed: int, *columns: str) -> Column:
     """A number between 0 and 1 from the values of a row; equal rows get equal numbers."""
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 12) + F.lit(0.5)) / F.lit(float(1 << 52))

@@ -60,11 +60,11 @@ def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_pareto_mixing")
 def op5_pareto_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents mixed: 150 % of all words, shared by the weights of the sources."""
+    """All documents mixed: 150 % of all words, shared by the weights of the sources; odds grow with the root of the length."""
     docs = table(spark, folder, "documents")
     rows = docs.select(
-        "doc_id", "source", mixing.word_count(F.col("text")).alias("size"), F.lit(1.0).alias("weight"),
-        mixing.uniform(5, "doc_id", "text").alias("u"))
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("size"), mixing.uniform(5, "doc_id", "text").alias("u"))
+    rows = rows.withColumn("weight", mixing.length_weight(F.col("size")))
     mixed = mixing.pareto_mix(rows, Scratch(spark))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 

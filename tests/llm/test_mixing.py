@@ -104,3 +104,41 @@ def test_empty_and_wordless(make, scratch):
 def test_word_count_parts_at_ascii_space_only(make):
     frame = make([("a\tb\x0bc d  e\x1cf",)], "text string")
     assert frame.select(mixing.word_count(F.col("text"))).first()[0] == 4
+
+
+def test_rank_and_cut_are_those_of_a_plain_sort(make, scratch):
+    """Unequal odds: expected copies by weight, certain copies, then the smallest odds ratios up to the words that come nearest."""
+    import random
+
+    pick = random.Random(8)
+    rows = [(k, pick.choice(["a", "b", None]), pick.randint(1, 400), pick.random()) for k in range(300)]
+    frame = make(rows, "doc_id bigint, source string, size bigint, u double").withColumn("weight", mixing.length_weight(F.col("size")))
+    found = {r["doc_id"]: r for r in mixing.pareto_mix(frame, scratch).collect()}
+    for source in ("a", "b", None):
+        docs = [(k, n, n ** 0.5, u) for k, s, n, u in rows if s == source]
+        target = found[docs[0][0]]["target"]
+        stopped = set()
+        while True:
+            left = target - sum(2 * n for k, n, _, _ in docs if k in stopped)
+            if len(stopped) == len(docs):
+                break
+            rate = max(0.0, left) / sum(n * w for k, n, w, _ in docs if k not in stopped)
+            more = {k for k, _, w, _ in docs if w * rate >= 2} - stopped
+            if not more:
+                break
+            stopped |= more
+        copies, ranked = {}, []
+        for k, n, w, u in docs:
+            expected = 2.0 if k in stopped else min(2.0, w * rate)
+            copies[k] = int(expected)
+            if expected > int(expected):
+                part = expected - int(expected)
+                odds = u / (1 - u) / (part / (1 - part))
+                ranked.append((odds / (1 + odds), k, n))
+        left, taken = target - sum(copies[k] * n for k, n, _, _ in docs), 0
+        for _, k, n in sorted(ranked):
+            if taken + n - n / 2 > left:
+                break
+            taken += n
+            copies[k] += 1
+        assert {k: found[k]["copies"] for k in copies} == copies

@@ -6,7 +6,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_has_its_query():
     names = {n.split("_")[0] for n in contract.queries() if n.startswith("op")}
-    assert names == {f"op{k}" for k in range(1, 11)} and "pipeline" in contract.queries()
+    assert names == {f"op{k}" for k in range(1, 14)} and "pipeline" in contract.queries()
 
 
 def test_stages_keep_the_columns_and_clean_documents(spark):
