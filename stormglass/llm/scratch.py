@@ -33,6 +33,16 @@ class Scratch:
         last = {label: folder for label, folder in self._made if label in keep}
         for label, folder in self._made:
             if last.get(label) != folder:
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                self._delete(folder)
         self._made = list(last.items())
+
+    def discard(self, *labels: str) -> None:
+        """Delete all tables of some labels, which nothing reads any more."""
+        for label, folder in self._made:
+            if label in labels:
+                self._delete(folder)
+        self._made = [(label, folder) for label, folder in self._made if label not in labels]
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
