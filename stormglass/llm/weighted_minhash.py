@@ -336,12 +336,17 @@ def _sharing_rare(tokens: DataFrame, least: float, scratch: Scratch) -> DataFram
     """(a, b): texts in different components whose first common shingle leaves both enough weight to be similar.
 
     tokens: rare_shingles of texts with cls and component. Texts of the commonest component of a shingle
-    are compared with those of the others, not with each other.
+    are compared with those of the others, not with each other. Of shingles that the same texts have (told by two
+    hashes of 64 bits), the rarest stands for all: as the order is one for all texts, it leaves every pair the most weight.
     """
-    sizes = tokens.groupBy("token", "component").agg(F.count("*").alias("n"))
+    texts = {f"x{seed}": F.bit_xor(F.xxhash64(F.lit(seed), "cls")) for seed in (1, 2)}
+    sizes = tokens.groupBy("token", "component").agg(
+        F.count("*").alias("n"), F.sum("rest").alias("rest"), *(x.alias(name) for name, x in texts.items()))
     mixed = sizes.groupBy("token").agg(
-        F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
-    mixed = mixed.select((F.col("token") + F.lit(0)).alias("t"), "main")
+        F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"),
+        F.sum("rest").alias("rest"), *(F.bit_xor(name).alias(name) for name in texts)).where("parts > 1")
+    mixed = mixed.groupBy("n", *texts).agg(F.max(F.struct("rest", "token", "main")).alias("m"))
+    mixed = mixed.select(F.col("m.token").alias("t"), "m.main")
     rows = scratch.stage(
         tokens.join(mixed, F.col("token") == F.col("t"))
         .select("token", "cls", "component", "rest", "total", (F.col("component") == F.col("main")).alias("main")), "rare")
