@@ -18,6 +18,8 @@ WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
 
 _DIGIT_BITS, _RANK_BITS = 6, 48
 _BINS, _LEVELS = 1 << _DIGIT_BITS, _RANK_BITS // _DIGIT_BITS
+#: Share of a target by which the expected words may miss it; the words taken are cut at the target itself.
+TOLERANCE = 0.001
 #: A bin of so few rows is ordered in one task.
 FEW_ROWS = 1000
 
@@ -65,38 +67,41 @@ def source_targets(
     return filled.select("source", "source_size", target.otherwise(level * F.col("w")).alias("target"))
 
 
-def _rates(rows: DataFrame, sources: DataFrame, most: int, scratch: Scratch) -> DataFrame:
+def _rates(rows: DataFrame, sources: DataFrame, most: int, tolerance: float, scratch: Scratch) -> DataFrame:
     """Expected copies of a document of weight 1 per source, so that expected words meet the target.
 
-    Documents of large weight stop at ``most`` copies; each round shares the rest anew until no further
-    one stops.
+    Documents of large weight stop at ``most`` copies; each round shares the rest anew, until those that stop in a source have no
+    more than ``tolerance`` of its target. Rounds work on sums by weight.
     """
-    rows = rows.select("m_source", "m_size", "m_weight")
-    rates = sources.withColumn("rate", F.lit(0.0)).withColumn("stopped", F.lit(-1).cast("long"))
+    summed = rows.groupBy("m_source", "m_weight").agg(F.sum("m_size").alias("m_size"), F.count("*").alias("m_n"))
+    summed = scratch.stage(summed, "weights")
+    rates = sources.withColumn("rate", F.lit(0.0)).withColumn("stopped", F.lit(-1).cast("long")).withColumn("fixed", F.lit(0).cast("long"))
     while True:
         stopped = (F.col("m_weight") * F.col("rate") >= most) & (F.col("rate") > 0)
         words = F.col("m_size")
         found = (
-            rows.join(rates, F.col("m_source").eqNullSafe(F.col("source")))
+            summed.join(rates, F.col("m_source").eqNullSafe(F.col("source")))
             .groupBy("source").agg(
                 F.max("source_size").alias("source_size"), F.max("target").alias("target"),
-                F.max("stopped").alias("was"), F.sum(stopped.cast("long")).alias("stopped"),
-                F.coalesce(F.sum(F.when(stopped, words * most)), F.lit(0)).alias("fixed"),
+                F.max("stopped").alias("was"), F.max("fixed").alias("was_fixed"),
+                F.sum(F.when(stopped, F.col("m_n")).otherwise(0)).alias("stopped"),
+                F.coalesce(F.sum(F.when(stopped, words * most)), F.lit(0)).cast("long").alias("fixed"),
                 F.coalesce(F.sum(F.when(~stopped, words * F.col("m_weight"))), F.lit(0.0)).alias("open"))
         )
-        rate = F.when(F.col("open") > 0, F.greatest(F.col("target") - F.col("fixed"), F.lit(0.0)) / F.col("open"))
+        # Where every document has stopped, the rate only has to keep them all there, in further rounds for other sources too.
+        rate = F.when(F.col("open") > 0, F.greatest(F.col("target") - F.col("fixed"), F.lit(0.0)) / F.col("open")).when(
+            F.col("fixed") > 0, F.lit(float("inf")))
+        more = (F.col("was") < 0) | (F.col("fixed") - F.col("was_fixed") > F.col("target") * F.lit(tolerance))
         rates = scratch.stage(
-            found.select("source", "source_size", "target", F.coalesce(rate, F.lit(0.0)).alias("rate"), "stopped",
-                         (F.col("stopped") != F.col("was")).alias("moved"), F.col("fixed"), F.col("open")), "rates")
+            found.select("source", "source_size", "target", F.coalesce(rate, F.lit(0.0)).alias("rate"), "stopped", "fixed",
+                         ((F.col("stopped") != F.col("was")) & more).alias("moved")), "rates")
         if rates.where("moved AND rate > 0").isEmpty():
-            # Where every document has stopped, the rate only has to keep them all there.
-            full = F.when((F.col("open") <= 0) & (F.col("fixed") > 0), F.lit(float("inf"))).otherwise(F.col("rate"))
-            return rates.select("source", "source_size", "target", full.alias("rate"))
-        rates = rates.drop("moved", "fixed", "open")
+            return rates.select("source", "source_size", "target", "rate")
+        rates = rates.drop("moved")
 
 
 def pareto_mix(rows: DataFrame, scratch: Scratch, most: int = MOST_COPIES, share: float = SHARE,
-               weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+               weights: tuple[int, ...] = WEIGHTS, tolerance: float = TOLERANCE) -> DataFrame:
     """The rows with source_size, target and copies (0 to ``most``), mixed to the targets of their sources.
 
     rows: source, size (words), weight (inclusion weight within the source, above 0), u (random, between
@@ -114,7 +119,7 @@ def pareto_mix(rows: DataFrame, scratch: Scratch, most: int = MOST_COPIES, share
     rows = scratch.stage(rows, "rows")
     sizes = rows.groupBy(F.col("m_source").alias("source")).agg(F.sum("m_size").alias("source_size"))
     sources = scratch.stage(source_targets(sizes, weights, share, most), "targets")
-    rates = _rates(rows, sources, most, scratch)
+    rates = _rates(rows, sources, most, tolerance, scratch)
     rates = rates.select(*(F.col(c).alias(f"m_of_{c}") for c in rates.columns))
 
     expected = F.least(F.lit(float(most)), F.col("m_of_rate") * F.col("m_weight"))

@@ -113,7 +113,7 @@ def test_rank_and_cut_are_those_of_a_plain_sort(make, scratch):
     pick = random.Random(8)
     rows = [(k, pick.choice(["a", "b", None]), pick.randint(1, 400), pick.random()) for k in range(300)]
     frame = make(rows, "doc_id bigint, source string, size bigint, u double").withColumn("weight", mixing.length_weight(F.col("size")))
-    found = {r["doc_id"]: r for r in mixing.pareto_mix(frame, scratch).collect()}
+    found = {r["doc_id"]: r for r in mixing.pareto_mix(frame, scratch, tolerance=0.0).collect()}
     for source in ("a", "b", None):
         docs = [(k, n, n ** 0.5, u) for k, s, n, u in rows if s == source]
         target = found[docs[0][0]]["target"]
@@ -142,3 +142,16 @@ def test_rank_and_cut_are_those_of_a_plain_sort(make, scratch):
             taken += n
             copies[k] += 1
         assert {k: found[k]["copies"] for k in copies} == copies
+
+
+def test_sources_that_stop_in_different_rounds(make, scratch):
+    """A source that is taken whole at once stays so while others still share anew; it has documents without words."""
+    rows = [(k, "a", 1 + (k * k) % 900, k) for k in range(60)] + [(100 + k, "b", 3 ** (k % 8), k) for k in range(60)]
+    rows += [(200 + k, "c", 10 * (k % 2), k) for k in range(5)]
+    frame = make(rows, "doc_id bigint, source string, size bigint, k int").withColumn(
+        "weight", F.col("size").cast("double") + 0.1).withColumn("u", (F.col("k") % 59 + 1) / 61)
+    found = mixing.pareto_mix(frame, scratch).collect()
+    assert len(found) == 125 and all(0 <= r["copies"] <= 2 for r in found)
+    for source in "abc":
+        docs = [r for r in found if r["source"] == source]
+        assert abs(sum(r["copies"] * r["size"] for r in docs) - docs[0]["target"]) <= max(r["size"] for r in docs)
