@@ -36,8 +36,12 @@ FEW_LINKS = 0.01
 CELLS, PART = 1 << 20, 1 << 10
 _SLICE_BYTES, _BLOCK_SHINGLES = 6_000_000, 100_000
 _DRAWS = 1 << 16
+#: Sums of weights that stand for a text in the search by rare shingles.
+SKETCH = 128
 #: Allowed to sums of weights before a pair is left out; the similarity itself is computed anew.
 _ROUNDING = 1e-6
+#: The same for sketches, whose sums have 24 bits.
+_SKETCH_ROUNDING = 1e-5
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -332,10 +336,42 @@ def rare_shingles(bodies: DataFrame, idf: np.ndarray, least: float) -> DataFrame
     return bodies.select(*kept, "text").mapInArrow(run, schema)
 
 
-def _sharing_rare(tokens: DataFrame, least: float, scratch: Scratch) -> DataFrame:
-    """(a, b): texts in different components whose first common shingle leaves both enough weight to be similar.
+def sketches(bodies: DataFrame, idf: np.ndarray) -> DataFrame:
+    """(of_cls, sketch) of cls and text: the weights of a text's shingles, added up in SKETCH parts by hash.
 
-    tokens: rare_shingles of texts with cls and component. Texts of the commonest component of a shingle
+    The parts of two texts differ by no more than the weights of their shingles do, which is what they have not in common.
+    """
+    shared = bodies.sparkSession.sparkContext.broadcast(idf)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", _SLICE_BYTES):
+                value, times, begins = shingles(part.column("text"))
+                row = np.repeat(np.arange(part.num_rows), np.diff(begins))
+                place = row * SKETCH + (value % np.uint64(SKETCH)).astype(np.int64)
+                sums = np.bincount(place, times * shared.value[_cell(value)].astype(np.float64), part.num_rows * SKETCH)
+                offsets = pa.array(np.arange(part.num_rows + 1) * SKETCH, pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("cls"), pa.ListArray.from_arrays(offsets, pa.array(sums.astype(np.float32)))], names=["of_cls", "sketch"])
+            give_back()
+
+    return bodies.select("cls", "text").mapInArrow(run, "of_cls bigint, sketch array<float>")
+
+
+def _may_be_similar(least: float) -> Column:
+    """Whether sketch and sketch_of differ by no more than those of similar texts of weight total and total_of can.
+
+    What two texts have not in common is, by their similarity, a share of the weight of both.
+    """
+    apart = F.aggregate(F.zip_with("sketch", "sketch_of", lambda x, y: F.abs(x - y).cast("double")), F.lit(0.0), lambda n, x: n + x)
+    return apart <= F.lit((1 - least) / (1 + least) + _SKETCH_ROUNDING) * (F.col("total") + F.col("total_of"))
+
+
+def _sharing_rare(tokens: DataFrame, sketched: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """(a, b): texts in different components whose first common shingle leaves both enough weight to be similar, and whose
+    sketches do not differ too much for that.
+
+    tokens: rare_shingles of texts with cls and component; sketched: their sketches. Texts of the commonest component of a shingle
     are compared with those of the others, not with each other. Of shingles that the same texts have (told by two
     hashes of 64 bits), the rarest stands for all: as the order is one for all texts, it leaves every pair the most weight.
     """
@@ -348,14 +384,14 @@ def _sharing_rare(tokens: DataFrame, least: float, scratch: Scratch) -> DataFram
     mixed = mixed.groupBy("n", *texts).agg(F.max(F.struct("rest", "token", "main")).alias("m"))
     mixed = mixed.select(F.col("m.token").alias("t"), "m.main")
     rows = scratch.stage(
-        tokens.join(mixed, F.col("token") == F.col("t"))
-        .select("token", "cls", "component", "rest", "total", (F.col("component") == F.col("main")).alias("main")), "rare")
+        tokens.join(mixed, F.col("token") == F.col("t")).join(sketched, F.col("cls") == F.col("of_cls"))
+        .select("token", "cls", "component", "rest", "total", "sketch", (F.col("component") == F.col("main")).alias("main")), "rare")
     other = rows.where("NOT main").select(
         F.col("token").alias("t"), F.col("cls").alias("with"), F.col("component").alias("of"),
-        F.col("rest").alias("rest_of"), F.col("total").alias("total_of"))
+        F.col("rest").alias("rest_of"), F.col("total").alias("total_of"), F.col("sketch").alias("sketch_of"))
     enough = F.least("rest", "rest_of") >= (least / (1 + least) - _ROUNDING) * (F.col("total") + F.col("total_of"))
     pairs = rows.join(other, (F.col("token") == F.col("t")) & (F.col("component") != F.col("of"))
-                      & (F.col("main") | (F.col("cls") < F.col("with"))) & enough)
+                      & (F.col("main") | (F.col("cls") < F.col("with"))) & enough & _may_be_similar(least))
     return pairs.select(F.least("cls", "with").alias("a"), F.greatest("cls", "with").alias("b")).distinct()
 
 
@@ -409,7 +445,8 @@ def _verified_links(docs: DataFrame, texts: DataFrame, buckets: DataFrame, idf:
     if hard.isEmpty():
         return components
     wanted = bodies.join(hard.select((F.col("cls") + F.lit(0)).alias("c"), "component"), F.col("cls") == F.col("c")).drop("c")
-    pairs = _sharing_rare(rare_shingles(wanted, idf, least), least, scratch)
+    sketched = scratch.stage(sketches(wanted, idf), "sketches")
+    pairs = _sharing_rare(rare_shingles(wanted, idf, least), sketched, least, scratch)
     pairs = scratch.stage(_alike(pairs.join(tested, ["a", "b"], "left_anti"), texts), "pairs")
     # Each text with the one most like it by samples, then all pairs that this has left in different components.
     best = [pairs.groupBy(x).agg(F.max(F.struct("shared", y)).alias("m")).select(F.col(x), F.col(f"m.{y}").alias(y))

@@ -122,3 +122,29 @@ def test_similar_texts_share_an_early_rare_shingle(make):
     for r in similar:
         a, b = found[r.a], found[r.b]
         assert any(min(a[t].rest, b[t].rest) >= 0.8 / 1.8 * (a[t].total + b[t].total) - 1e-6 for t in a.keys() & b.keys())
+
+
+def test_texts_of_a_family_that_are_not_similar_make_no_pairs(make, scratch):
+    draw = random.Random(7)
+    base = words(draw, 204)
+    idf = np.ones(weighted_minhash.CELLS, np.float32)
+    rows = []
+    for k in range(60):  # four own words at places of their own: the first shingle that two have in common says little
+        own = list(base)
+        for place in draw.sample(range(10, 190), 4):
+            own[place] = f"own{k}x{place}"
+        rows.append((k, k, " ".join(own)))
+    near = [*base[:190], *words(draw, 14)]
+    rows += [(60, 60, " ".join(near)), (61, 61, " ".join([*near[:-1], "last"]))]
+    frame = make(rows, "cls bigint, component bigint, text string")
+    texts = make([(*a[::2], *b[::2]) for a in rows for b in rows if a[0] < b[0]], "a bigint, text_a string, b bigint, text_b string")
+    found = {(r.a, r.b): r.similarity for r in weighted_minhash.similarities(texts, idf).collect()}
+    tokens, sketched = weighted_minhash.rare_shingles(frame, idf, 0.8), weighted_minhash.sketches(frame, idf)
+    got = {tuple(r) for r in weighted_minhash._sharing_rare(tokens, sketched, 0.8, scratch).collect()}
+    similar = {p for p, x in found.items() if x >= 0.8}
+    assert (60, 61) in similar and similar <= got
+    assert len(got) < len(found) / 4
+    parts = {r.of_cls: np.array(r.sketch) for r in sketched.collect()}
+    for (a, b), x in found.items():
+        total = parts[a].sum() + parts[b].sum()
+        assert np.abs(parts[a] - parts[b]).sum() <= (1 - x) / (1 + x) * total + 1e-3
