@@ -21,6 +21,8 @@ from stormglass.streaming.segments import FAN, Kind, Manifest, Store
 
 READING = "15 minutes"
 NEWEST = 10
+#: Rows that are searched for each of the newest articles at first, and the factor by which they grow if that is not enough.
+TITLED, WIDER = 100, 100
 NO_LINES = {"lines": 0, "kept": 0, "quarantined": 0}
 _FIELDS = list(schemas.LIVE_NEWS_FIELDS.values())
 _REST = [c for c in _FIELDS if c != "url"]
@@ -123,10 +125,24 @@ def _taken_back(changed: DataFrame) -> DataFrame:
         *(F.col("url") if c == "url" else F.col(f"replaced.{c}") for c in _FIELDS), "time")
 
 
-def _newest(articles: DataFrame, n: int) -> list[list]:
-    """The newest articles as the manifest has them: time in microseconds, title, source, category."""
-    found = archive.latest_news(articles, n).select(F.unix_micros("time").alias("time"), "title", "source", "category")
-    return [list(r) for r in found.collect()]
+def _newest(rows: DataFrame, latest: list[list], n: int) -> list[list]:
+    """The newest articles of rows and of those found before, as the manifest has them: time in microseconds, title, source, category.
+
+    Titles are made for the latest rows only. If they do not hold n articles, more rows are taken, and all of them in the end.
+    """
+    spark, wide = rows.sparkSession, TITLED * n
+    while True:
+        last = rows.select("time").orderBy(F.col("time").desc()).limit(wide)
+        edge = last.agg(F.count("*").alias("n"), F.min(F.unix_micros("time")).alias("first")).first()
+        whole, recent = edge["n"] < wide, F.unix_micros("time") >= F.lit(edge["first"])
+        near = rows if whole else rows.where(recent)
+        articles = archive.live_articles(near).select("time", "title", "source", "category")
+        if latest:
+            articles = articles.unionByName(_latest_frame(spark, latest))
+        found = archive.latest_news(articles, n).select(F.unix_micros("time").alias("time"), "title", "source", "category").collect()
+        if whole or (len(found) == n and min(r["time"] for r in found) >= edge["first"]):
+            return [list(r) for r in found]
+        wide *= WIDER
 
 
 def _latest_frame(spark: SparkSession, rows: list[list]) -> DataFrame:
@@ -166,15 +182,11 @@ def update_tables(batch: DataFrame, batch_id: int, out: str, percentiles: str, n
             F.sum((F.col("neg_score").cast(_EXACT) * F.col("sign")).cast("decimal(28,16)")).cast("decimal(38,16)").alias("total"))
         tables["readings"] = store.added("readings", before, store.write("readings", deltas, name))
         tables["rows"] = store.added("rows", before, rows)
-        articles = archive.live_articles(changed.drop("replaced")).select("time", "title", "source", "category")
-        latest = facts.get("latest", [])
-        if replaced.get["n"] and _lost(archive.live_articles(taken_back), latest):
+        new, latest = changed.drop("replaced"), facts.get("latest", [])
+        if replaced.get["n"] and _lost(taken_back, latest):
             # What follows the last of the newest is in the stored rows only.
-            articles = archive.live_articles(store.current("rows", Manifest(batch_id, tables)))
-            latest = []
-        if latest:
-            articles = articles.unionByName(_latest_frame(spark, latest))
-        facts["latest"] = _newest(articles, n)
+            new, latest = store.current("rows", Manifest(batch_id, tables)), []
+        facts["latest"] = _newest(new, latest, n)
         changed.unpersist()
     if bad is not None:
         if extent["bad"]:
@@ -192,13 +204,12 @@ def _extent(time: Column) -> list[Column]:
     return [F.min(micros).alias("first"), F.max(micros).alias("last")]
 
 
-def _lost(articles: DataFrame, latest: list[list]) -> bool:
+def _lost(taken_back: DataFrame, latest: list[list]) -> bool:
     """Whether an article that is taken back is among the newest."""
     if not latest:
         return False
     last = min(r[0] for r in latest)
-    found = articles.where(F.unix_micros("time") >= last)
-    return not found.isEmpty()
+    return not archive.live_articles(taken_back.where(F.unix_micros("time") >= last)).isEmpty()
 
 
 def start(

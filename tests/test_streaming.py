@@ -252,3 +252,22 @@ def test_feed_items_and_today(spark):
     ]
     today = cleaning.same_day(frame, F.lit("2024-01-02 00:00:00").cast("timestamp"), "time")
     assert today.count() == 0
+
+
+def test_titles_are_made_for_the_latest_rows_only(spark, feed, monkeypatch):
+    seen = []
+    live_articles = archive.live_articles
+
+    def counted(rows):
+        seen.append(rows.count())
+        return live_articles(rows)
+
+    feed.put(*[line(k, number=k) for k in range(300)])
+    feed.put(*[line(k, number=k, themes="SPORTS") for k in range(300, 600)], line(299, number="z", slug="other-strike-near-border-town"))
+    rows = [news_source.scan_live_news(spark, str(feed.folder / f"{k}.csv")) for k in range(2)]
+    monkeypatch.setattr(live.archive, "live_articles", counted)
+    found = live.update_tables(rows[0], 0, feed.out, str(feed.path / "p"), n=2).facts["latest"]
+    assert [int((r[0] - 1704110400000000) // 60_000_000) for r in found] == [299, 298] and seen == [200]
+    # No article is among the latest rows: all are searched.
+    found = live.update_tables(rows[1], 1, feed.out, str(feed.path / "p"), n=2).facts["latest"]
+    assert [int((r[0] - 1704110400000000) // 60_000_000) for r in found] == [299, 299] and seen == [200, 200, 301]
