@@ -58,6 +58,28 @@ def test_lines_by_brute_force(documents, scratch):
     assert len(got ^ expected) <= 2
 
 
+def test_rare_shingles_leave_out_what_cannot_be_similar(make, scratch):
+    draw = random.Random(8)
+    pool = [line(draw, 4) for _ in range(60)]
+    rows = []
+    for n in (4, 5, 6, 60, 80):  # short lines go by their sketches, long ones by the shingles they share
+        for _ in range(60):
+            text = " ".join(draw.choice(pool) if draw.random() < 0.4 else line(draw, 4) for _ in range(n))
+            at = draw.randrange(len(text))
+            rows += [text] if draw.random() < 0.8 else [text, text[:at] + draw.choice(["", "x", "zz"]) + text[at + 3:]]
+    rows += [rows[0][:k] + "same end of all lines" for k in range(20, 60)]
+    sets, similar = [shingles(x) for x in rows], set()
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        common = len(sets[a] & sets[b])
+        if common >= 0.8 * (len(sets[a]) + len(sets[b]) - common) and a // 2 != b // 2:
+            similar.add((a, b))
+    lines = make([(k, k // 2, x) for k, x in enumerate(rows)], "number bigint, component bigint, line string")
+    found = {(r.a, r.b) for r in fuzzy_lines._sharing_rare(lines, 0.8, scratch).collect()}
+    assert len(similar) > 100
+    assert similar <= found
+    assert len(found) < 2 * len(similar)
+
+
 def test_lines_of_a_long_template(documents, scratch):
     draw = random.Random(8)
     template, rows = line(draw, 60)[:200], []
