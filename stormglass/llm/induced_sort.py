@@ -285,7 +285,8 @@ def _plainly_sorted(rank: np.ndarray) -> np.ndarray:
         behind = np.zeros(n, np.int64)
         behind[:n - width] = rank[width:] + 1
         key = rank * (n + 1) + behind
-        order = np.argsort(key, kind="stable")
+        # Equal keys get equal ranks, so their order does not matter.
+        order = np.argsort(key)
         key = key[order]
         new = np.cumsum(np.concatenate([[False], key[1:] != key[:-1]]))
         if new[-1] == n - 1:

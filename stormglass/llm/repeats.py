@@ -139,9 +139,9 @@ def _unit_hashes(data: np.ndarray, found: Stretches, length: int) -> tuple[np.nd
     import xxhash
 
     head, tail = found.units()
-    both = [xxhash.xxh3_128_intdigest(x) for x in _texts(data, found.first[head], found.last[tail], length)]
-    low = np.array([x & 0xFFFFFFFFFFFFFFFF for x in both], np.uint64).view(np.int64)
-    return low, np.array([x >> 64 for x in both], np.uint64).view(np.int64)
+    digests = b"".join(map(xxhash.xxh3_128_digest, _texts(data, found.first[head], found.last[tail], length)))
+    both = np.frombuffer(digests, ">u8").astype(np.int64).reshape(-1, 2)
+    return both[:, 1], both[:, 0]
 
 
 def first_units(docs: DataFrame, length: int, scratch: Scratch, filter_bits: int = FILTER_BITS) -> np.ndarray:
@@ -263,14 +263,18 @@ def _candidates(part: pa.RecordBatch, firsts: np.ndarray, marks: np.ndarray, len
 
 
 def _texts(data: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> list[bytes]:
-    whole = data.tobytes() if len(data) < _BLOCK else memoryview(data)
-    return [bytes(whole[a:b]) for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)]
+    if not len(first):
+        return []
+    # Only what the strings reach over is copied: they are in order, and those of a block.
+    at = int(first[0])
+    whole = data[at:int(last[-1]) + length].tobytes()
+    return [whole[a:b] for a, b in zip((first - at).tolist(), (last + (length - at)).tolist(), strict=True)]
 
 
 def _text_hashes(texts: list[bytes]) -> np.ndarray:
     import xxhash
 
-    return np.fromiter((xxhash.xxh3_64_intdigest(x) for x in texts), np.uint64, len(texts)).view(np.int64)
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, texts)), ">u8").astype(np.int64)
 
 
 def first_holders(rows: DataFrame, length: int, shard_bytes: int = SHARD_BYTES, room: Room | None = None) -> DataFrame:

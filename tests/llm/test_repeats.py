@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from stormglass.llm import repeats
 from stormglass.llm.induced_sort import Room, suffixes
@@ -38,6 +39,27 @@ def test_suffixes_and_common_prefixes(most, batch):
         assert (room.on_disk > 0) == (most == 16 and len(body) > 3) or len(body) < 20
 
 
+def test_hashes_are_made_for_a_block_at_once(monkeypatch):
+    pick = random.Random(5)
+    data = np.frombuffer(bytes(pick.randint(97, 110) for _ in range(3000)), np.uint8)
+    [block] = repeats.stretches(data, np.array([0, 1000, 1000, 1020, 3000]), 50)
+    head, tail = block.units()
+    bodies = [data[a:b + 50].tobytes() for a, b in zip(block.first[head], block.last[tail], strict=True)]
+    numbers = [xxhash.xxh3_128_intdigest(x) for x in bodies]
+    plain = [xxhash.xxh3_64_intdigest(x) for x in bodies]
+
+    def one_by_one(body):
+        raise AssertionError("a Python number for each hash costs more than the hash")
+
+    for name in ("xxh3_128_intdigest", "xxh3_64_intdigest"):
+        monkeypatch.setattr(xxhash, name, one_by_one)
+    low, high = repeats._unit_hashes(data, block, 50)
+    assert [int(x) << 64 | int(y) for x, y in zip(high.view(np.uint64), low.view(np.uint64), strict=True)] == numbers
+    assert repeats._text_hashes(bodies).view(np.uint64).tolist() == plain
+    assert len(bodies) > 10
+    assert len(repeats._text_hashes([])) == 0
+
+
 def plain(rows, length):
     order = [float("inf") if doc is None else doc for doc, _ in rows]
     bodies = [(text or "").encode() for _, text in rows]
