@@ -107,7 +107,10 @@ def live_store(spark: SparkSession, out: str, fan: int = FAN) -> Store:
 
 
 def _changes(arrived: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows that are new or smaller than the stored one of their article, with that one's other fields as replaced."""
+    """Rows that are new or smaller than the stored one of their article, with that one's other fields as replaced.
+
+    arrived may hold rows of an article that differ: the smallest is found in the same pass, so rows are shuffled once.
+    """
     both = arrived.select("url", "time", F.struct(*_REST).alias("new"), F.lit(None).cast(_struct()).alias("old")).unionByName(
         known.select("url", "time", F.lit(None).cast(_struct()).alias("new"), F.struct(*_REST).alias("old")))
     best = both.groupBy("url", "time").agg(F.min("new").alias("new"), F.min("old").alias("replaced"))
@@ -167,11 +170,11 @@ def update_tables(batch: DataFrame, batch_id: int, out: str, percentiles: str, n
     if extent is None:
         extent = timed.agg(*_extent(F.col("time"))).first()
     if extent["first"] is not None:
-        arrived = _first_of_each(timed)
-        holding = store.holding("rows", before, arrived, extent["first"], extent["last"])
+        keys = timed.select("url", "time").distinct()
+        holding = store.holding("rows", before, keys, extent["first"], extent["last"])
         near = F.col("time").between(F.timestamp_micros(F.lit(extent["first"])), F.timestamp_micros(F.lit(extent["last"])))
         replaced = Observation()
-        changed = _changes(arrived, store.read("rows", holding).where(near)).persist()
+        changed = _changes(timed, store.read("rows", holding).where(near)).persist()
         watched = changed.observe(replaced, F.count("replaced").alias("n"))
         rows = store.write("rows", watched.drop("replaced"), name)
         taken_back = _taken_back(changed)

@@ -55,6 +55,19 @@ def feed(spark, tmp_path):
     return Feed(spark, tmp_path)
 
 
+def test_a_batch_finds_the_smallest_row_of_an_article_in_one_pass(feed, monkeypatch):
+    def another_pass(rows):
+        raise AssertionError("rows of a batch are grouped once, with the stored ones")
+
+    monkeypatch.setattr(live, "_first_of_each", another_pass)
+    feed.put(line(1, source="c"), line(1, source="b"), line(1, source="b"), line(2, source="z"))
+    feed.put(line(1, source="a"), line(1, source="d"), line(2, source="zz"), line(3, source="y"), line(3, source="x"))
+    feed.run()
+    found = {r["time"].minute: r["source"] for r in live.current_rows(feed.spark, feed.out).collect()}
+    assert found == {1: "a", 2: "z", 3: "x"}
+    assert feed.readings() == {"01 12:00": 3}
+
+
 def test_any_batch_split_and_file_order_give_the_same_tables(spark, tmp_path):
     draw = random.Random(4)
     lines = [line(m * 37 % 4000, tone=f"0,1,{m % 50}.5,0", number=m % 150) for m in range(200)]
