@@ -80,6 +80,46 @@ def test_rare_shingles_leave_out_what_cannot_be_similar(make, scratch):
     assert len(found) < 2 * len(similar)
 
 
+def test_sketches_tell_long_lines_apart(make, scratch):
+    draw = random.Random(8)
+    pool = [line(draw, 30) for _ in range(4)]
+    rows = []
+    for _ in range(60):  # of about 350 shingles, half of them from one of a few passages
+        text = draw.choice(pool) + " " + line(draw, 30)
+        at = draw.randrange(len(text))
+        rows += [text, text[:at] + "zz" + text[at + 3:]]
+    sets = [shingles(x) for x in rows]
+    similar = {(a, b) for a, b in itertools.combinations(range(len(rows)), 2)
+               if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(similar) == 60 and all(a // 2 == b // 2 for a, b in similar)
+    lines = make([(k, k, x) for k, x in enumerate(rows)], "number bigint, component bigint, line string")
+    tokens = fuzzy_lines.rare_shingles(lines, 0.8).select("*", F.lit(1).alias("stands"), F.lit(False).alias("main"))
+    found = {(r.a, r.b) for r in fuzzy_lines._pairs_of_rows(tokens, 0.8).collect()}
+    assert similar <= found
+    assert len(found) < 2 * len(similar)
+
+
+def test_rare_shingles_in_parts(make, scratch, monkeypatch):
+    draw = random.Random(9)
+    rows = [line(draw, draw.randint(6, 40)) for _ in range(80)]
+    rows += [x[:-3] + "zz" for x in rows] + [x[:len(x) // 2] + line(draw, 8) for x in rows]
+    lines = make([(k, k, x) for k, x in enumerate(rows)], "number bigint, component bigint, line string").cache()
+    joined, stage = [], scratch.stage
+
+    def counted(df, label):
+        out = stage(df, label)
+        if label == "rare":
+            joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(scratch, "stage", counted)
+    whole = sorted(fuzzy_lines._sharing_rare(lines, 0.8, scratch).collect())
+    monkeypatch.setattr(fuzzy_lines, "PART_TOKENS", 1)
+    parts = sorted(fuzzy_lines._sharing_rare(lines, 0.8, scratch).collect())
+    assert len(whole) >= 80 and parts == whole
+    assert len(joined) == 1 + fuzzy_lines.PARTS and sum(joined[1:]) == joined[0] and max(joined[1:]) < joined[0] / 2
+
+
 def test_lines_of_a_long_template(documents, scratch):
     draw = random.Random(8)
     template, rows = line(draw, 60)[:200], []
