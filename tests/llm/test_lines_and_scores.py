@@ -93,8 +93,11 @@ def test_sketches_tell_long_lines_apart(make, scratch):
                if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert len(similar) == 60 and all(a // 2 == b // 2 for a, b in similar)
     lines = make([(k, k, x) for k, x in enumerate(rows)], "number bigint, component bigint, line string")
-    tokens = fuzzy_lines.rare_shingles(lines, 0.8).select("*", F.lit(1).alias("stands"), F.lit(False).alias("main"))
-    found = {(r.a, r.b) for r in fuzzy_lines._pairs_of_rows(tokens, 0.8).collect()}
+    own = fuzzy_lines.rare_shingles(lines, 0.8).select("number", "size", *fuzzy_lines._SKETCH).distinct().cache()
+    other = own.select(*(F.col(x).alias(f"{x}_of") for x in own.columns))
+    may_be = fuzzy_lines._may_be_similar(F.col("size") + F.col("size_of"), 0.8)
+    pairs = own.join(other, F.col("number") < F.col("number_of")).where(may_be).select("number", "number_of")
+    found = {tuple(r) for r in pairs.collect()}
     assert similar <= found
     assert len(found) < 2 * len(similar)
 
