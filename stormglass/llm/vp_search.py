@@ -150,7 +150,8 @@ def nearest(embeddings: DataFrame, is_query, scratch: Scratch, k: int = 5, facto
                     pa.array(hits.score[q, place])], schema=_HITS)
 
     scratch.drop("index", "valid")
-    cells = index.join(asked, (F.col("size") == F.col("query_size")) & (F.col("shard") == F.col("s")))
+    # Each block goes to all shards. Spark takes that side to be as large as the blocks and would send all copies over the driver.
+    cells = index.join(asked.hint("merge"), (F.col("size") == F.col("query_size")) & (F.col("shard") == F.col("s")))
     hits = cells.select("tree", "queries").mapInArrow(
         search, "query_row bigint, query_id bigint, vec_id bigint, row bigint, score double")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import checks
 from stormglass.llm import sorted_passes, vp_search
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, size int, key string"
@@ -106,3 +107,12 @@ def test_odd_vectors_take_no_part(make, scratch):
     # Two rows ask; each finds the other one first, then the rest by number, the one without a number last.
     assert by == sorted([(1, 7), (2, 8), (3, 9), (4, 10), (5, None)] * 2, key=lambda x: (x[0], x[1] or 0))
     assert vp_search.nearest(make([], SCHEMA), F.col("vec_id") == 8, scratch).count() == 0
+
+
+def test_copies_of_blocks_do_not_pass_the_driver(make, scratch):
+    draw = np.random.default_rng(3)
+    rows = [(k, [float(x) for x in r], 0, 1, "x") for k, r in enumerate(draw.standard_normal((200, 4)))]
+    found = vp_search.nearest(make(rows, SCHEMA), F.col("vec_id") % 2 == 0, scratch, shard_rows=20)
+    assert len(found.collect()) == 500
+    # The tables are far below the size up to which Spark broadcasts on its own.
+    assert "Broadcast" not in checks.plan(found)
