@@ -58,6 +58,23 @@ def test_lines_by_brute_force(documents, scratch):
     assert len(got ^ expected) <= 2
 
 
+def test_common_words_are_searched_by_two_bands(documents, scratch, monkeypatch):
+    """Lines of common long words only share large buckets, but few of them share two."""
+    draw = random.Random(4)
+    pool = ["".join(draw.choice("abcdefghijklmnop") for _ in range(20)) for _ in range(60)]
+    rows = [" ".join(draw.sample(pool, 12)) for _ in range(250)]
+    copies = draw.sample(range(250), 50)
+    rows += [rows[k][:130] + "zz" + rows[k][130:] for k in copies]
+    searched, compared = [], []
+    search, compare = fuzzy_lines._sharing_rare, fuzzy_lines.with_similarity
+    monkeypatch.setattr(fuzzy_lines, "_sharing_rare", lambda lines, *a: (searched.append(lines.count()), search(lines, *a))[1])
+    monkeypatch.setattr(fuzzy_lines, "with_similarity", lambda pairs: (compared.append(pairs.count()), compare(pairs))[1])
+    left = fuzzy_lines.drop_repeated_lines(documents([(k, x, "s") for k, x in enumerate(rows)]), scratch).collect()
+    assert {r.doc_id for r in left if r.n_gone} == set(range(250, 300))
+    assert sum(searched) < 100
+    assert sum(compared) < 2 * len(copies)
+
+
 def test_rare_shingles_leave_out_what_cannot_be_similar(make, scratch):
     draw = random.Random(8)
     pool = [line(draw, 4) for _ in range(60)]
